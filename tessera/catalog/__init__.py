@@ -11,7 +11,7 @@ from __future__ import annotations
 import importlib
 
 FAMILIES = (
-    "keys", "cumulative", "scd",
+    "keys", "cumulative", "scd", "datelists",
 
 )
 

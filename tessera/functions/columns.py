@@ -81,6 +81,11 @@ def bits_text(mask: str | Column, width: int = 32) -> Column:
     return F.lpad(F.bin(m), width, "0")
 
 
+def bit_at(position: str | Column) -> Column:
+    """``1L << position`` for a column position (``shiftleft`` on bigint)."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), col_of(position))
+
+
 def bit_count(mask: str | Column) -> Column:
     return F.bit_count(col_of(mask)).cast("bigint")
 
