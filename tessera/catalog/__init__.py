@@ -11,7 +11,7 @@ from __future__ import annotations
 import importlib
 
 FAMILIES = (
-    "keys", "cumulative", "scd", "datelists", "devices", "month_arrays",
+    "keys", "cumulative", "scd", "datelists", "devices", "month_arrays", "facts", "graph",
 
 )
 
