@@ -58,8 +58,11 @@ def match_view(m: DataFrame, md: DataFrame, mmp: DataFrame, how: str = "left",
     With the three inputs bucketed on ``key`` the joins read co-partitioned
     buckets and need no Exchange. Medals are joined on (match, player): the row
     count is that of the medal rows, not details x medals per match, so a hot
-    match does not multiply its rows.
+    match does not multiply its rows. Bucketing on ``key`` alone satisfies the
+    (key, player) join only with ``requireAllClusterKeysForCoPartition`` off
+    (the pre-3.3 rule), which is set here; otherwise both sides re-shuffle.
     """
+    m.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     a = m.alias("m").join(md.alias("md"), F.col("m." + key) == F.col("md." + key), how) \
         .select(F.col("m." + key).alias(key), "m.mapid", "m.playlist_id",
                 F.col("md." + player).alias(player), "md.player_total_kills")

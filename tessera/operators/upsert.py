@@ -33,7 +33,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
         hit = target.join(F.broadcast(touched), partition_col, "left_semi")
         miss = target.join(F.broadcast(touched), partition_col, "left_anti")
         kept = miss.unionByName(hit.join(upd_keys, keys, "left_anti"))
-    return kept.unionByName(updates.select(*target.columns))
+    return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
 def write_upsert(updates: DataFrame, path: str, partition_col: str, keys: Sequence[str],

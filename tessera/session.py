@@ -26,6 +26,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # a join on (k, x) may reuse a partitioning / bucketing on k alone
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
