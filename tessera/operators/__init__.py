@@ -1,0 +1 @@
+"""Modelling pipelines: DataFrame(s) + parameters -> DataFrame."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from tessera.plans.joins import join_small
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -29,9 +29,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
         if partition_col not in keys:
             raise ValueError("partition_col must be one of the keys")
         touched = updates.select(partition_col).distinct()
-        # the touched-partition list is bounded by the number of partitions
-        hit = target.join(F.broadcast(touched), partition_col, "left_semi")
-        miss = target.join(F.broadcast(touched), partition_col, "left_anti")
+        # the touched-partition list is small (a day per load); checked before broadcast
+        hit = join_small(target, touched, partition_col, "left_semi")
+        miss = join_small(target, touched, partition_col, "left_anti")
         kept = miss.unionByName(hit.join(upd_keys, keys, "left_anti"))
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
@@ -48,7 +48,7 @@ def write_upsert(updates: DataFrame, path: str, partition_col: str, keys: Sequen
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if existing is not None:
         touched = updates.select(partition_col).distinct()
-        cur = existing.join(F.broadcast(touched), partition_col, "left_semi")
+        cur = join_small(existing, touched, partition_col, "left_semi")
         merged = cur.join(updates.select(*keys), list(keys), "left_anti").unionByName(
             updates.select(*existing.columns))
     else:

@@ -1,0 +1 @@
+"""Physical-layout helpers: checked broadcast joins, bucketing, layout reports."""

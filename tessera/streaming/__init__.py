@@ -1,0 +1,6 @@
+"""Incremental drivers.
+
+The modelled pipelines have no streams, watermarks or state: their incremental
+loads are batch steps parameterised by day or period (``datelist_step``,
+``month_array_step``, ``scd2_increment`` ...). This package holds nothing yet.
+"""
