@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tessera.operators.datelist import (activity_flags, activity_mask_from_events, active_on,
                                         datelist_as_of, datelist_history, datelist_step,
                                         event_range)
-from tessera.operators.upsert import upsert
+from tessera.operators.upsert import upsert, write_upsert
+from tessera.session import fresh_path
 from tessera.sources import standins as S
 
 # fixed values: the day span of the driver's events table
@@ -44,10 +45,27 @@ def q_user_datelist_step(spark, d):
 
 
 def q_host_datelist_upsert(spark, d):
+    """hosts_cumulated as a date-partitioned table: backfilled to the day before,
+    then the last loaded day re-run and the new day loaded by upsert (dynamic
+    partition overwrite of the touched days only)."""
+    ev = S.activity_events(spark, d)
+    kw = dict(list_col="host_activity_datelist", not_null=("user_id",))
+    path = fresh_path(spark, "hosts_cumulated")
+    datelist_history(ev, "host", FIRST, LAST - ONE, **kw) \
+        .write.mode("overwrite").partitionBy("date").parquet(path)
+    table = spark.read.parquet(path)
+    rerun = datelist_step(table, ev, "host", LAST - ONE, **kw)   # re-run of a loaded day
+    step = datelist_step(table, ev, "host", LAST, **kw)
+    write_upsert(rerun.unionByName(step), path, "date", ["host", "date"], existing=table)
+    return _flat(spark.read.parquet(path), "host", "host_activity_datelist")
+
+
+def q_host_datelist_upsert_frame(spark, d):
+    """The same load expressed as a DataFrame upsert (anti join + union)."""
     ev = S.activity_events(spark, d)
     kw = dict(list_col="host_activity_datelist", not_null=("user_id",))
     target = datelist_history(ev, "host", FIRST, LAST - ONE, **kw)
-    rerun = datelist_step(target, ev, "host", LAST - ONE, **kw)   # re-run of a loaded day
+    rerun = datelist_step(target, ev, "host", LAST - ONE, **kw)
     step = datelist_step(target, ev, "host", LAST, **kw)
     out = upsert(target, rerun.unionByName(step), ["host", "date"], partition_col="date")
     return _flat(out, "host", "host_activity_datelist")
@@ -76,6 +94,7 @@ QUERIES = {
     "event_range": q_event_range,
     "user_datelist_step": q_user_datelist_step,
     "host_datelist_upsert": q_host_datelist_upsert,
+    "host_datelist_upsert_frame": q_host_datelist_upsert_frame,
     "active_on": q_active_on,
     "activity_flags": q_activity_flags,
     "activity_flags_from_events": q_activity_flags_from_events,
@@ -129,3 +148,4 @@ ORACLE = {
     "activity_flags": FLAGS_SQL,
     "activity_flags_from_events": FLAGS_SQL,
 }
+ORACLE["host_datelist_upsert_frame"] = ORACLE["host_datelist_upsert"]

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.plans.joins import join_small
 from tessera.sources.tables import load
 
 
@@ -89,7 +90,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     s = load(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("player_name"))
-    return (li.join(s, "l_suppkey", "left")
+    return (join_small(li, s, "l_suppkey", "left")
               .select(F.col("l_orderkey").alias("game_id"),
                       F.col("l_linenumber").alias("team_id"),
                       F.col("l_suppkey").alias("player_id"),
