@@ -23,21 +23,24 @@ def _d(day: DateLike) -> dt.date:
     return dt.date.fromisoformat(day) if isinstance(day, str) else day
 
 
+def midnight(day: DateLike) -> Column:
+    """``TIMESTAMP_NTZ 'day 00:00:00'`` -- built from text, so the session time
+    zone plays no part (a Python datetime literal would be zone-converted)."""
+    return F.lit(f"{_d(day).isoformat()} 00:00:00").cast("timestamp_ntz")
+
+
 def before_day_end(ts: str, day: DateLike) -> Column:
     """``to_date(ts) <= day`` as a pushable range predicate."""
-    end = dt.datetime.combine(_d(day) + dt.timedelta(days=1), dt.time())
-    return F.col(ts) < F.lit(end).cast("timestamp_ntz")
+    return F.col(ts) < midnight(_d(day) + dt.timedelta(days=1))
 
 
 def on_day(ts: str, day: DateLike) -> Column:
     """``to_date(ts) = day`` as a pushable range predicate."""
-    start = dt.datetime.combine(_d(day), dt.time())
-    return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & before_day_end(ts, day)
+    return (F.col(ts) >= midnight(day)) & before_day_end(ts, day)
 
 
 def between_days(ts: str, first: DateLike, last: DateLike) -> Column:
-    start = dt.datetime.combine(_d(first), dt.time())
-    return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & before_day_end(ts, last)
+    return (F.col(ts) >= midnight(first)) & before_day_end(ts, last)
 
 
 def event_range(events: DataFrame, ts: str = "ts") -> DataFrame:
