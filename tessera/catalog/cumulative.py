@@ -54,7 +54,8 @@ def q_cumulative_backfill(spark, d):
 
 
 def q_cumulative_step(spark, d):
-    prev = backfill(spark, d, HI - 1)
+    # the step reads only the HI-1 rows of the snapshot table
+    prev = backfill(spark, d, HI)
     step = cumulate_step(prev, seasons(spark, d), KEY, "year", ENTRY, HI, "avg_price", BINS,
                          ELSE, static_cols=STATIC, current_col="current_year")
     return flat(step)

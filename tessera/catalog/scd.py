@@ -37,8 +37,11 @@ def q_scd2_backfill_single_collapsed(spark, d):
 
 
 def _increment(spark, d, with_branch=False):
-    scd = scd_as_of(spark, d, HI - 1)
-    today = backfill(spark, d, HI)
+    # one backfill feeds both sides: rows of periods <= HI-1 do not depend on the
+    # upper bound, so the SCD state at HI-1 and today's snapshot share a subplan
+    snaps = backfill(spark, d, HI)
+    scd = scd2_backfill(snaps, KEY, TRACKED, "current_year", HI - 1, **NAMES)
+    today = snaps
     return scd2_increment(scd, today, KEY, TRACKED, HI - 1, HI, "current_year",
                           with_branch=with_branch, **NAMES)
 
