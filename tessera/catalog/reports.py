@@ -23,16 +23,27 @@ def _tbl(name):
     return f"{name}_{uuid.uuid4().hex[:8]}"
 
 
-def bucketed(spark, d):
-    """The three match tables bucketed on match_id (written once per call)."""
-    m = write_bucketed(S.matches(spark, d).select("match_id", "mapid", "playlist_id"),
-                       _tbl("matches_bucketed"), "match_id", BUCKETS,
-                       fresh_path(spark, "matches_bucketed"))
-    md = write_bucketed(S.match_details(spark, d), _tbl("match_details_bucketed"), "match_id",
-                        BUCKETS, fresh_path(spark, "match_details_bucketed"))
-    mmp = write_bucketed(S.medal_matches_players(spark, d), _tbl("medal_matches_players_bucketed"),
-                         "match_id", BUCKETS, fresh_path(spark, "mmp_bucketed"))
-    return m, md, mmp
+_LAYOUTS: dict = {}
+
+
+def bucketed(spark, d, reuse=False):
+    """The three match tables bucketed on match_id.
+
+    With ``reuse`` the tables written earlier in this application for the same
+    input folder are read again (a layout is written once and queried by many
+    reports); otherwise they are (re)written.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if reuse and key in _LAYOUTS and all(spark.catalog.tableExists(t) for t in _LAYOUTS[key]):
+        return tuple(spark.table(t) for t in _LAYOUTS[key])
+    names = (_tbl("matches_bucketed"), _tbl("match_details_bucketed"),
+             _tbl("medal_matches_players_bucketed"))
+    inputs = (S.matches(spark, d).select("match_id", "mapid", "playlist_id"),
+              S.match_details(spark, d), S.medal_matches_players(spark, d))
+    out = tuple(write_bucketed(df, name, "match_id", BUCKETS, fresh_path(spark, name))
+                for df, name in zip(inputs, names))
+    _LAYOUTS[key] = names
+    return out
 
 
 def q_enrich_matches_maps(spark, d):
@@ -84,7 +95,7 @@ def q_top_map_for_medal(spark, d):
 
 
 def _view(spark, d, how):
-    m, md, mmp = bucketed(spark, d)
+    m, md, mmp = bucketed(spark, d, reuse=True)
     return match_view(m, md, mmp, how)
 
 
