@@ -37,7 +37,7 @@ def fact(spark, d):
 
 
 def q_fact_build(spark, d):
-    return fact(spark, d).withColumn("m_minutes", F.round("m_minutes", 6))
+    return fact(spark, d)
 
 
 def q_fact_report(spark, d):
@@ -45,7 +45,7 @@ def q_fact_report(spark, d):
     return r.select("dim_player_name", F.col("num_games").cast("bigint").alias("num_games"),
                     F.col("total_pts").cast("bigint").alias("total_pts"),
                     F.col("bailed_num").cast("bigint").alias("bailed_num"),
-                    F.round("bailed_pct", 6).alias("bailed_pct"))
+                    "bailed_pct")
 
 
 QUERIES = {"fact_build": q_fact_build, "fact_report": q_fact_report}
@@ -83,9 +83,8 @@ FACT_SQL = f"""
            coalesce(position('URGENT' IN g.comment), 0) > 0 AS dim_did_not_play,
            coalesce(position('HIGH' IN g.comment), 0) > 0 AS dim_did_not_dress,
            coalesce(position('NOT SPECIFIED' IN g.comment), 0) > 0 AS dim_not_with_team,
-           round(TRY_CAST(split_part(d."min", ':', 1) AS DOUBLE)
-                 + coalesce(TRY_CAST(split_part(d."min", ':', 2) AS DOUBLE), 0) / 60, 6)
-             AS m_minutes,
+           TRY_CAST(split_part(d."min", ':', 1) AS DOUBLE)
+             + coalesce(TRY_CAST(split_part(d."min", ':', 2) AS DOUBLE), 0) / 60.0 AS m_minutes,
            CAST(d.pts AS BIGINT) AS m_pts, d.l_extendedprice AS m_extendedprice,
            d.l_discount AS m_discount, d.l_tax AS m_tax
     FROM d JOIN g USING (game_id))"""
@@ -96,7 +95,7 @@ ORACLE = {
         SELECT dim_player_name, CAST(count(*) AS BIGINT) AS num_games,
                CAST(sum(m_pts) AS BIGINT) AS total_pts,
                CAST(count(CASE WHEN dim_not_with_team THEN 1 END) AS BIGINT) AS bailed_num,
-               round(CAST(count(CASE WHEN dim_not_with_team THEN 1 END) AS DOUBLE) / count(*), 6)
+               CAST(count(CASE WHEN dim_not_with_team THEN 1 END) AS DOUBLE) / count(*)
                  AS bailed_pct
         FROM f GROUP BY dim_player_name""",
 }

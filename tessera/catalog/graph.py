@@ -73,7 +73,7 @@ def q_graph_edge_max(spark, d):
 def q_graph_edge_ratio(spark, d):
     r = edge_ratio_report(player_vertices(spark, d), plays_in_edges(spark, d), "game",
                           "player_name", "number_of_games", "total_points", ["pts", "team_id"])
-    return r.select("player_name", "object_identifier", F.round("ratio", 8).alias("ratio"),
+    return r.select("player_name", "object_identifier", "ratio",
                     "pts", "team_id")
 
 
@@ -151,9 +151,9 @@ ORACLE = {
         GROUP BY 1""",
     "graph_edge_ratio": f"""
         SELECT v.properties->>'player_name' AS player_name, e.object_identifier,
-               round(CAST(v.properties->>'number_of_games' AS DOUBLE) /
+               CAST(v.properties->>'number_of_games' AS DOUBLE) /
                      CASE WHEN CAST(v.properties->>'total_points' AS DOUBLE) = 0 THEN 1
-                          ELSE CAST(v.properties->>'total_points' AS DOUBLE) END, 8) AS ratio,
+                          ELSE CAST(v.properties->>'total_points' AS DOUBLE) END AS ratio,
                e.properties->>'pts' AS pts, e.properties->>'team_id' AS team_id
         FROM ({PLAYER_V}) v JOIN ({EDGES}) e
           ON v.identifier = e.subject_identifier AND v.type = e.subject_type

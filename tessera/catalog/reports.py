@@ -71,7 +71,7 @@ def q_top_playlist(spark, d):
 def q_top_player_avg_kills(spark, d):
     r = top_by_avg(S.match_details(spark, d), "player_gamertag", "player_total_kills",
                    "avg_kills")
-    return r.withColumn("avg_kills", F.round("avg_kills", 6))
+    return r
 
 
 def q_top_player_avg_kills_int(spark, d):
@@ -207,7 +207,7 @@ ORACLE = {
         SELECT playlist_id, CAST(count(match_id) AS BIGINT) AS top_played FROM {M}
         GROUP BY playlist_id ORDER BY top_played DESC, playlist_id LIMIT 1""",
     "top_player_avg_kills": f"""
-        SELECT player_gamertag, round(avg(player_total_kills), 6) AS avg_kills FROM {MD}
+        SELECT player_gamertag, avg(player_total_kills) AS avg_kills FROM {MD}
         GROUP BY player_gamertag ORDER BY avg(player_total_kills) DESC, player_gamertag LIMIT 1""",
     "top_player_avg_kills_int": f"""
         SELECT player_gamertag, CAST(trunc(avg(player_total_kills)) AS BIGINT) AS avg_kills

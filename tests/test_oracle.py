@@ -16,7 +16,7 @@ SLOW = {"partitioned_matches"}   # thousands of tiny date partitions; covered by
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 4)
+        return "nan" if math.isnan(v) else v
     if isinstance(v, decimal.Decimal):
         return round(float(v), 4)
     if isinstance(v, dt.datetime):
