@@ -149,14 +149,16 @@ def activity_mask_from_events(events: DataFrame, key: str, day: DateLike, ts: st
                               n_bits: int = 32, not_null: tuple[str, ...] = ()) -> DataFrame:
     """The op-26 mask computed straight from events with a ``bit_or`` aggregate.
 
-    Only the last ``n_bits`` days are scanned (pushed range filter); the
-    aggregate is partial, so a hot entity is folded on the mappers.
+    Only the last ``n_bits`` days are scanned (pushed range filter). ``bit_or``
+    is idempotent, so no ``distinct`` is needed first: one fixed-width partial
+    HashAggregate folds a hot entity on the mappers, then one shuffle.
     """
     d = _d(day)
     first = d - dt.timedelta(days=n_bits - 1)
-    days = active_days(events.where(between_days(ts, first, d)), key, ts, not_null)
-    age = F.datediff(F.lit(d), F.col("day"))
-    m = (days.groupBy(key)
-             .agg(F.bit_or(bit_at(F.lit(n_bits - 1) - age))
-                  .alias("bitmask")))
+    cond = between_days(ts, first, d) & F.col(key).isNotNull()
+    for c in not_null:
+        cond = cond & F.col(c).isNotNull()
+    age = F.datediff(F.lit(d), F.to_date(ts))
+    m = (events.where(cond).groupBy(key)
+               .agg(F.bit_or(bit_at(F.lit(n_bits - 1) - age)).alias("bitmask")))
     return _flags(m, "bitmask", n_bits)

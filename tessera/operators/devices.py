@@ -51,10 +51,14 @@ def device_datelist_int(events: DataFrame, devices: DataFrame, month_start: dt.d
     events on one day set one bit.
     """
     last = min(day, month_start + dt.timedelta(days=31))
-    days = _user_device_days(events, devices, key, device, dim, ts,
-                             between_days(ts, month_start, last))
-    off = F.datediff(F.col("day"), F.lit(month_start))
-    per_dim = days.groupBy(key, dim).agg(F.bit_or(bit_at(off)).alias("_mask"))
+    # bit_or is idempotent: fold events per (user, device) first (partial, fixed
+    # width), join the much smaller result to the device dimension, fold again
+    off = F.datediff(F.to_date(ts), F.lit(month_start))
+    per_device = (events.where(between_days(ts, month_start, last) & F.col(key).isNotNull())
+                        .groupBy(key, device).agg(F.bit_or(bit_at(off)).alias("_m")))
+    dd = devices.select(device, dim).distinct()
+    mapped = join_small(per_device, dd, device, "inner").where(F.col(dim).isNotNull())
+    per_dim = mapped.groupBy(key, dim).agg(F.bit_or("_m").alias("_mask"))
     return (per_dim.groupBy(key)
                    .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_mask"))))
                         .alias(out_col))
