@@ -12,9 +12,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# fixed default bound for a broadcast side (rows); about 100 MB at 100 B/row
+# fixed default bounds for a broadcast side: rows, and bytes by schema estimate
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+
+_FIXED = {"boolean": 1, "byte": 1, "short": 2, "int": 4, "integer": 4, "date": 4,
+          "float": 4, "long": 8, "bigint": 8, "double": 8, "timestamp": 8,
+          "timestamp_ntz": 8}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Pessimistic bytes per row: fixed types at their size, 64 B per string or
+    binary value, 512 B per array / map / nested value, 16 B per-row overhead."""
+    w = 16
+    for f in schema.fields:
+        name = f.dataType.typeName()
+        if name in _FIXED:
+            w += _FIXED[name]
+        elif name in ("string", "binary") or name.startswith(("varchar", "char")):
+            w += 64
+        elif name.startswith("decimal"):
+            w += 16
+        else:
+            w += 512
+    return w
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -23,10 +46,16 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
-               how: str = "inner", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``big.join(small)`` broadcasting ``small`` only if it is proven small."""
+               how: str = "inner", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``big.join(small)`` broadcasting ``small`` only if it is proven small.
+
+    The row bound is the smaller of ``max_rows`` and ``max_bytes`` divided by a
+    pessimistic width of ``small``'s schema, so wide rows lower the bound.
+    """
+    bound = min(max_rows, max_bytes // row_width(small.schema))
     if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and \
-            has_at_most(small, max_rows):
+            bound > 0 and has_at_most(small, bound):
         small = F.broadcast(small)
     return big.join(small, on, how)
 

@@ -81,3 +81,21 @@ def test_partitioned_bucketed_write(spark):
     # a filter on the partition column prunes the scan to one directory
     plan = plan_text(t.where(F.col("d") == dt.date(2024, 1, 2)))
     assert "PartitionFilters: [isnotnull(d" in plan
+
+
+def test_broadcast_bound_shrinks_with_row_width(spark):
+    from pyspark.sql import types as T
+
+    from tessera.plans.joins import row_width
+    narrow = T.StructType([T.StructField("k", T.LongType())])
+    wide = T.StructType([T.StructField("k", T.LongType()),
+                         T.StructField("a", T.ArrayType(T.StringType()))])
+    assert row_width(narrow) == 24 and row_width(wide) == 536
+    small = spark.range(100).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(join_small(big, small, "k", max_bytes=24 * 100))
+        assert "BroadcastHashJoin" not in plan_text(join_small(big, small, "k", max_bytes=24 * 99))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
