@@ -86,3 +86,20 @@ def test_day_filter_is_pushed_down(spark):
     assert "LessThan(ts,2024-01-31T00:00)]" in plan_text(snap)   # in PushedFilters
     f = activity_flags(snap, "user_id", L.LAST)
     assert "CartesianProduct" not in plan_text(f) and "NestedLoopJoin" not in plan_text(f)
+
+
+def test_persisted_daily_run_is_idempotent(spark):
+    from tessera.sources import standins as S
+    ev = S.activity_events(spark, SF_SMALL)
+    kw = dict(not_null=("user_id",), list_col="host_activity_datelist")
+    p = fresh_path(spark, "daily")
+    first, today = L.FIRST, L.FIRST + dt.timedelta(days=5)
+    datelist_history(ev, "host", first, today - dt.timedelta(days=1), **kw) \
+        .write.partitionBy("date").parquet(p)
+    for _ in range(2):                      # the second load of the day changes nothing
+        table = spark.read.parquet(p)
+        write_upsert(datelist_step(table, ev, "host", today, **kw), p, "date",
+                     ["host", "date"], existing=table)
+    final = spark.read.parquet(p)
+    want = datelist_history(ev, "host", first, today, **kw)
+    assert rows(final.select(*want.columns)) == rows(want)
