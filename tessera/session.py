@@ -41,6 +41,34 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int,
+               target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for a job reading ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at ~``target_partition_bytes`` of input each (never
+    fewer than 2 waves of the cluster's cores) and AQE coalesces them after
+    measuring; scan splits are the same size; skewed shuffle partitions over
+    4x the median (and 256 MB) are split. Spark spills sorts and aggregations
+    beyond memory, so these sizes keep each task's working set bounded, e.g.
+    100 TB on 1000 executors x 8 cores -> ~800k initial shuffle partitions,
+    coalesced by AQE.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
@@ -75,4 +103,4 @@ def local_path(p: str) -> str:
     return p[len("file:"):] if p.startswith("file:") else p
 
 
-__all__ = ["get_session", "scratch_dir", "fresh_path", "cut_lineage", "local_path"]
+__all__ = ["get_session", "scale_conf", "scratch_dir", "fresh_path", "cut_lineage", "local_path"]
