@@ -42,18 +42,21 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def scale_conf(input_bytes: int, total_cores: int,
-               target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+               target_partition_bytes: int = 128 * 1024 * 1024,
+               max_partitions: int = 100_000) -> dict[str, str]:
     """Session settings sized for a job reading ``input_bytes`` on ``total_cores``.
 
     Shuffle partitions start at ~``target_partition_bytes`` of input each (never
-    fewer than 2 waves of the cluster's cores) and AQE coalesces them after
-    measuring; scan splits are the same size; skewed shuffle partitions over
-    4x the median (and 256 MB) are split. Spark spills sorts and aggregations
-    beyond memory, so these sizes keep each task's working set bounded, e.g.
-    100 TB on 1000 executors x 8 cores -> ~800k initial shuffle partitions,
-    coalesced by AQE.
+    fewer than 2 waves of the cluster's cores, never more than
+    ``max_partitions``: map-output metadata grows with maps x reducers) and AQE
+    coalesces them after measuring; scan splits are the same size; skewed
+    shuffle partitions over 4x the median (and 256 MB) are split. Spark spills
+    sorts and aggregations beyond memory, so these sizes keep each task's
+    working set bounded. E.g. 100 TB on 1000 executors x 8 cores -> 100k
+    initial shuffle partitions (~1 GB of input each), coalesced by AQE.
     """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(max_partitions,
+                max(2 * total_cores, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
