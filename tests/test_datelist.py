@@ -103,3 +103,21 @@ def test_persisted_daily_run_is_idempotent(spark):
     final = spark.read.parquet(p)
     want = datelist_history(ev, "host", first, today, **kw)
     assert rows(final.select(*want.columns)) == rows(want)
+
+
+def test_daily_step_prunes_partitions(spark):
+    from tessera.plans.joins import join_small
+    from tessera.sources import standins as S
+    ev = S.activity_events(spark, SF_SMALL)
+    kw = dict(not_null=("user_id",), list_col="host_activity_datelist")
+    p = fresh_path(spark, "prune")
+    datelist_history(ev, "host", L.FIRST, L.FIRST + dt.timedelta(days=4), **kw) \
+        .write.partitionBy("date").parquet(p)
+    table = spark.read.parquet(p)
+    day = L.FIRST + dt.timedelta(days=5)
+    step = datelist_step(table, ev, "host", day, **kw)
+    # the previous day's partition only (static pruning)
+    assert f"(date#" in plan_text(step) and f"= {day - dt.timedelta(days=1)})]" in plan_text(step)
+    # the upsert's read of existing rows is pruned at runtime to the touched days
+    cur = join_small(table, step.select("date").distinct(), "date", "left_semi")
+    assert "dynamicpruning" in plan_text(cur)
