@@ -28,22 +28,34 @@ def _user_device_days(events, devices, key, device, dim, ts, cond):
     return mapped.where(F.col(dim).isNotNull()).select(key, dim, "day").distinct()
 
 
+def _shape(df: DataFrame, out_col: str, as_json: bool) -> DataFrame:
+    # as_json: the stored form struct(browser_dates = JSON object text)
+    if not as_json:
+        return df
+    return df.withColumn(out_col, F.struct(F.to_json(out_col).alias("browser_dates")))
+
+
 def device_datelist(events: DataFrame, devices: DataFrame, day: dt.date, key: str = "user_id",
                     device: str = "device_id", dim: str = "browser_type", ts: str = "ts",
-                    out_col: str = "device_activity_datelist") -> DataFrame:
-    """Map of ``dim`` -> ascending active dates up to ``day`` per user (op 27)."""
+                    out_col: str = "device_activity_datelist",
+                    as_json: bool = False) -> DataFrame:
+    """Map of ``dim`` -> ascending active dates up to ``day`` per user (op 27).
+
+    ``as_json=True`` returns ``struct(browser_dates: JSON text)`` instead of the map.
+    """
     days = _user_device_days(events, devices, key, device, dim, ts, before_day_end(ts, day))
     per_dim = days.groupBy(key, dim).agg(F.sort_array(F.collect_list("day")).alias("_dates"))
-    return (per_dim.groupBy(key)
-                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_dates"))))
-                        .alias(out_col))
-                   .withColumn("date", F.lit(day)))
+    out = (per_dim.groupBy(key)
+                  .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_dates"))))
+                       .alias(out_col))
+                  .withColumn("date", F.lit(day)))
+    return _shape(out, out_col, as_json)
 
 
 def device_datelist_int(events: DataFrame, devices: DataFrame, month_start: dt.date,
                         day: dt.date, key: str = "user_id", device: str = "device_id",
                         dim: str = "browser_type", ts: str = "ts",
-                        out_col: str = "datelist_int") -> DataFrame:
+                        out_col: str = "datelist_int", as_json: bool = False) -> DataFrame:
     """Map of ``dim`` -> 32-bit activity mask per user (op 28).
 
     Bit ``k`` is set when the user was active ``k`` days after ``month_start``
@@ -59,10 +71,11 @@ def device_datelist_int(events: DataFrame, devices: DataFrame, month_start: dt.d
     dd = devices.select(device, dim).distinct()
     mapped = join_small(per_device, dd, device, "inner").where(F.col(dim).isNotNull())
     per_dim = mapped.groupBy(key, dim).agg(F.bit_or("_m").alias("_mask"))
-    return (per_dim.groupBy(key)
-                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_mask"))))
-                        .alias(out_col))
-                   .withColumn("date", F.lit(day)))
+    out = (per_dim.groupBy(key)
+                  .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_mask"))))
+                       .alias(out_col))
+                  .withColumn("date", F.lit(day)))
+    return _shape(out, out_col, as_json)
 
 
 def explode_map(df: DataFrame, key: str, map_col: str, k: str, v: str) -> DataFrame:

@@ -67,3 +67,13 @@ def test_devices_fanout_and_nulls(spark):
     b = {r["user_id"]: r["datelist_int"]
          for r in device_datelist_int(ev, dev, M, dt.date(2023, 1, 31)).collect()}
     assert b[1] == {"chrome": 1, "edge": 1, "safari": 4}   # two events on day 0 -> one bit
+
+
+def test_devices_json_form(spark):
+    ev = spark.createDataFrame([(1, 10, dt.datetime(2023, 1, 2, 1))],
+                               "user_id long, device_id int, ts timestamp_ntz")
+    dev = spark.createDataFrame([(10, "chrome")], "device_id int, browser_type string")
+    r = device_datelist(ev, dev, dt.date(2023, 1, 31), as_json=True).collect()[0]
+    assert r["device_activity_datelist"]["browser_dates"] == '{"chrome":["2023-01-02"]}'
+    r = device_datelist_int(ev, dev, M, dt.date(2023, 1, 31), as_json=True).collect()[0]
+    assert r["datelist_int"]["browser_dates"] == '{"chrome":2}'
