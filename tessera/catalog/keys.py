@@ -30,6 +30,20 @@ def q_duplicate_keys(spark, d):
         "n", F.col("n").cast("bigint"))
 
 
+def q_duplicate_game_details(spark, d):
+    """Duplicate check on the fact grain (game, team, player)."""
+    gd = S.game_details(spark, d)
+    return duplicate_keys(gd, ["game_id", "team_id", "player_id"]).withColumn(
+        "n", F.col("n").cast("bigint"))
+
+
+def q_duplicate_player_game(spark, d):
+    """Duplicate check on the plays_in edge key (player, game)."""
+    gd = S.game_details(spark, d)
+    return duplicate_keys(gd, ["player_id", "game_id"]).withColumn(
+        "n", F.col("n").cast("bigint"))
+
+
 def q_check_keys(spark, d):
     return check_keys(load(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -55,6 +69,8 @@ def q_load_csv(spark, d):
 QUERIES = {
     "dedup_lineitem": q_dedup_lineitem,
     "duplicate_keys": q_duplicate_keys,
+    "duplicate_game_details": q_duplicate_game_details,
+    "duplicate_player_game": q_duplicate_player_game,
     "check_keys": q_check_keys,
     "check_values": q_check_values,
     "load_csv": q_load_csv,
@@ -72,6 +88,13 @@ ORACLE = {
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS n
         FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "duplicate_game_details": """
+        SELECT l_orderkey AS game_id, l_linenumber AS team_id, l_suppkey AS player_id,
+               count(*) AS n
+        FROM lineitem GROUP BY l_orderkey, l_linenumber, l_suppkey HAVING count(*) > 1""",
+    "duplicate_player_game": """
+        SELECT l_suppkey AS player_id, l_orderkey AS game_id, count(*) AS n
+        FROM lineitem GROUP BY l_suppkey, l_orderkey HAVING count(*) > 1""",
     "check_keys": """
         WITH k AS (
           SELECT count(*) AS n,
