@@ -14,6 +14,7 @@ from tessera.functions.columns import classify, join_values
 from tessera.operators.cumulative import (cumulate_backfill, cumulate_step,
                                           cumulate_step_multi, history_ratio,
                                           snapshot_multi_as_of, unnest_history)
+from tessera.plans.joins import join_small
 from tessera.sources import load
 from tessera.sources import standins as S
 
@@ -28,7 +29,7 @@ KEY = "o_custkey"
 
 def seasons(spark, d):
     """Player-season stand-in: one row per (customer, year) with static columns."""
-    return S.customer_years(spark, d).join(S.customer_static(spark, d), KEY, "inner")
+    return join_small(S.customer_years(spark, d), S.customer_static(spark, d), KEY, "inner")
 
 
 def backfill(spark, d, hi=HI):
