@@ -56,7 +56,8 @@ def q_host_datelist_upsert(spark, d):
     table = spark.read.parquet(path)
     rerun = datelist_step(table, ev, "host", LAST - ONE, **kw)   # re-run of a loaded day
     step = datelist_step(table, ev, "host", LAST, **kw)
-    write_upsert(rerun.unionByName(step), path, "date", ["host", "date"], existing=table)
+    write_upsert(rerun.unionByName(step), path, "date", ["host", "date"], existing=table,
+                 partitions=[LAST - ONE, LAST])
     return _flat(spark.read.parquet(path), "host", "host_activity_datelist")
 
 
@@ -67,7 +68,8 @@ def q_host_datelist_upsert_frame(spark, d):
     target = datelist_history(ev, "host", FIRST, LAST - ONE, **kw)
     rerun = datelist_step(target, ev, "host", LAST - ONE, **kw)
     step = datelist_step(target, ev, "host", LAST, **kw)
-    out = upsert(target, rerun.unionByName(step), ["host", "date"], partition_col="date")
+    out = upsert(target, rerun.unionByName(step), ["host", "date"], partition_col="date",
+                 partitions=[LAST - ONE, LAST])
     return _flat(out, "host", "host_activity_datelist")
 
 

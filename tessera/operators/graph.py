@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import json_get, json_object, safe_ratio
 from tessera.operators.keys import dedup
-from tessera.plans.joins import join_small
 
 # fixed values: the vertex and edge type names of the graph tables
 VERTEX_TYPES = ("player", "team", "game")
@@ -73,7 +72,7 @@ def edge_property_max(vertices: DataFrame, edges: DataFrame, name_prop: str,
     v = vertices.select(F.col("identifier").alias("subject_identifier"),
                         F.col("type").alias("subject_type"),
                         json_get("properties", name_prop).alias(name_prop))
-    j = join_small(per_subject, v, ["subject_identifier", "subject_type"], "inner")
+    j = v.join(per_subject, ["subject_identifier", "subject_type"], "inner")
     return (j.groupBy(name_prop).agg(F.max("_m").alias(f"max_{edge_prop}"))
              .orderBy(F.col(f"max_{edge_prop}").desc_nulls_first(), F.col(name_prop)))
 
@@ -86,9 +85,10 @@ def edge_ratio_report(vertices: DataFrame, edges: DataFrame, object_type: str,
     For each edge whose object has ``object_type``: the subject vertex's name,
     the object id, the ratio of two numeric vertex properties (zero
     denominator -> 1) and the requested edge properties as text. The vertex
-    side (one row per key) is broadcast when proven small, so the edges are not
-    shuffled at all; beyond the bound it is a shuffle join whose hot subjects
-    AQE's skew-join splits.
+    side has one row per key; AQE turns the join into a broadcast when the
+    measured vertex side is small, and otherwise splits hot subjects with its
+    skew-join. (No up-front size check: on a derived vertex table it would
+    cost a full extra pass.)
     """
     v = vertices.select(F.col("identifier").alias("subject_identifier"),
                         F.col("type").alias("subject_type"),
@@ -96,6 +96,6 @@ def edge_ratio_report(vertices: DataFrame, edges: DataFrame, object_type: str,
                         safe_ratio(json_get("properties", num_prop, "double"),
                                    json_get("properties", den_prop, "double")).alias("ratio"))
     e = edges.where(F.col("object_type") == object_type)
-    j = join_small(e, v, ["subject_identifier", "subject_type"], "inner")
+    j = e.join(v, ["subject_identifier", "subject_type"], "inner")
     return j.select(name_prop, "object_identifier", "ratio",
                     *[json_get("properties", p).alias(p) for p in edge_props])

@@ -3,23 +3,45 @@
 Parquet tables have no MERGE; the DataFrame form is an anti join on the key plus
 a union. Written out with dynamic partition overwrite, only the partitions that
 the updates touch are replaced, so a daily load rewrites one day.
+
+A load usually knows which partitions it writes (the day it loads): pass them as
+``partitions`` and the existing rows are selected by a static partition filter
+(pruned at planning time, no extra job). Without it, the touched values are
+derived from ``updates`` and broadcast after a size check -- which evaluates
+``updates`` once more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 from tessera.plans.joins import join_small
 
 
+def _split(target: DataFrame, updates: DataFrame, partition_col: str,
+           partitions: Sequence | None) -> tuple[DataFrame, DataFrame]:
+    """(rows of touched partitions, rows of untouched partitions) of ``target``."""
+    if partitions is not None:
+        cond: Column = F.col(partition_col).isin(list(partitions))
+        return target.where(cond), target.where(~cond | F.col(partition_col).isNull())
+    touched = updates.select(partition_col).distinct()
+    return (join_small(target, touched, partition_col, "left_semi"),
+            join_small(target, touched, partition_col, "left_anti"))
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           partition_col: str | None = None) -> DataFrame:
+           partition_col: str | None = None,
+           partitions: Sequence | None = None) -> DataFrame:
     """Rows of ``target`` whose key is not in ``updates``, plus all ``updates``.
 
     With ``partition_col`` (a column that is part of ``keys``), target rows in
     partitions the updates do not touch pass through without joining: only the
-    touched partitions are shuffled against the updates.
+    touched partitions are shuffled against the updates. ``partitions`` names
+    the touched values when the caller knows them (they must cover every
+    partition value present in ``updates``).
     """
     keys = list(keys)
     upd_keys = updates.select(*keys)
@@ -28,27 +50,26 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     else:
         if partition_col not in keys:
             raise ValueError("partition_col must be one of the keys")
-        touched = updates.select(partition_col).distinct()
-        # the touched-partition list is small (a day per load); checked before broadcast
-        hit = join_small(target, touched, partition_col, "left_semi")
-        miss = join_small(target, touched, partition_col, "left_anti")
+        hit, miss = _split(target, updates, partition_col, partitions)
         kept = miss.unionByName(hit.join(upd_keys, keys, "left_anti"))
     return kept.select(*target.columns).unionByName(updates.select(*target.columns))
 
 
 def write_upsert(updates: DataFrame, path: str, partition_col: str, keys: Sequence[str],
-                 existing: DataFrame | None = None) -> None:
+                 existing: DataFrame | None = None,
+                 partitions: Sequence | None = None) -> None:
     """Persist an upsert into a ``partitionBy(partition_col)`` parquet table.
 
     The touched partitions are rebuilt (existing rows of those partitions minus
     updated keys, plus the updates) and written with dynamic partition
-    overwrite; other partitions are not read or rewritten.
+    overwrite; other partitions are not read or rewritten. With ``partitions``
+    the read of ``existing`` is pruned statically; without it, by Dynamic
+    Partition Pruning through the broadcast of the touched values.
     """
     spark = updates.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if existing is not None:
-        touched = updates.select(partition_col).distinct()
-        cur = join_small(existing, touched, partition_col, "left_semi")
+        cur, _ = _split(existing, updates, partition_col, partitions)
         merged = cur.join(updates.select(*keys), list(keys), "left_anti").unionByName(
             updates.select(*existing.columns))
     else:

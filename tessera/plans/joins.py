@@ -52,6 +52,11 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Colum
 
     The row bound is the smaller of ``max_rows`` and ``max_bytes`` divided by a
     pessimistic width of ``small``'s schema, so wide rows lower the bound.
+
+    The check is cheap when ``small`` is a (filtered, projected) scan of a stored
+    table -- the limit stops each task early. On a derived aggregate it must
+    compute the aggregate first, i.e. an extra pass over its input; join such
+    sides with a plain join and let AQE broadcast them from the measured size.
     """
     bound = min(max_rows, max_bytes // row_width(small.schema))
     if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and \

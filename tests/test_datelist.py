@@ -67,6 +67,7 @@ def test_upsert_replaces_only_keys(spark):
     want = [("a", 1, "new"), ("a", 2, "old"), ("b", 1, "old"), ("c", 1, "new")]
     assert rows(upsert(t, u, ["k", "d"])) == want
     assert rows(upsert(t, u, ["k", "d"], partition_col="d")) == want
+    assert rows(upsert(t, u, ["k", "d"], partition_col="d", partitions=[1])) == want
 
 
 def test_write_upsert_dynamic_overwrite(spark):
@@ -79,6 +80,11 @@ def test_write_upsert_dynamic_overwrite(spark):
     write_upsert(u, p, "d", ["k", "d"], existing=existing)
     back = spark.read.parquet(p).select("k", "d", "v")
     assert rows(back) == [("a", 1, "new"), ("a", 2, "old"), ("b", 1, "old")]
+    u2 = spark.createDataFrame([("b", 1, "newer")], "k string, d int, v string")
+    existing = spark.read.parquet(p)
+    write_upsert(u2, p, "d", ["k", "d"], existing=existing, partitions=[1])   # static pruning
+    back = spark.read.parquet(p).select("k", "d", "v")
+    assert rows(back) == [("a", 1, "new"), ("a", 2, "old"), ("b", 1, "newer")]
 
 
 def test_day_filter_is_pushed_down(spark):
