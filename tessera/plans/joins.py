@@ -1,8 +1,8 @@
 """Joins with a checked broadcast side.
 
 A side is broadcast only after a bounded job proves it small:
-``df.limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows per task
-and stops. Beyond the bound the join stays a shuffle join, and AQE may still
+``offset(max_rows).take(1)`` scans partitions incrementally and stops as soon
+as ``max_rows + 1`` rows are seen. Beyond the bound the join stays a shuffle join, and AQE may still
 turn it into a broadcast at runtime from the measured shuffle size.
 """
 
@@ -41,8 +41,14 @@ def row_width(schema: T.StructType) -> int:
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check).
+
+    ``offset(max_rows).take(1)`` is planned as a collect-limit that scans
+    partitions incrementally (one, then more) until ``max_rows + 1`` rows are
+    found, so a large side stops early instead of running every scan task; only
+    the projected constant column moves and one row at most reaches Python.
+    """
+    return len(df.select(F.lit(1).alias("_one")).offset(max_rows).take(1)) == 0
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
@@ -54,7 +60,7 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Colum
     pessimistic width of ``small``'s schema, so wide rows lower the bound.
 
     The check is cheap when ``small`` is a (filtered, projected) scan of a stored
-    table -- the limit stops each task early. On a derived aggregate it must
+    table -- the incremental take stops early. On a derived aggregate it must
     compute the aggregate first, i.e. an extra pass over its input; join such
     sides with a plain join and let AQE broadcast them from the measured size.
     """
