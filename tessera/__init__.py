@@ -11,7 +11,13 @@ Layout
 ``functions``  column-level helpers (classification, arrays, bits, JSON)
 ``operators``  the modelling pipelines (cumulative, SCD2, graph, datelists ...)
 ``plans``      physical-layout helpers (checked broadcast, bucketing, layout)
-``streaming``  incremental drivers for the daily steps
+``streaming``  reserved: the modelled pipelines have no streams
+``catalog``    the registered queries, each beside its DuckDB oracle SQL
+
+Public entry points: ``tessera.operators`` (the pipelines), ``tessera.plans``
+(joins and layouts), ``tessera.functions`` (column helpers),
+``tessera.sources`` (readers) and ``tessera.session`` (``get_session``,
+``scale_conf``, ``scratch_dir``, ``cut_lineage``).
 """
 
 from tessera.session import get_session, scratch_dir
