@@ -52,3 +52,26 @@ def test_month_array_fold_with_rerun_equals_as_of(spark, spec, rerun):
     want = {r["user_id"]: r["metric_array"]
             for r in month_arrays_as_of(ev, "user_id", "hits", dt.date(2024, 1, 5)).collect()}
     assert got == want
+
+
+scd_st = st.lists(st.tuples(st.integers(1, 3),                       # first period
+                            st.lists(st.tuples(st.sampled_from(["a", "b"]), st.booleans()),
+                                     min_size=4, max_size=4)),
+                  min_size=1, max_size=6)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(spec=scd_st)
+def test_scd_fold_equals_backfill(spark, spec):
+    from tessera.operators.scd2 import scd2_backfill, scd2_increment
+    rows = [(f"k{i}", p, attrs[p - 1][0], attrs[p - 1][1])
+            for i, (first, attrs) in enumerate(spec) for p in range(first, 5)]
+    snaps = spark.createDataFrame(rows, "k string, p int, cls string, act boolean")
+    scd = scd2_backfill(snaps, "k", ["cls", "act"], "p", 1)
+    for p in range(2, 5):
+        scd = scd2_increment(scd, snaps, "k", ["cls", "act"], p - 1, p, "p").checkpoint()
+    full = scd2_backfill(snaps, "k", ["cls", "act"], "p", 4)
+    cols = ["k", "cls", "act", "start_period", "end_period", "current_period"]
+    key = lambda r: tuple(str(r[c]) for c in cols)     # noqa: E731
+    assert sorted(scd.select(*cols).collect(), key=key) == \
+        sorted(full.select(*cols).collect(), key=key)
