@@ -11,6 +11,13 @@ from tessera.llm.common import parquet
 from tessera.llm.jaccard import jaccard_join
 from tessera.llm.langid import held_out, identify_language
 from tessera.llm.quality import quality_rules
+from tessera.llm.suffixdedup import suffix_dedup
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(parquet(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
