@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.bpe import bpe_digests
 from tessera.llm.common import parquet
 from tessera.llm.jaccard import jaccard_join
 from tessera.llm.langid import held_out, identify_language
+from tessera.llm.packing import pack_documents
 from tessera.llm.quality import quality_rules
 from tessera.llm.suffixdedup import suffix_dedup
 
 
+def _tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(parquet(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
@@ -31,6 +38,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(parquet(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    docs = parquet(spark, sf_dir, "documents", "doc_id", "text")
+    return pack_documents(docs, tokenizer or _tokenizer_file("byte_bpe_50k.json"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
+    docs = parquet(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe_digests(docs, ranks or _tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules(parquet(spark, sf_dir, "documents", "doc_id", "text", "lang"),
                         parquet(spark, sf_dir, "labels", "doc_id", "quality"))
