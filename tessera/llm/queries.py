@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.ann import nearest_neighbours
 from tessera.llm.bpe import bpe_digests
+from tessera.llm.chat import ORACLE as CHAT_ORACLE
+from tessera.llm.chat import rotate_perspectives
 from tessera.llm.common import parquet
+from tessera.llm.html import extract_main_text
 from tessera.llm.jaccard import jaccard_join
 from tessera.llm.langid import held_out, identify_language
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import quality_rules
+from tessera.llm.sharding import feistel_shards
 from tessera.llm.suffixdedup import suffix_dedup
 
 
@@ -34,10 +39,30 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_main_text(parquet(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(parquet(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = nearest_neighbours(parquet(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+def op6_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate_perspectives(parquet(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op7_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = feistel_shards(parquet(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     docs = parquet(spark, sf_dir, "documents", "doc_id", "text")
     return pack_documents(docs, tokenizer or _tokenizer_file("byte_bpe_50k.json"))
@@ -60,4 +85,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return {"op6_perspective_rotation": CHAT_ORACLE}
