@@ -251,3 +251,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(F.col("id").alias(id_col),
                     F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
                     F.when(F.col("size") > 0, F.coalesce("n_links", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_links")))
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
+                  recall: float = 0.99999) -> DataFrame:
+    """The rows of ``docs`` without those whose class has a smaller id; of a repeated id one row stays.
+
+    Rows with a null id all stay.
+    """
+    found = once(jaccard_join(docs, id_col, text_col, similarity, recall))
+    left = docs.join(found.where(F.col("class_id") != F.col(id_col)).select(id_col).distinct(), id_col, "left_anti")
+    again = once(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col))
+    if again.isEmpty():
+        return left.select(docs.columns)
+    single = left.join(again, id_col, "left_anti").select(docs.columns)
+    return single.unionByName(left.join(again, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns))

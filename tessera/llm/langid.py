@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import text_buffers
 
@@ -183,14 +184,21 @@ def _sample_windows(batches, windows_per_doc: int):
 
 
 def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", docs_per_lang: int = 400, windows_per_doc: int = 6) -> DataFrame:
-    """(id, lang_pred, score) of every row; ``learn`` says which rows may be learned from."""
+                      lang_col: str = "lang", docs_per_lang: int = 400, windows_per_doc: int = 6,
+                      whole_rows: bool = False) -> DataFrame:
+    """(id, lang_pred, score) of every row; ``learn`` says which rows may be learned from.
+
+    With ``whole_rows`` also the row itself, as struct ``row``.
+    """
     model = _learn(docs, learn, id_col, text_col, lang_col, docs_per_lang, windows_per_doc)
+    row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                         F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"))
-    kind = narrow.schema["id"].dataType.simpleString()
+                         F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"), *row)
     if model is None:
-        return narrow.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return narrow.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
+                             *(["row"] if row else []))
+    schema = T.StructType([narrow.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           *(narrow.schema["row"] for _ in row)])
     labels, tables, V, c = model
 
     def run(batches):
@@ -211,11 +219,10 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
             score = np.where(has, total[np.arange(len(total)), best] / np.maximum(mass, 1e-12), 0.0)
             pred = np.where(has, np.array(labels, object)[best], "und")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())],
-                ["id", "lang_pred", "score"])
+                [b.column(0), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), *b.columns[3:]],
+                ["id", "lang_pred", "score", *b.schema.names[3:]])
 
-    return (narrow.mapInArrow(run, f"id {kind}, lang_pred string, score double")
-            .withColumnRenamed("id", id_col))
+    return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

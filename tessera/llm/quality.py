@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import (once, prefix_sums, row_sums, span_hash, text_slices,
                                 window_hashes, word_spans)
@@ -106,21 +107,23 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
             "n_lower": row_sums((data >= 97) & (data <= 122), offsets)}
 
 
-def text_features(docs: DataFrame, id_col: str, text_col: str, stratum_col: str) -> DataFrame:
-    """(id, stratum, the counts) of every text."""
+def text_features(docs: DataFrame, id_col: str, text_col: str, stratum_col: str, whole_rows: bool = False) -> DataFrame:
+    """(id, stratum, the counts) of every text; with ``whole_rows`` also the row itself, as struct ``row``."""
     def run(batches):
         for b in batches:
             parts = [text_counts(data, offsets) for _, _, data, offsets in text_slices(b.column(2))]
             if parts:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1),
-                     *(pa.array(np.concatenate([p[c] for p in parts]), pa.int64()) for c in COUNTS)],
-                    ["id", "stratum", *COUNTS])
+                     *(pa.array(np.concatenate([p[c] for p in parts]), pa.int64()) for c in COUNTS),
+                     *b.columns[3:]], ["id", "stratum", *COUNTS, *b.schema.names[3:]])
 
+    row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
     narrow = docs.select(F.col(id_col).alias("id"), F.col(stratum_col).cast("string").alias("stratum"),
-                         F.col(text_col).alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"id {kind}, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+                         F.col(text_col).alias("text"), *row)
+    schema = T.StructType([narrow.schema["id"], narrow.schema["stratum"], *(T.StructField(c, T.LongType()) for c in COUNTS),
+                           *(narrow.schema["row"] for _ in row)])
+    return narrow.mapInArrow(run, schema)
 
 
 def base_failed() -> F.Column:
@@ -192,16 +195,27 @@ def _step(rule: str) -> F.Column:
     return sum(((r > c).cast("int") for c in LADDER), F.lit(0))
 
 
+def _verdict(features: DataFrame, cutoffs: dict[str, dict[str, float]]) -> DataFrame:
+    failed = [F.when((F.coalesce("stratum", F.lit("")) == s) & (_ratio(rule) > c), F.lit(rule))
+              for s, rules in cutoffs.items() for rule, c in rules.items()]
+    names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    return (features.withColumn("base_failed", base_failed()).withColumn("failed_rules", F.array_join(names, ","))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == "")))
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   stratum_col: str = "lang", good_col: str = "quality",
                   max_false_rejection: float = 0.05, delta: float = 0.05) -> DataFrame:
     """(id, stratum, counts, base_failed, failed_rules, kept) of every row of ``docs``."""
     features = once(text_features(docs, id_col, text_col, stratum_col))
     cutoffs = calibrate(features, labels, id_col, good_col, max_false_rejection, delta)
-    failed = [F.when((F.coalesce("stratum", F.lit("")) == s) & (_ratio(rule) > c), F.lit(rule))
-              for s, rules in cutoffs.items() for rule, c in rules.items()]
-    names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
-    return (features.withColumn("base_failed", base_failed())
-            .withColumn("failed_rules", F.array_join(names, ","))
-            .withColumn("kept", ~F.col("base_failed") & (F.col("failed_rules") == ""))
-            .withColumnRenamed("id", id_col))
+    return _verdict(features, cutoffs).withColumnRenamed("id", id_col)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              stratum_col: str = "lang", good_col: str = "quality",
+              max_false_rejection: float = 0.05, delta: float = 0.05) -> DataFrame:
+    """The rows of ``docs`` that the rules keep. Counting twice is cheaper than moving the texts to a join."""
+    features = once(text_features(docs, id_col, text_col, stratum_col))
+    cutoffs = calibrate(features, labels, id_col, good_col, max_false_rejection, delta)
+    return _verdict(text_features(docs, id_col, text_col, stratum_col, True), cutoffs).where("kept").select("row.*")

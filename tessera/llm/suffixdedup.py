@@ -106,7 +106,7 @@ def _anchor_batches(batches):
 
 def repeated_anchors(docs: DataFrame) -> DataFrame:
     """(id, places): anchors of (id, text) whose substring occurs elsewhere too."""
-    found = docs.where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
+    found = docs.select("id", "text").where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         _anchor_batches, "key long, id long, place long, sure boolean")
     found = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
     return found.where("(sure OR n > 1) AND id IS NOT NULL").groupBy("id").agg(F.collect_list("place").alias("places"))
@@ -186,12 +186,13 @@ def _emit_runs(held: list, buckets: int):
 def _run_batches(batches, buckets: int):
     held, count = [], 0
     for b in batches:
-        keep = np.flatnonzero(b.column(2).is_valid().to_numpy(zero_copy_only=False))
+        place_col = b.num_columns - 1
+        keep = np.flatnonzero(b.column(place_col).is_valid().to_numpy(zero_copy_only=False))
         if not len(keep):
             continue
         b = b.take(pa.array(keep))
         ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        places = b.column(2)
+        places = b.column(place_col)
         for i, j, data, offsets in text_slices(b.column(1)):
             mine = [np.unique(places[r].values.to_numpy(zero_copy_only=False)) for r in range(i, j)]
             row = np.repeat(np.arange(j - i), [len(x) for x in mine])
@@ -360,9 +361,9 @@ def _span_batches(batches):
 
 # ---- removal -----------------------------------------------------------------------------------
 
-def _cut_batches(batches):
+def _cut_batches(batches, as_text: bool):
     for b in batches:
-        spans_col = b.column(2)
+        spans_col = b.column(b.num_columns - 1)
         n_bytes, starts, ends, kept = [], [], [], []
         for i, j, data, offsets in text_slices(b.column(1)):
             for r in range(i, j):
@@ -386,17 +387,25 @@ def _cut_batches(batches):
         whole = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
             [b.column(0), pa.array(n_bytes, pa.int64()), pa.array(starts, whole), pa.array(ends, whole),
-             pa.array(kept, pa.binary())], ["id", "n_bytes", "span_starts", "span_ends", "kept"])
+             pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
+             *b.columns[2:-1]], ["id", "n_bytes", "span_starts", "span_ends", "kept", *b.schema.names[2:-1]])
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, span_starts, span_ends, kept) of every row: the removed spans and the bytes that stay."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False,
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_bytes, span_starts, span_ends, kept) of every row: the removed spans and the bytes that stay.
+
+    ``as_text`` gives ``kept`` as a string, without characters of which a part was removed. The columns in ``carry``
+    come along, as struct ``row``.
+    """
+    row = [F.struct(*carry).alias("row")] if carry else []
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row)
     parts = shuffle_parts(docs)
     with_places = docs.join(repeated_anchors(docs), "id", "left")
     runs = with_places.mapInArrow(lambda it: _run_batches(it, 2 * parts), "bucket long, kind long, blob binary")
     runs = runs.repartition(parts, "bucket").sortWithinPartitions("bucket")
     spans = runs.mapInArrow(_span_batches, "id long, span long").groupBy("id").agg(F.collect_list("span").alias("spans"))
-    return (docs.join(spans, "id", "left")
-            .mapInArrow(_cut_batches, "id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept binary")
+    schema = ("id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept " + ("string" if as_text else "binary")
+              + "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row))
+    return (docs.join(spans, "id", "left").mapInArrow(lambda it: _cut_batches(it, as_text), schema)
             .withColumnRenamed("id", id_col))
