@@ -37,7 +37,7 @@ _RAW = frozenset("script style textarea iframe noscript template title svg math
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody
-tfoot thead tr ul option select button""".split())
+tfoot thead tr ul option select button #""".split())          # "#" is the page itself
 _HOLDS_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote figcaption caption tr td th summary legend address".split())
 _INLINE_SPACE = frozenset(("br", "td", "th", "img", "input", "wbr"))
 _DROP_TAGS = frozenset("nav footer aside form button select head menu dialog fieldset label input".split())
@@ -90,7 +90,7 @@ def _is_dropped(tag: str, words: set[str], hidden: bool, parent: _Node) -> bool:
 
 def read_page(html: str) -> list[tuple[str, int, _Node]]:
     """The blocks of a page in order: (text, characters inside links, element that holds it)."""
-    root = _Node("", None, "", False, False)
+    root = _Node("#", None, "", False, False)
     top, at, blocks = root, 0, []
     pieces: list[str] = []
     linked = 0
@@ -183,27 +183,25 @@ def best_container(blocks: list[tuple[str, int, _Node]]) -> _Node | None:
         if node.dropped:
             continue
         home = _container(node)
-        if home is None or not home.tag:
-            continue
         worth = len(text) - 3 * linked
         if node.tag not in _HOLDS_TEXT:
             worth *= 0.6
         share = float(worth)
-        while home is not None and home.tag:
+        while home is not None:
             seen[id(home)] = home
             home.score += share
             share /= 2
             home = home.parent
-            while home is not None and home.tag and home.tag not in _BLOCK:
+            while home is not None and home.tag not in _BLOCK:
                 home = home.parent
     best = None
     for node in seen.values():                       # first seen wins ties
-        factor = 0.5 if node.tag in ("html",) else 0.8 if node.tag == "body" else 1.0
+        factor = {"#": 0.5, "html": 0.5, "body": 0.8}.get(node.tag, 1.0)
         node.score *= factor
         if node.score > 0 and (best is None or node.score > best.score):
             best = node
     node = best
-    while node is not None and node.tag:
+    while node is not None:
         if node.tag in ("article", "main"):
             return node
         node = node.parent
@@ -222,7 +220,7 @@ def extract(html: str, leading: list[str]) -> str:
     for _, _, node in blocks:
         if id(node) not in paths:
             chain, up = [], node
-            while up is not None and up.tag:
+            while up is not None:
                 chain.append(up)
                 up = up.parent
             paths[id(node)] = chain

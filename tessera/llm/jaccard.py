@@ -11,7 +11,7 @@ a leaf of a run with probability q(0) = 1, q(d) = 1 - (1 - s q(d-1))^BRANCH at l
 
 Leaves are compared by brute force on 8-bit sketches of all coordinates, with a margin of five standard
 deviations; a leaf that can't be split (copies) is compared in blocks of bounded size. The links of a leaf are kept
-as a spanning forest. Each connected component of these candidates is then
+as a spanning forest, and later runs compare only what is still apart. Each connected component of these candidates is then
 verified once on its whole shingle sets, all pairs in blocks, counted where they
 are made and never written out: exact links per set and a spanning forest of the true links. So links
 are found also between sets that shared no leaf, and copies never multiply rows.
@@ -118,18 +118,21 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def _leaf_links(batches, margin: int):
+    """Of each leaf: a spanning forest (a, b) of the components so far that it finds linked."""
     for t in sorted_groups(batches, 3):
-        ids = t.column("rep").to_numpy()
-        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(ids), COORDS)
-        order = np.argsort(ids, kind="stable")
-        ids, sk = ids[order], sk[order]
-        near = np.zeros((len(ids), len(ids)), bool)
-        for i in range(0, len(ids), 64):
-            near[i:i + 64] = (sk[i:i + 64, None] == sk[None]).sum(2, dtype=np.int16) >= margin
-        root = ids[local_roots(near)]
-        tied = root != ids
+        comp = t.column("comp").to_numpy()
+        parts, member = np.unique(comp, return_inverse=True)
+        if len(parts) < 2:
+            continue
+        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(comp), COORDS)
+        linked = np.zeros((len(parts), len(parts)), bool)
+        for i in range(0, len(comp), 64):
+            x, y = np.nonzero((sk[i:i + 64, None] == sk[None]).sum(2, dtype=np.int16) >= margin)
+            linked[member[x + i], member[y]] = True
+        root = parts[local_roots(linked)]
+        tied = root != parts
         if tied.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(root[tied])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(parts[tied]), pa.array(root[tied])], ["a", "b"])
 
 
 def _in_blocks(rows: DataFrame, key: str, item: str, size: str, block: int) -> DataFrame:
@@ -140,10 +143,8 @@ def _in_blocks(rows: DataFrame, key: str, item: str, size: str, block: int) -> D
     return rows.withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other")).drop("other")
 
 
-def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
-    """Forest edges (a, b) of the sets (rep, nodes, sketch) whose sketches agree in a leaf of some run."""
-    sketches = sets.select("rep", "sketch")
-    level = sets.select("rep", F.explode("nodes").alias("node"))
+def _leaves(level: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(node, rep, count) of the leaves under the nodes (rep, node) of one run."""
     leaves = None
     for depth in range(1, DEPTH + 1):
         sizes = level.groupBy("node").count().where("count > 1")
@@ -152,15 +153,34 @@ def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
         leaves = done if leaves is None else leaves.unionByName(done)
         rest = sized.where(F.col("count") > LEAF)
         if depth == DEPTH or rest.isEmpty():
-            break
+            return leaves
         coords = F.array(*(F.pmod(F.xxhash64("node", F.lit(j)), F.lit(COORDS)).cast("int") for j in range(BRANCH)))
         level = (rest.join(sketches, "rep").withColumn("c", F.explode(coords))
                  .select("rep", F.expr("xxhash64(node, c, substring(sketch, c + 1, 1))").alias("node")).distinct())
-    rows = _in_blocks(leaves, "node", "rep", "count", LEAF).select("node", "p", "q", "rep").join(sketches, "rep")
-    rows = (rows.select("node", "p", "q", "rep", "sketch")
-            .repartition(shuffle_parts(sets), "node", "p", "q").sortWithinPartitions("node", "p", "q"))
-    margin = sketch_margin(similarity)
-    return rows.mapInArrow(lambda it: _leaf_links(it, margin), "a long, b long").distinct()
+
+
+def candidate_components(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
+    """(a, b): sets (rep, nodes, sketch) that some run found near others, with the least of their component.
+
+    Runs follow one another, and a run only compares what the earlier ones left apart, so a large
+    group of near copies puts out its links in the first run alone.
+    """
+    sketches, margin, tree = sets.select("rep", "sketch"), sketch_margin(similarity), None
+    for run in range(runs):
+        level = sets.select("rep", F.explode(F.slice("nodes", run * BRANCH + 1, BRANCH)).alias("node"))
+        rows = _in_blocks(_leaves(level, sketches), "node", "rep", "count", LEAF).select("node", "p", "q", "rep").join(sketches, "rep")
+        if tree is None:
+            rows = rows.withColumn("comp", F.col("rep"))
+        else:
+            rows = rows.join(tree, rows.rep == tree.a, "left").withColumn("comp", F.coalesce("b", "rep"))
+        rows = (rows.select("node", "p", "q", "comp", "sketch")
+                .repartition(shuffle_parts(sets), "node", "p", "q").sortWithinPartitions("node", "p", "q"))
+        links = once(rows.mapInArrow(lambda it: _leaf_links(it, margin), "a long, b long"))
+        if tree is None:
+            tree = components(links)
+        elif not links.isEmpty():
+            tree = components(links.unionByName(tree))
+    return tree
 
 
 def _set_batches(batches):
@@ -224,13 +244,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  similarity: float = 0.8, recall: float = 0.99999) -> DataFrame:
     """(id, class_id, n_links) of every row: the least id of its class, and the rows it is linked to."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("text"))
-    rows = once(signatures(docs, runs_needed(similarity, recall)))
+    runs = runs_needed(similarity, recall)
+    rows = once(signatures(docs, runs))
     some = rows.where("size > 0 AND id IS NOT NULL")
     groups = some.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
     sets = some.join(groups, (some.id == groups.rep) & (some.k1 == groups.k1) & (some.k2 == groups.k2)) \
         .select("rep", "weight", "nodes", "sketch").dropDuplicates(["rep"])
     sets = once(sets)
-    tree = components(candidate_links(sets, similarity))
+    tree = candidate_components(sets, runs, similarity)
     members = tree.select(F.col("a").alias("rep"), F.col("b").alias("comp")) \
         .unionByName(tree.select(F.col("b").alias("rep"), F.col("b").alias("comp")).distinct())
     sizes = members.groupBy("comp").count()

@@ -78,18 +78,18 @@ class ByteCNN:
         g["E"][0] = 0
         return loss, g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 4e-3,
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 900, batch: int = 64, rate: float = 4e-3,
             seed: int = 11) -> ByteCNN:
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(a) for k, a in self.p.items()}
-        t, total = 0, max(1, epochs * -(-len(x) // batch))
-        for _ in range(epochs):
+        t = 0
+        while t < steps:
             order = rng.permutation(len(x))
             for i in range(0, len(x), batch):
                 t += 1
                 _, g = self.step(x[order[i:i + batch]], y[order[i:i + batch]])
-                lr = rate * (1 - t / (total + 1))
+                lr = rate * max(0.0, 1 - t / (steps + 1))
                 for k, dk in g.items():
                     m[k] = 0.9 * m[k] + 0.1 * dk
                     v[k] = 0.99 * v[k] + 0.01 * dk * dk
