@@ -10,8 +10,7 @@ Layout
 ``sources``    loading the driver tables and the reference-shaped stand-ins
 ``functions``  column-level helpers (classification, arrays, bits, JSON)
 ``operators``  the modelling pipelines (cumulative, SCD2, graph, datelists ...)
-``plans``      physical-layout helpers (checked broadcast, bucketing, layout)
-``streaming``  reserved: the modelled pipelines have no streams
+``plans``      physical-layout helpers (small-side joins, bucketing, layout)
 ``catalog``    the registered queries, each beside its DuckDB oracle SQL
 
 Public entry points: ``tessera.operators`` (the pipelines), ``tessera.plans``

@@ -3,47 +3,45 @@ match details and medal rows, part names as medal names."""
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import functions as F
 
 from tessera.operators.reports import (match_view, top_by_avg, top_by_count, top_by_distinct,
                                        top_for_label)
 from tessera.plans.joins import enrich
-from tessera.plans.layout import layout_report, write_bucketed, write_partitioned
+from tessera.plans.layout import (bucket_count, file_stats, layout_report, write_bucketed,
+                                  write_partitioned)
 from tessera.session import fresh_path
 from tessera.sources import standins as S
+from tessera.sources.tables import table_path
 
-# fixed values: bucket count of the reference tables and the medal label reported
+# fixed values: the reference tables' bucket count (a floor here) and the medal label reported
 BUCKETS = 16
 LABEL = "red plate"
 
 
-def _tbl(name):
-    return f"{name}_{uuid.uuid4().hex[:8]}"
+def _name(table, d):
+    """Table name of an input folder: a later write of the same table replaces it."""
+    return f"{table}_{hashlib.md5(d.encode()).hexdigest()[:8]}"
 
 
-_LAYOUTS: dict = {}
+def _bytes(spark, d, table):
+    return file_stats(spark, table_path(d, table)).first()["total_bytes"]
 
 
-def bucketed(spark, d, reuse=False):
-    """The three match tables bucketed on match_id.
+INPUTS = {
+    "matches_bucketed": lambda spark, d: S.matches(spark, d).select("match_id", "mapid", "playlist_id"),
+    "match_details_bucketed": S.match_details,
+    "medal_matches_players_bucketed": S.medal_matches_players,
+}
+
 
-    With ``reuse`` the tables written earlier in this application for the same
-    input folder are read again (a layout is written once and queried by many
-    reports); otherwise they are (re)written.
-    """
-    key = (spark.sparkContext.applicationId, d)
-    if reuse and key in _LAYOUTS and all(spark.catalog.tableExists(t) for t in _LAYOUTS[key]):
-        return tuple(spark.table(t) for t in _LAYOUTS[key])
-    names = (_tbl("matches_bucketed"), _tbl("match_details_bucketed"),
-             _tbl("medal_matches_players_bucketed"))
-    inputs = (S.matches(spark, d).select("match_id", "mapid", "playlist_id"),
-              S.match_details(spark, d), S.medal_matches_players(spark, d))
-    out = tuple(write_bucketed(df, name, "match_id", BUCKETS, fresh_path(spark, name))
-                for df, name in zip(inputs, names))
-    _LAYOUTS[key] = names
-    return out
+def bucketed(spark, d, *tables):
+    """The match tables bucketed on match_id, written anew; all share the largest table's bucket count."""
+    n = bucket_count(max(_bytes(spark, d, "orders"), _bytes(spark, d, "lineitem")), at_least=BUCKETS)
+    return tuple(write_bucketed(INPUTS[t](spark, d), _name(t, d), "match_id", n, fresh_path(spark, t))
+                 for t in tables or INPUTS)
 
 
 def q_enrich_matches_maps(spark, d):
@@ -95,8 +93,9 @@ def q_top_map_for_medal(spark, d):
 
 
 def _view(spark, d, how):
-    m, md, mmp = bucketed(spark, d, reuse=True)
-    return match_view(m, md, mmp, how)
+    m, md, mmp = bucketed(spark, d)
+    return match_view(m, md, mmp, "match_id", "player_gamertag", ["mapid", "playlist_id"],
+                      ["player_total_kills"], [("medal_id", "medal_id"), ("count", "medal_count")], how)
 
 
 def _view_cols(v):
@@ -131,14 +130,33 @@ def q_top_map_for_medal_from_view(spark, d):
         .withColumn("medal_count", F.col("medal_count").cast("bigint"))
 
 
+def q_match_view_medals(spark, d):
+    """The distinct (match, medal row) pairs of the left view."""
+    v = _view_cols(_view(spark, d, "left"))
+    return v.where("medal_id IS NOT NULL").select("match_id", "mapid", "playlist_id", "medal_id",
+                                                  "medal_count").distinct()
+
+
 def q_bucketed_matches(spark, d):
-    m, _, _ = bucketed(spark, d)
-    return m.select("match_id", "mapid", "playlist_id")
+    return bucketed(spark, d, "matches_bucketed")[0].select("match_id", "mapid", "playlist_id")
+
+
+def q_bucketed_match_details(spark, d):
+    return bucketed(spark, d, "match_details_bucketed")[0].select(
+        "match_id", "player_gamertag", "player_total_kills", "player_total_deaths")
+
+
+def q_bucketed_medal_rows(spark, d):
+    return bucketed(spark, d, "medal_matches_players_bucketed")[0].select(
+        "match_id", "player_gamertag", "medal_id", "count")
 
 
 def q_partitioned_matches(spark, d):
-    t = write_partitioned(S.matches(spark, d), _tbl("matches_partitioned"), "completion_date",
-                          "match_id", BUCKETS, fresh_path(spark, "matches_partitioned"))
+    m = S.matches(spark, d)
+    dates = m.select(F.approx_count_distinct("completion_date")).first()[0]
+    n = bucket_count(_bytes(spark, d, "orders") // max(1, dates))
+    t = write_partitioned(m, _name("matches_partitioned", d), "completion_date",
+                          "match_id", n, fresh_path(spark, "matches_partitioned"))
     return t.select("match_id", "mapid", "playlist_id", "completion_date")
 
 
@@ -149,7 +167,10 @@ def q_layout_report(spark, d):
               "medals": S.medals(spark, d)}
     cands = {"matches": ["playlist_id", "mapid"], "match_details": ["match_id"],
              "medal_matches_players": ["medal_id", "match_id"], "medals": ["medal_id"]}
-    return layout_report(spark, tables, cands, fresh_path(spark, "layout"))
+    r = layout_report(spark, tables, cands, fresh_path(spark, "layout"))
+    # how many files and bytes a write makes depends on the machine; that it makes some doesn't
+    return r.select("table", "sort_column", "n_rows", (F.col("n_files") > 0).alias("has_files"),
+                    (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 QUERIES = {
@@ -164,7 +185,10 @@ QUERIES = {
     "match_view_inner": q_match_view_inner,
     "top_map_from_view": q_top_map_from_view,
     "top_map_for_medal_from_view": q_top_map_for_medal_from_view,
+    "match_view_medals": q_match_view_medals,
     "bucketed_matches": q_bucketed_matches,
+    "bucketed_match_details": q_bucketed_match_details,
+    "bucketed_medal_rows": q_bucketed_medal_rows,
     "partitioned_matches": q_partitioned_matches,
     "layout_report": q_layout_report,
 }
@@ -175,11 +199,21 @@ M = """(SELECT o_orderkey AS match_id, CAST(o_custkey % 25 AS INTEGER) AS mapid,
 MD = """(SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag,
                 CAST(l_quantity AS INTEGER) AS player_total_kills,
                 l_linenumber AS player_total_deaths FROM lineitem)"""
-MMP = """(SELECT l_orderkey AS match_id, l_suppkey AS player_gamertag, l_partkey AS medal_id,
+MMP = """(SELECT l_orderkey AS match_id,
+                 CASE WHEN l_partkey % 11 = 0 THEN -l_suppkey ELSE l_suppkey END AS player_gamertag,
+                 l_partkey AS medal_id,
                  CAST(l_quantity AS INTEGER) AS "count" FROM lineitem)"""
 
 
 def _view_sql(how):
+    lone = f"""
+        SELECT m.match_id, CAST(m.mapid AS BIGINT) AS mapid, m.playlist_id, NULL AS player_gamertag,
+               NULL AS player_total_kills, x.medal_id, CAST(x."count" AS BIGINT) AS medal_count
+        FROM {M} m JOIN {MMP} x ON x.match_id = m.match_id
+        WHERE NOT EXISTS (SELECT 1 FROM {MD} md WHERE md.match_id = x.match_id
+                          AND md.player_gamertag = x.player_gamertag)"""
+    if how == "INNER":
+        lone += f" AND EXISTS (SELECT 1 FROM {MD} md WHERE md.match_id = m.match_id)"
     return f"""
         SELECT a.match_id, CAST(a.mapid AS BIGINT) AS mapid, a.playlist_id, a.player_gamertag,
                CAST(a.player_total_kills AS BIGINT) AS player_total_kills, x.medal_id,
@@ -187,8 +221,17 @@ def _view_sql(how):
         FROM (SELECT m.match_id, m.mapid, m.playlist_id, md.player_gamertag,
                      md.player_total_kills
               FROM {M} m {how} JOIN {MD} md ON m.match_id = md.match_id) a
-        {how} JOIN {MMP} x ON a.match_id = x.match_id AND a.player_gamertag = x.player_gamertag"""
+        {how} JOIN {MMP} x ON a.match_id = x.match_id AND a.player_gamertag = x.player_gamertag
+        UNION ALL {lone}"""
+
 
+# the pairs of a join of details and medal rows on the match alone
+PAIRS_SQL = f"""
+    SELECT DISTINCT a.match_id, CAST(a.mapid AS BIGINT) AS mapid, a.playlist_id, x.medal_id,
+           CAST(x."count" AS BIGINT) AS medal_count
+    FROM (SELECT m.match_id, m.mapid, m.playlist_id, md.player_gamertag
+          FROM {M} m LEFT JOIN {MD} md ON m.match_id = md.match_id) a
+    LEFT JOIN {MMP} x ON a.match_id = x.match_id WHERE x.medal_id IS NOT NULL"""
 
 TOP_MAP = f"""
     SELECT m.mapid, n.n_name AS map_name, CAST(count(DISTINCT m.match_id) AS BIGINT) AS top_played
@@ -226,11 +269,22 @@ ORACLE = {
     "top_map_for_medal_from_view": f"""
         SELECT v.match_id, m.mapid, n.n_name AS map_name, p.p_name AS medal_name,
                v.medal_count
-        FROM ({_view_sql("LEFT")}) v
+        FROM ({PAIRS_SQL}) v
         JOIN part p ON p.p_partkey = v.medal_id AND p.p_name = '{LABEL}'
         LEFT JOIN {M} m ON m.match_id = v.match_id
         LEFT JOIN nation n ON n.n_nationkey = m.mapid
         ORDER BY v.medal_count DESC, v.match_id LIMIT 1""",
+    "match_view_medals": PAIRS_SQL,
+    "bucketed_match_details": f"SELECT * FROM {MD}",
+    "bucketed_medal_rows": f"SELECT * FROM {MMP}",
+    "layout_report": " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS sort_column, CAST(count(*) AS BIGINT) AS n_rows,
+                   true AS has_files, true AS has_bytes FROM {src}"""
+        for t, src, cols in (("matches", "orders", ["", "playlist_id", "mapid"]),
+                             ("match_details", "lineitem", ["", "match_id"]),
+                             ("medal_matches_players", "lineitem", ["", "medal_id", "match_id"]),
+                             ("medals", "part", ["", "medal_id"]))
+        for c in cols),
     "bucketed_matches": f"SELECT match_id, mapid, playlist_id FROM {M}",
     "partitioned_matches": f"SELECT match_id, mapid, playlist_id, completion_date FROM {M}",
 }

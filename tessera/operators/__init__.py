@@ -1,7 +1,8 @@
 """Modelling pipelines: DataFrame(s) + parameters -> DataFrame."""
 
 from tessera.operators.cumulative import (cumulate_backfill, cumulate_step, cumulate_step_multi,
-                                          history_ratio, snapshot_multi_as_of, unnest_history)
+                                          cumulate_step_rows, history_ratio,
+                                          rows_summary_as_of, snapshot_multi_as_of, unnest_history)
 from tessera.operators.datelist import (active_on, activity_flags, activity_mask_from_events,
                                         datelist_as_of, datelist_history, datelist_step,
                                         event_range)
@@ -12,8 +13,9 @@ from tessera.operators.graph import (edge_property_max, edge_ratio_report, edges
                                      vertices_from_rows)
 from tessera.operators.keys import check_keys, check_values, dedup, duplicate_keys
 from tessera.operators.month_arrays import (host_month_as_of, host_month_step,
+                                            host_visitors_as_of, host_visitors_of_day,
                                             month_array_step, month_arrays_as_of,
-                                            unpack_month_arrays)
+                                            month_visitors, unpack_month_arrays)
 from tessera.operators.reports import (match_view, top_by_avg, top_by_count, top_by_distinct,
                                        top_for_label, top_k)
 from tessera.operators.scd2 import scd2_backfill, scd2_increment
@@ -22,11 +24,12 @@ from tessera.operators.upsert import upsert, write_upsert
 __all__ = [
     "absence_report", "active_on", "activity_flags", "activity_mask_from_events", "build_fact",
     "check_keys", "check_values", "cumulate_backfill", "cumulate_step", "cumulate_step_multi",
+    "cumulate_step_rows", "rows_summary_as_of",
     "datelist_as_of", "datelist_history", "datelist_step", "dedup", "device_datelist",
     "device_datelist_int", "duplicate_keys", "edge_property_max", "edge_ratio_report",
     "edges_from_rows", "event_range", "explode_map", "history_ratio", "host_month_as_of",
-    "host_month_step", "match_view", "minutes_from_text", "month_array_step",
-    "month_arrays_as_of", "scd2_backfill", "scd2_increment", "snapshot_multi_as_of",
+    "host_month_step", "host_visitors_as_of", "host_visitors_of_day", "match_view", "minutes_from_text", "month_array_step",
+    "month_arrays_as_of", "month_visitors", "scd2_backfill", "scd2_increment", "snapshot_multi_as_of",
     "top_by_avg", "top_by_count", "top_by_distinct", "top_for_label", "top_k",
     "unnest_history", "unpack_month_arrays", "upsert", "vertex_counts", "vertices_dedup",
     "vertices_from_agg", "vertices_from_rows", "write_upsert",

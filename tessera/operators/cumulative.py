@@ -154,6 +154,46 @@ def snapshot_multi_as_of(facts: DataFrame, key: str, period: str, entry_cols: Se
         F.lit(at).alias(current_col))
 
 
+def _period_summary(facts, key, rating_col):
+    return facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.avg(rating_col).alias("_value"))
+
+
+def cumulate_step_rows(prev: DataFrame, facts: DataFrame, key: str, period: str, rating_col: str, at: int,
+                       bins, else_label: str, class_col: str = "class",
+                       current_col: str = "current_period") -> DataFrame:
+    """Op 2 with the history kept as rows.
+
+    The entries stay where they are, one row each, in the period-partitioned ``facts``; the snapshot
+    holds an entity's number of entries, class, gap and activity. Its rows have a fixed width, and a
+    busy entity's period is counted and averaged before the shuffle.
+    """
+    y = prev.where(F.col(current_col) == at - 1).alias("y")
+    t = _period_summary(facts.where(F.col(period) == at), key, rating_col).alias("t")
+    j = t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full_outer")
+    seen = F.col("t._n").isNotNull()
+    return j.select(
+        F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
+        (F.coalesce("y.n_entries", F.lit(0)) + F.coalesce("t._n", F.lit(0))).alias("n_entries"),
+        F.when(seen, classify(F.col("t._value"), bins, else_label))
+         .otherwise(F.col(f"y.{class_col}")).alias(class_col),
+        F.when(seen, F.lit(0)).otherwise(F.col("y.years_since_last_active") + 1)
+         .alias("years_since_last_active"),
+        seen.alias("is_active"), F.lit(at).alias(current_col))
+
+
+def rows_summary_as_of(facts: DataFrame, key: str, period: str, rating_col: str, at: int, bins,
+                       else_label: str, class_col: str = "class",
+                       current_col: str = "current_period") -> DataFrame:
+    """``cumulate_step_rows`` folded from the first period, computed directly."""
+    f = facts.where(F.col(period) <= at)
+    per = f.groupBy(key, period).agg(F.count(F.lit(1)).alias("_n"), F.avg(rating_col).alias("_value"))
+    last = F.max(F.struct(period, "_value")).alias("_last")
+    return per.groupBy(key).agg(F.sum("_n").alias("n_entries"), last).select(
+        key, "n_entries", classify(F.col("_last._value"), bins, else_label).alias(class_col),
+        (F.lit(at) - F.col(f"_last.{period}")).alias("years_since_last_active"),
+        (F.col(f"_last.{period}") == at).alias("is_active"), F.lit(at).alias(current_col))
+
+
 def unnest_history(snapshot: DataFrame, key: str, history_col: str = "history",
                    keep: Sequence[str] = ()) -> DataFrame:
     """One row per (entity, history entry), struct fields as columns (op 5)."""

@@ -98,16 +98,17 @@ def datelist_history(events: DataFrame, key: str, first: DateLike, last: DateLik
                      not_null: tuple[str, ...] = ()) -> DataFrame:
     """Every daily snapshot from ``first`` to ``last`` in one job (datelist backfill).
 
-    One ``groupBy(key)`` collects each entity's active days once; a row per
+    Lists hold all active days up to the snapshot, also those before ``first``: each
+    snapshot equals ``datelist_as_of`` that day. One ``groupBy(key)`` collects each entity's active days once; a row per
     snapshot date is generated with ``explode(sequence)`` and its list is a
     ``filter`` of the collected days -- no join against a date series.
     """
     f, la = _d(first), _d(last)
-    days = active_days(events.where(between_days(ts, f, la)), key, ts, not_null)
+    days = active_days(events.where(before_day_end(ts, la)), key, ts, not_null)
     per = days.groupBy(key).agg(F.sort_array(F.collect_list("day"), asc=False).alias("_all"),
                                 F.min("day").alias("_first"))
     rows = per.select(key, "_all",
-                      F.explode(F.sequence(F.col("_first"), F.lit(la))).alias(date_col))
+                      F.explode(F.sequence(F.greatest("_first", F.lit(f)), F.lit(la))).alias(date_col))
     cur = F.col(date_col)
     return rows.select(key, F.filter("_all", lambda x: x <= cur).alias(list_col), date_col)
 

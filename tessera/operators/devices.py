@@ -2,7 +2,8 @@
 
 Plan: events are first reduced to distinct (user, device, day) -- a partial
 aggregate, so a hot user or device is folded on the mappers -- and only then
-joined to the deduplicated device dimension (broadcast when proven small).
+joined to the deduplicated device dimension. One shuffle by user then serves the
+distinct and both levels of the map.
 The map is built per user from at most (#browsers x #days) entries.
 """
 
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import bit_at
 from tessera.operators.datelist import before_day_end, between_days
-from tessera.plans.joins import join_small
 
 
 def _user_device_days(events, devices, key, device, dim, ts, cond):
@@ -24,8 +24,8 @@ def _user_device_days(events, devices, key, device, dim, ts, cond):
                 .distinct())
     # DISTINCT (device, dim) keeps a device with two values twice (fan-out kept)
     dd = devices.select(device, dim).distinct()
-    mapped = join_small(ev, dd, device, "inner")
-    return mapped.where(F.col(dim).isNotNull()).select(key, dim, "day").distinct()
+    mapped = ev.join(dd, device).where(F.col(dim).isNotNull()).select(key, dim, "day")
+    return mapped.repartition(key).distinct()
 
 
 def _shape(df: DataFrame, out_col: str, as_json: bool) -> DataFrame:
@@ -69,8 +69,8 @@ def device_datelist_int(events: DataFrame, devices: DataFrame, month_start: dt.d
     per_device = (events.where(between_days(ts, month_start, last) & F.col(key).isNotNull())
                         .groupBy(key, device).agg(F.bit_or(bit_at(off)).alias("_m")))
     dd = devices.select(device, dim).distinct()
-    mapped = join_small(per_device, dd, device, "inner").where(F.col(dim).isNotNull())
-    per_dim = mapped.groupBy(key, dim).agg(F.bit_or("_m").alias("_mask"))
+    mapped = per_device.join(dd, device).where(F.col(dim).isNotNull()).select(key, dim, "_m")
+    per_dim = mapped.repartition(key).groupBy(key, dim).agg(F.bit_or("_m").alias("_mask"))
     out = (per_dim.groupBy(key)
                   .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(dim, "_mask"))))
                        .alias(out_col))

@@ -2,9 +2,10 @@
 
 Plan: duplicates are removed on the detail grain *before* joining the header
 (the header side is unique per game, so the order of the two steps does not
-change the result); the dedup's partial group-limit runs before its shuffle,
-and the join to the header is a checked broadcast or a shuffle join that AQE
-can split when one game is hot.
+change the result). The details are shuffled once, by game, which serves the
+dedup and the join. Where duplicates abound or one game dominates, the caller
+asks for two shuffles: the dedup's partial group-limit then runs before its shuffle
+on the whole grain, and adaptive execution can split the join at a hot game.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.keys import dedup
-from tessera.plans.joins import join_small
 
 
 def minutes_from_text(text: str | Column, sep: str = ":") -> Column:
@@ -41,7 +41,7 @@ def build_fact(details: DataFrame, headers: DataFrame, game_key: str,
                dims: Mapping[str, str | Column], flags: Mapping[str, str],
                text_col: str, measures: Mapping[str, str | Column],
                minutes_col: str | None = None, home_flag: tuple[str, str] | None = None,
-               max_broadcast_rows: int | None = None) -> DataFrame:
+               one_shuffle: bool = True) -> DataFrame:
     """Deduplicated fact table with ``dim_*`` and ``m_*`` columns (op 20).
 
     ``grain``: the fact's key on the detail rows (e.g. game, team, player);
@@ -49,9 +49,10 @@ def build_fact(details: DataFrame, headers: DataFrame, game_key: str,
     -> substring searched in ``text_col``; ``home_flag``: (detail team column,
     header home-team column) compared for ``dim_is_playing_at_home``.
     """
+    if one_shuffle and game_key in grain:
+        details = details.repartition(game_key)
     d = dedup(details, grain, order).drop("row_num")
-    kw = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    j = join_small(d, headers, game_key, "inner", **kw)
+    j = d.join(headers, game_key)
     out: list[Column] = [(F.col(v) if isinstance(v, str) else v).alias(k)
                          for k, v in dims.items()]
     if home_flag:

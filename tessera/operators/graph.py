@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import json_get, json_object, safe_ratio
 from tessera.operators.keys import dedup
 
-# fixed values: the vertex and edge type names of the graph tables
-VERTEX_TYPES = ("player", "team", "game")
-EDGE_TYPES = ("plays_against", "shares_team", "plays_in", "plays_on")
-
 
 def vertices_from_rows(df: DataFrame, id_col: str | Column, vtype: str,
                        props: Mapping[str, str | Column]) -> DataFrame:

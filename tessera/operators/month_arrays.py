@@ -1,10 +1,14 @@
 """Monthly metric arrays: one row per (entity, month) with one element per day.
 
 Element ``i`` of a month's array is the metric on ``month_start + i``. The
-daily step is idempotent: the previous array is cut to the day's offset (and
-padded with zeros when the entity is new or was missing), then today's value
-is appended -- so a re-run of a day rewrites that day instead of appending it
-twice, and an entity first seen on day ``k`` stays aligned with its dates.
+daily step sets the day's element and keeps all others (padding with zeros up
+to the day when the entity is new or was missing) -- so a re-run of any day
+rewrites that day alone, whether or not later days are loaded, and an entity
+first seen on day ``k`` stays aligned with its dates.
+
+A host's distinct visitors are kept as rows, one per (host, date, visitor): no
+stored row grows with a popular host, and re-running a day replaces that day's
+rows alone. The month's distinct count is taken from the rows when reported.
 """
 
 from __future__ import annotations
@@ -14,7 +18,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import concat_arrays
 from tessera.operators.datelist import between_days, on_day
 
 
@@ -22,13 +25,15 @@ def _month(day: dt.date) -> dt.date:
     return day.replace(day=1)
 
 
-def _aligned(prev_arr: Column, offset: int) -> Column:
-    """First ``offset`` elements of ``prev_arr`` padded with zeros to ``offset``."""
-    cut = F.slice(F.coalesce(prev_arr, F.array().cast("array<bigint>")), 1, offset) \
-        if offset > 0 else F.array().cast("array<bigint>")
-    pad = F.array_repeat(F.lit(0).cast("bigint"), F.greatest(F.lit(offset) - F.size(cut),
+def _with_day(prev_arr: Column, offset: int, value: Column) -> Column:
+    """``prev_arr`` with element ``offset`` set to ``value`` (NULL: 0), later elements kept."""
+    none = F.array().cast("array<bigint>")
+    have = F.coalesce(prev_arr, none)
+    before = F.slice(have, 1, offset) if offset > 0 else none
+    pad = F.array_repeat(F.lit(0).cast("bigint"), F.greatest(F.lit(offset) - F.size(before),
                                                                F.lit(0)))
-    return F.concat(cut, pad)
+    after = F.slice(have, offset + 2, F.greatest(F.size(have) - F.lit(offset + 1), F.lit(0)))
+    return F.concat(before, pad, F.array(F.coalesce(value, F.lit(0)).cast("bigint")), after)
 
 
 def daily_counts(events: DataFrame, key: str, day: dt.date, ts: str = "ts",
@@ -56,8 +61,7 @@ def month_array_step(prev: DataFrame, events: DataFrame, key: str, metric_name:
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
         F.lit(m).alias("month_start"),
         F.lit(metric_name).alias("metric_name"),
-        F.concat(_aligned(F.col(f"y.{array_col}"), off),
-                 F.array(F.coalesce(F.col("t._v"), F.lit(0)).cast("bigint"))).alias(array_col))
+        _with_day(F.col(f"y.{array_col}"), off, F.col("t._v")).alias(array_col))
 
 
 def month_arrays_as_of(events: DataFrame, key: str, metric_name: str, day: dt.date,
@@ -80,46 +84,44 @@ def month_arrays_as_of(events: DataFrame, key: str, metric_name: str, day: dt.da
 
 
 def host_month_step(prev: DataFrame, events: DataFrame, day: dt.date, key: str = "host",
-                    visitor: str = "user_id", ts: str = "ts") -> DataFrame:
-    """Reduced monthly host fact: hit array + distinct visitors (op 30).
-
-    Hits per day aligned as in ``month_array_step``; visitors are the month's
-    distinct visitor ids as text (``array_distinct`` of the union, so a re-run
-    adds nothing and a day without hits keeps the list).
-    """
+                    ts: str = "ts") -> DataFrame:
+    """Reduced monthly host fact: the hit array (op 30); its visitors are ``host_visitors_of_day``."""
     m, off = _month(day), (day - _month(day)).days
     y = prev.where(F.col("month_start") == F.lit(m)).alias("y")
-    t = (events.where(on_day(ts, day) & F.col(key).isNotNull())
-               .groupBy(key)
-               .agg(F.count(F.lit(1)).alias("_v"),
-                    F.collect_set(F.col(visitor).cast("string")).alias("_u"))).alias("t")
+    t = daily_counts(events, key, day, ts).alias("t")
     j = t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full_outer")
     return j.select(
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),
         F.lit(m).alias("month_start"),
-        F.concat(_aligned(F.col("y.hit_array"), off),
-                 F.array(F.coalesce(F.col("t._v"), F.lit(0)).cast("bigint"))).alias("hit_array"),
-        F.sort_array(F.array_distinct(concat_arrays(F.col("y.unique_visitors"), F.col("t._u"))))
-         .alias("unique_visitors"))
+        _with_day(F.col("y.hit_array"), off, F.col("t._v")).alias("hit_array"))
 
 
 def host_month_as_of(events: DataFrame, day: dt.date, key: str = "host",
-                     visitor: str = "user_id", ts: str = "ts") -> DataFrame:
+                     ts: str = "ts") -> DataFrame:
     """``host_month_step`` folded from the month start, computed directly."""
-    m, off = _month(day), (day - _month(day)).days
-    ev = events.where(between_days(ts, m, day) & F.col(key).isNotNull())
-    per_day = ev.groupBy(key, F.to_date(ts).alias("_d")).agg(F.count(F.lit(1)).alias("_v"))
-    hits = per_day.groupBy(key).agg(F.map_from_entries(F.collect_list(
-        F.struct(F.datediff("_d", F.lit(m)).alias("_o"), F.col("_v")))).alias("_m"))
-    visitors = (ev.where(F.col(visitor).isNotNull())
-                  .select(key, F.col(visitor).cast("string").alias("_u")).distinct()
-                  .groupBy(key).agg(F.sort_array(F.collect_list("_u")).alias("unique_visitors")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(off)),
-                        lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0)).cast("bigint"))
-    return (hits.join(visitors, key, "left")
-                .select(key, F.lit(m).alias("month_start"), dense.alias("hit_array"),
-                        F.coalesce("unique_visitors", F.array().cast("array<string>"))
-                         .alias("unique_visitors")))
+    return (month_arrays_as_of(events, key, "hits", day, ts, "hit_array")
+            .select(key, "month_start", "hit_array"))
+
+
+def host_visitors_of_day(events: DataFrame, day: dt.date, key: str = "host",
+                         visitor: str = "user_id", ts: str = "ts") -> DataFrame:
+    """(host, date, visitor) rows of one day: the partition that the day's load replaces (op 30)."""
+    cond = on_day(ts, day) & F.col(key).isNotNull() & F.col(visitor).isNotNull()
+    return (events.where(cond).select(key, F.lit(day).alias("date"),
+                                      F.col(visitor).cast("string").alias("visitor")).distinct())
+
+
+def host_visitors_as_of(events: DataFrame, day: dt.date, key: str = "host",
+                        visitor: str = "user_id", ts: str = "ts") -> DataFrame:
+    """``host_visitors_of_day`` of every day of the month up to ``day``."""
+    cond = between_days(ts, _month(day), day) & F.col(key).isNotNull() & F.col(visitor).isNotNull()
+    return (events.where(cond).select(key, F.to_date(ts).alias("date"),
+                                      F.col(visitor).cast("string").alias("visitor")).distinct())
+
+
+def month_visitors(visitors: DataFrame, key: str = "host") -> DataFrame:
+    """(host, month_start, visitor): the month's distinct visitors, one row each."""
+    return visitors.select(key, F.trunc("date", "month").alias("month_start"), "visitor").distinct()
 
 
 def unpack_month_arrays(t: DataFrame, array_col: str = "metric_array",

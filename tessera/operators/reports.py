@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, enrich, join_small
+from tessera.plans.joins import enrich
 
 
 def top_k(df: DataFrame, measure: str, tie_break: Sequence[str], k: int = 1) -> DataFrame:
@@ -39,38 +39,44 @@ def top_by_avg(df: DataFrame, key: str, col: str, alias: str, k: int = 1,
 
 
 def top_by_distinct(fact: DataFrame, dim: DataFrame, on: str, group: Sequence[str],
-                    distinct_col: str, alias: str, k: int = 1,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Enrich with a dimension (checked broadcast, left), count distinct, top-k (op 33).
+                    distinct_col: str, alias: str, k: int = 1) -> DataFrame:
+    """Enrich with a dimension (left), count distinct, top-k (op 33).
 
     ``count(DISTINCT x)`` is planned as two aggregation levels; the first is
     keyed by (group, x), so a hot group is still spread over many tasks.
     """
-    j = join_small(fact, dim, on, "left", max_broadcast_rows)
-    g = j.groupBy(*group).agg(F.count_distinct(distinct_col).alias(alias))
+    g = fact.join(dim, on, "left").groupBy(*group).agg(F.count_distinct(distinct_col).alias(alias))
     return top_k(g, alias, list(group), k)
 
 
-def match_view(m: DataFrame, md: DataFrame, mmp: DataFrame, how: str = "left",
-               key: str = "match_id", player: str = "player_gamertag") -> DataFrame:
-    """Matches joined to per-player details and medals (op 37).
+def match_view(matches: DataFrame, details: DataFrame, medals: DataFrame, key: str, player: str,
+               match_cols: Sequence[str], detail_cols: Sequence[str],
+               medal_cols: Sequence[tuple[str, str]], how: str = "left") -> DataFrame:
+    """Matches with their players' details and medals (op 37).
 
-    With the three inputs bucketed on ``key`` the joins read co-partitioned
-    buckets and need no Exchange. Medals are joined on (match, player): the row
-    count is that of the medal rows, not details x medals per match, so a hot
-    match does not multiply its rows. Bucketing on ``key`` alone satisfies the
-    (key, player) join only with ``requireAllClusterKeysForCoPartition`` off
-    (the pre-3.3 rule), which is set here; otherwise both sides re-shuffle.
+    A player's medals stand beside that player's detail row, so a match gives one
+    row per detail or medal row, not details x medals. A medal row whose player
+    has no detail row in the match is a row of its own, with NULL player columns;
+    so every (match, medal) of the inputs is in the view. ``how='inner'`` keeps
+    details that have medals, and medal rows of matches that have details.
+
+    With the inputs bucketed on ``key`` no side is shuffled, provided the session
+    sets ``spark.sql.requireAllClusterKeysForCoPartition`` to false (so that
+    bucketing on ``key`` also serves joins on (key, player)); it is not set here.
     """
-    m.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    a = m.alias("m").join(md.alias("md"), F.col("m." + key) == F.col("md." + key), how) \
-        .select(F.col("m." + key).alias(key), "m.mapid", "m.playlist_id",
-                F.col("md." + player).alias(player), "md.player_total_kills")
-    b = a.alias("a").join(
-        mmp.alias("x"),
-        (F.col("a." + key) == F.col("x." + key)) & (F.col("a." + player) == F.col("x." + player)),
-        how)
-    return b.select("a.*", "x.medal_id", F.col("x.count").alias("medal_count"))
+    medal = [F.col(c).alias(a) for c, a in medal_cols]
+    m = matches.select(key, *match_cols)
+    d = details.select(key, player, *detail_cols)
+    x = medals.select(key, player, *medal)
+    own = m.join(d, key, how).join(x, [key, player], how)
+    lone = x.join(details.select(key, player), [key, player], "left_anti")
+    if how == "inner":
+        lone = lone.join(details.select(key), key, "left_semi")
+    lone = m.join(lone.drop(player), key)
+    for c in (player, *detail_cols):
+        lone = lone.withColumn(c, F.lit(None).cast(d.schema[c].dataType))
+    cols = [key, *match_cols, player, *detail_cols, *[a for _, a in medal_cols]]
+    return own.select(*cols).unionByName(lone.select(*cols))
 
 
 def top_for_label(rows: DataFrame, dim: DataFrame, dim_key: str, label_col: str, label: str,
@@ -79,13 +85,15 @@ def top_for_label(rows: DataFrame, dim: DataFrame, dim_key: str, label_col: str,
                   select: Sequence[str | Column] | None = None) -> DataFrame:
     """Top-k rows for one dimension label (op 40).
 
-    The dimension is filtered to the label *before* the join (so the broadcast
-    side is just the matching ids) and joined inner -- a left join followed by a
-    filter on the dimension's column is an inner join anyway. The rows are then
-    enriched (left) and the top-k taken.
+    The dimension is filtered to the label *before* the join (so the small side
+    is just the matching ids) and joined inner -- a left join followed by a
+    filter on the dimension's column is an inner join anyway. When the order uses
+    no enriched column the top-k is taken first and only k rows are enriched (left).
     """
     d = dim.where(F.col(label_col) == label).select(dim_key, F.col(label_col))
-    j = join_small(rows, d, dim_key, "inner")
+    j = rows.join(d, dim_key)
+    if {measure, *tie_break} <= set(j.columns):
+        j = top_k(j, measure, tie_break, k)
     j = enrich(j, enrich_with, enrich_key, enrich_cols)
     if select is not None:
         j = j.select(*select)

@@ -57,20 +57,22 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     unchanged (open record's end moves to ``period``), changed (open record
     closed + new record opened), new (key not open before), and missing (open
     record whose key is absent today: kept, closed at ``prev_period``).
-    Attributes compare NULL-safely so every row lands in exactly one branch.
+    Keys and attributes compare NULL-safely so every row lands in exactly one
+    branch; a NULL key is a key like any other.
     """
     last = scd.where(F.col(current_col) == prev_period)
     historical = last.where(F.col(end_col) < prev_period).select(
         key, *tracked, start_col, end_col, F.lit("historical").alias("_branch"))
     o = last.where(F.col(end_col) == prev_period).alias("o")
     t = (snapshot.where(F.col(snapshot_period_col) == period)
-                 .select(key, *tracked).alias("t"))
-    j = t.join(o, F.col(f"t.{key}") == F.col(f"o.{key}"), "full_outer")
+                 .select(key, *tracked, F.lit(True).alias("_here")).alias("t"))
+    o = o.withColumn("_here", F.lit(True)).alias("o")
+    j = t.join(o, F.col(f"t.{key}").eqNullSafe(F.col(f"o.{key}")), "full_outer")
 
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"o.{c}"))
-    in_t, in_o = F.col(f"t.{key}").isNotNull(), F.col(f"o.{key}").isNotNull()
+    in_t, in_o = F.col("t._here").isNotNull(), F.col("o._here").isNotNull()
 
     def rec(src, start, end, branch):
         return F.struct(*[F.col(f"{src}.{c}").alias(c) for c in tracked],

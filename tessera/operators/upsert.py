@@ -7,19 +7,17 @@ the updates touch are replaced, so a daily load rewrites one day.
 A load usually knows which partitions it writes (the day it loads): pass them as
 ``partitions`` and the existing rows are selected by a static partition filter
 (pruned at planning time, no extra job). Without it, the touched values are
-derived from ``updates`` and broadcast after a size check -- which evaluates
-``updates`` once more.
+derived from ``updates``, which evaluates them once more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.joins import join_small
-
 
 def _split(target: DataFrame, updates: DataFrame, partition_col: str,
            partitions: Sequence | None) -> tuple[DataFrame, DataFrame]:
@@ -28,8 +26,8 @@ def _split(target: DataFrame, updates: DataFrame, partition_col: str,
         cond: Column = F.col(partition_col).isin(list(partitions))
         return target.where(cond), target.where(~cond | F.col(partition_col).isNull())
     touched = updates.select(partition_col).distinct()
-    return (join_small(target, touched, partition_col, "left_semi"),
-            join_small(target, touched, partition_col, "left_anti"))
+    return (target.join(touched, partition_col, "left_semi"),
+            target.join(touched, partition_col, "left_anti"))
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -62,19 +60,33 @@ def write_upsert(updates: DataFrame, path: str, partition_col: str, keys: Sequen
 
     The touched partitions are rebuilt (existing rows of those partitions minus
     updated keys, plus the updates) and written with dynamic partition
-    overwrite; other partitions are not read or rewritten. With ``partitions``
-    the read of ``existing`` is pruned statically; without it, by Dynamic
-    Partition Pruning through the broadcast of the touched values.
+    overwrite; other partitions are not read or rewritten. ``existing`` defaults
+    to the table at ``path`` (empty when there is none yet). With ``partitions``
+    the read of ``existing`` is pruned statically; an update outside them is an
+    error, raised before anything is written. Without it, the read is pruned by
+    Dynamic Partition Pruning from the touched values.
     """
-    spark = updates.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    if existing is not None:
-        cur, _ = _split(existing, updates, partition_col, partitions)
-        merged = cur.join(updates.select(*keys), list(keys), "left_anti").unionByName(
-            updates.select(*existing.columns))
-    else:
-        merged = updates
+    if existing is None:
+        existing = _table_at(updates, path)
+    if partitions is not None:
+        outside = F.coalesce(~F.col(partition_col).isin(list(partitions)), F.lit(True))
+        if not updates.where(outside).isEmpty():
+            raise ValueError(f"updates hold values of {partition_col} outside {list(partitions)}")
+    cur, _ = _split(existing, updates, partition_col, partitions)
+    merged = cur.join(updates.select(*keys), list(keys), "left_anti").unionByName(
+        updates.select(*existing.columns))
     # no shuffle on the partition column: one day would land in one task;
     # sorting within tasks keeps one open file per task and partition
     (merged.sortWithinPartitions(partition_col)
-           .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
+
+
+def _table_at(updates: DataFrame, path: str) -> DataFrame:
+    """The stored table, or no rows of the same columns when nothing is stored yet."""
+    try:
+        return updates.sparkSession.read.schema(updates.schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return updates.limit(0)

@@ -1,8 +1,8 @@
-"""Physical-layout helpers: checked broadcast joins, bucketing, layout reports."""
+"""Physical-layout helpers: joins with a small side, bucketing, layout reports."""
 
-from tessera.plans.joins import enrich, has_at_most, join_small, row_width
-from tessera.plans.layout import (bucket_id, file_stats, layout_report, write_bucketed,
+from tessera.plans.joins import broadcast_if_small, enrich, measured_bytes
+from tessera.plans.layout import (bucket_count, bucket_id, file_stats, layout_report, write_bucketed,
                                   write_partitioned)
 
-__all__ = ["bucket_id", "enrich", "file_stats", "has_at_most", "join_small", "layout_report",
-           "row_width", "write_bucketed", "write_partitioned"]
+__all__ = ["broadcast_if_small", "bucket_count", "bucket_id", "enrich", "file_stats", "layout_report",
+           "measured_bytes", "write_bucketed", "write_partitioned"]

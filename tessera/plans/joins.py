@@ -1,83 +1,43 @@
-"""Joins with a checked broadcast side.
+"""Joins with a small side.
 
-A side is broadcast only after a bounded job proves it small:
-``offset(max_rows).take(1)`` scans partitions incrementally and stops as soon
-as ``max_rows + 1`` rows are seen. Beyond the bound the join stays a shuffle join, and AQE may still
-turn it into a broadcast at runtime from the measured shuffle size.
+Which side is small is left to Spark: a stored side is broadcast when its size is
+under ``spark.sql.autoBroadcastJoinThreshold``, a derived one when adaptive
+execution has measured it; else the join is a shuffle join that adaptive
+execution can split at hot keys. Nothing is run when a query is built.
+
+``broadcast_if_small`` is the explicit way beyond the threshold: one distributed
+aggregate measures the side's bytes, and only a side within the bound gets the hint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# fixed default bounds for a broadcast side: rows, and bytes by schema estimate
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-
-_FIXED = {"boolean": 1, "byte": 1, "short": 2, "int": 4, "integer": 4, "date": 4,
-          "float": 4, "long": 8, "bigint": 8, "double": 8, "timestamp": 8,
-          "timestamp_ntz": 8}
 
+# fixed default bound of an explicit broadcast, in measured bytes
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# what a row costs in a broadcast relation besides its values
+ROW_BYTES = 64
 
-def row_width(schema: T.StructType) -> int:
-    """Pessimistic bytes per row: fixed types at their size, 64 B per string or
-    binary value, 512 B per array / map / nested value, 16 B per-row overhead."""
-    w = 16
-    for f in schema.fields:
-        name = f.dataType.typeName()
-        if name in _FIXED:
-            w += _FIXED[name]
-        elif name in ("string", "binary") or name.startswith(("varchar", "char")):
-            w += 64
-        elif name.startswith("decimal"):
-            w += 16
-        else:
-            w += 512
-    return w
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``, from their JSON text; one aggregate, one row to the driver."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return int(df.agg(F.sum(row.cast("long") + F.lit(ROW_BYTES))).first()[0] or 0)
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost check).
-
-    ``offset(max_rows).take(1)`` is planned as a collect-limit that scans
-    partitions incrementally (one, then more) until ``max_rows + 1`` rows are
-    found, so a large side stops early instead of running every scan task; only
-    the projected constant column moves and one row at most reaches Python.
-    """
-    return len(df.select(F.lit(1).alias("_one")).offset(max_rows).take(1)) == 0
 
-
-def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
-               how: str = "inner", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``big.join(small)`` broadcasting ``small`` only if it is proven small.
-
-    The row bound is the smaller of ``max_rows`` and ``max_bytes`` divided by a
-    pessimistic width of ``small``'s schema, so wide rows lower the bound.
-
-    The check is cheap when ``small`` is a (filtered, projected) scan of a stored
-    table -- the incremental take stops early. On a derived aggregate it must
-    compute the aggregate first, i.e. an extra pass over its input; join such
-    sides with a plain join and let AQE broadcast them from the measured size.
-    """
-    bound = min(max_rows, max_bytes // row_width(small.schema))
-    if how in ("left", "left_outer", "inner", "left_semi", "left_anti") and \
-            bound > 0 and has_at_most(small, bound):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def broadcast_if_small(small: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``small`` with a broadcast hint if its measured bytes are within the bound (runs ``small`` once)."""
+    return F.broadcast(small) if measured_bytes(small) <= max_bytes else small
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str],
-           cols: Sequence[str], how: str = "left",
-           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Add ``cols`` of a dimension to a fact by a (checked) broadcast join (op 34).
+           cols: Sequence[str], how: str = "left") -> DataFrame:
+    """Add ``cols`` of a dimension to a fact (op 34); only the key and these columns are moved.
 
-    Only the key and the requested columns of the dimension are shipped.
+    Pass ``broadcast_if_small(dim)`` to broadcast a dimension above Spark's threshold.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    d = dim.select(*keys, *[c for c in cols if c not in keys])
-    return join_small(fact, d, keys, how, max_rows)
+    return fact.join(dim.select(*keys, *[c for c in cols if c not in keys]), keys, how)

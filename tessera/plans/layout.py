@@ -5,14 +5,16 @@ sides (the scan reports ``HashPartitioning(key, n)``). Writes go to an explicit
 location inside the shared scratch folder (external tables), never a
 machine-local warehouse.
 
-Sizing: ``n`` buckets = ``n`` files per table (per partition). Pick ``n`` so a
-bucket is ~0.5-1 GB at the target scale: 16 (the reference's number) is right
-for a few GB, not for 100 TB, where thousands are needed.
+Sizing: a table has ``bucket_count`` buckets, from its bytes; tables that are joined
+on the key share the largest count. ``spread`` deals a bucket to several tasks
+(and files) where one key or date holds much of the table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +25,25 @@ def bucket_id(key: str, n: int):
     return F.pmod(F.hash(F.col(key)), F.lit(n))
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str) -> DataFrame:
+def bucket_count(n_bytes: int, per_bucket: int = 1 << 30, at_least: int = 1) -> int:
+    """Buckets of about ``per_bucket`` bytes."""
+    return max(at_least, math.ceil(n_bytes / per_bucket))
+
+
+def _dealt(df: DataFrame, tasks: int, keys: Sequence, spread: int) -> DataFrame:
+    if spread > 1:
+        keys = [*keys, F.pmod(F.xxhash64(*df.columns), F.lit(spread))]
+    return df.repartition(tasks, *keys)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str, spread: int = 1) -> DataFrame:
     """``bucketBy(n, key).sortBy(key)`` parquet table at ``path`` (op 35).
 
-    ``repartition(n, key)`` first uses the same hash as the bucketing, so each
-    task writes exactly one bucket file (without it every task writes up to
-    ``n`` small files).
+    With ``spread`` 1 a bucket is one task and one file: ``repartition(n, key)``
+    hashes as the bucketing does. A table of that name is replaced.
     """
-    (df.repartition(n, key)
-       .write.mode("overwrite").format("parquet")
+    dealt = df.repartition(n, key) if spread == 1 else _dealt(df, n * spread, [bucket_id(key, n)], spread)
+    (dealt.write.mode("overwrite").format("parquet")
        .bucketBy(n, key).sortBy(key)
        .option("path", path)
        .saveAsTable(table))
@@ -39,16 +51,18 @@ def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str) -> Da
 
 
 def write_partitioned(df: DataFrame, table: str, part: str, key: str, n: int, path: str,
-                      tasks: int | None = None) -> DataFrame:
+                      tasks: int | None = None, spread: int = 1) -> DataFrame:
     """Partition by ``part`` and bucket by ``key`` in ONE distributed write (op 36).
 
     Rows are shuffled on (partition value, bucket id), so each (date, bucket)
-    file is written by one task; no per-date driver loop and no ``collect`` of
-    the dates. ``tasks`` defaults to the session's shuffle partitions.
+    file is written by one task (by ``spread`` tasks for hot dates); no per-date
+    driver loop and no ``collect`` of the dates. ``n`` is sized to a date's bytes,
+    not the table's. ``tasks`` defaults to the session's shuffle partitions.
     """
     spark = df.sparkSession
     t = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartition(t, F.col(part), bucket_id(key, n))
+    (_dealt(df, t, [F.col(part), bucket_id(key, n)], spread)
+       .sortWithinPartitions(part)
        .write.mode("overwrite").format("parquet")
        .partitionBy(part).bucketBy(n, key).sortBy(key)
        .option("path", path)
@@ -57,35 +71,41 @@ def write_partitioned(df: DataFrame, table: str, part: str, key: str, n: int, pa
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Number of files and bytes of a parquet folder, from ``_metadata``.
-
-    Aggregated on the executors; only the one-row result reaches the caller.
-    """
-    df = spark.read.parquet(path)
-    files = df.select(F.col("_metadata.file_path").alias("f"),
-                      F.col("_metadata.file_size").alias("s")).distinct()
-    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("s").alias("total_bytes"))
+    """Number of files and bytes of a folder, from its listing: no row or footer is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+    return files.agg(F.count(F.lit(1)).alias("n_files"),
+                     F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"))
 
 
 def layout_report(spark: SparkSession, tables: Mapping[str, DataFrame],
-                  candidates: Mapping[str, Sequence[str]], base_path: str) -> DataFrame:
+                  candidates: Mapping[str, Sequence[str]], base_path: str,
+                  at_once: int = 4) -> DataFrame:
     """Written size of each table per candidate sort column (op 41).
 
     For each table and candidate (plus no sort), the table is written with
-    ``sortWithinPartitions(col)`` (no shuffle) and the real file bytes are read
-    back from ``_metadata`` -- unlike a plan's size estimate, this shows what
-    the sort does to compression. The loop runs over the (few) candidates; each
-    write is a distributed job.
+    ``sortWithinPartitions(col)`` (no shuffle); rows come from the written footers and
+    the real bytes from the file listing -- unlike a plan's size estimate, this
+    shows what the sort does to compression. The (few) writes are distributed
+    jobs, ``at_once`` submitted together.
     """
-    parts = []
-    for name, df in tables.items():
-        for col in [None, *candidates.get(name, [])]:
-            p = f"{base_path}/{name}/{col or '_unsorted'}"
-            (df.sortWithinPartitions(col) if col else df).write.mode("overwrite").parquet(p)
-            parts.append(file_stats(spark, p).select(
-                F.lit(name).alias("table"), F.lit(col or "").alias("sort_column"),
-                "n_files", "total_bytes"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    cases = [(name, df, col) for name, df in tables.items() for col in [None, *candidates.get(name, [])]]
+
+    def write(case) -> str:
+        name, df, col = case
+        p = f"{base_path}/{name}/{col or '_unsorted'}"
+        (df.sortWithinPartitions(col) if col else df).write.mode("overwrite").parquet(p)
+        return p
+
+    with ThreadPoolExecutor(at_once) as pool:
+        paths = list(pool.map(write, cases))
+    out = None
+    for (name, _, col), p in zip(cases, paths):
+        rows = spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows"))
+        one = rows.unionByName(file_stats(spark, p), allowMissingColumns=True).agg(
+            F.max("n_rows").alias("n_rows"), F.max("n_files").alias("n_files"),
+            F.max("total_bytes").alias("total_bytes")).select(
+            F.lit(name).alias("table"), F.lit(col or "").alias("sort_column"),
+            "n_rows", "n_files", "total_bytes")
+        out = one if out is None else out.unionByName(one)
     return out

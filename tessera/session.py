@@ -75,8 +75,9 @@ def scale_conf(input_bytes: int, total_cores: int,
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    Reads the cluster's ``spark.checkpoint.dir``; sets a local one only when
-    it is unset (tests, single-machine runs).
+    Reads the cluster's ``spark.checkpoint.dir``. Only a ``local`` master gets a
+    folder of its own when that is unset (tests, single-machine runs); elsewhere
+    executors would each write to their own disk, so it is an error.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -85,6 +86,8 @@ def scratch_dir(spark: SparkSession) -> str:
         return cur.rstrip("/")
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")

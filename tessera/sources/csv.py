@@ -18,6 +18,8 @@ def load_csv(spark: SparkSession, path: str, schema: StructType | str,
             .option("header", str(header).lower())
             .option("sep", sep)
             .option("mode", "FAILFAST")
+            # a header whose names or order differ from the schema is an error
+            .option("enforceSchema", "false")
             .schema(schema)
             .csv(path))
 

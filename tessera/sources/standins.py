@@ -12,6 +12,7 @@ Fixed derivation values (the same numbers appear in the oracle SQL):
                 'b' || (k % 4 + 1) when k % 10 = 0 (device fan-out)
   home team   = 1 + (o_custkey % 7)
   map id      = o_custkey % 25
+  medal player = l_suppkey; -l_suppkey (a player without details) when l_partkey % 11 = 0
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.plans.joins import join_small
 from tessera.sources.tables import load
 
 
@@ -90,7 +90,7 @@ def game_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     s = load(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("player_name"))
-    return (join_small(li, s, "l_suppkey", "left")
+    return (li.join(s, "l_suppkey", "left")
               .select(F.col("l_orderkey").alias("game_id"),
                       F.col("l_linenumber").alias("team_id"),
                       F.col("l_suppkey").alias("player_id"),
@@ -143,6 +143,7 @@ def medals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def medal_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").alias("match_id"),
-                     F.col("l_suppkey").alias("player_gamertag"),
+                     F.when(F.col("l_partkey") % 11 == 0, -F.col("l_suppkey"))
+                      .otherwise(F.col("l_suppkey")).alias("player_gamertag"),
                      F.col("l_partkey").alias("medal_id"),
                      F.col("l_quantity").cast("int").alias("count"))

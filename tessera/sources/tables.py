@@ -25,8 +25,3 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(sf_dir, name))
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp views with the table names, for ``spark.sql`` users."""
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)

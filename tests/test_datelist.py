@@ -10,6 +10,8 @@ from tessera.operators.upsert import upsert, write_upsert
 from tessera.session import fresh_path
 
 D = dt.date(2023, 1, 31)
+# first and last day of the events tables at hand
+FIRST, LAST = dt.date(2024, 1, 1), dt.date(2024, 1, 30)
 
 
 def _ev(spark, spec):
@@ -50,13 +52,13 @@ def test_step_prepends_and_advances(spark):
 
 def test_fold_steps_equals_as_of_and_history(spark):
     ev = L.user_events(spark, SF_SMALL)
-    snap = datelist_as_of(ev, "user_id", L.FIRST)
-    day = L.FIRST
-    while day < L.FIRST + dt.timedelta(days=6):
+    snap = datelist_as_of(ev, "user_id", FIRST)
+    day = FIRST
+    while day < FIRST + dt.timedelta(days=6):
         day += dt.timedelta(days=1)
         snap = datelist_step(snap, ev, "user_id", day).checkpoint()
     assert rows(snap) == rows(datelist_as_of(ev, "user_id", day).select(*snap.columns))
-    hist = datelist_history(ev, "user_id", L.FIRST, day).where(F.col("date") == day)
+    hist = datelist_history(ev, "user_id", FIRST, day).where(F.col("date") == day)
     assert rows(hist) == rows(snap.select(*hist.columns))
 
 
@@ -88,9 +90,9 @@ def test_write_upsert_dynamic_overwrite(spark):
 
 
 def test_day_filter_is_pushed_down(spark):
-    snap = datelist_as_of(L.user_events(spark, SF_SMALL), "user_id", L.LAST)
+    snap = datelist_as_of(L.user_events(spark, SF_SMALL), "user_id", LAST)
     assert "LessThan(ts,2024-01-31T00:00)]" in plan_text(snap)   # in PushedFilters
-    f = activity_flags(snap, "user_id", L.LAST)
+    f = activity_flags(snap, "user_id", LAST)
     assert "CartesianProduct" not in plan_text(f) and "NestedLoopJoin" not in plan_text(f)
 
 
@@ -99,7 +101,7 @@ def test_persisted_daily_run_is_idempotent(spark):
     ev = S.activity_events(spark, SF_SMALL)
     kw = dict(not_null=("user_id",), list_col="host_activity_datelist")
     p = fresh_path(spark, "daily")
-    first, today = L.FIRST, L.FIRST + dt.timedelta(days=5)
+    first, today = FIRST, FIRST + dt.timedelta(days=5)
     datelist_history(ev, "host", first, today - dt.timedelta(days=1), **kw) \
         .write.partitionBy("date").parquet(p)
     for _ in range(2):                      # the second load of the day changes nothing
@@ -112,18 +114,50 @@ def test_persisted_daily_run_is_idempotent(spark):
 
 
 def test_daily_step_prunes_partitions(spark):
-    from tessera.plans.joins import join_small
     from tessera.sources import standins as S
     ev = S.activity_events(spark, SF_SMALL)
     kw = dict(not_null=("user_id",), list_col="host_activity_datelist")
     p = fresh_path(spark, "prune")
-    datelist_history(ev, "host", L.FIRST, L.FIRST + dt.timedelta(days=4), **kw) \
+    datelist_history(ev, "host", FIRST, FIRST + dt.timedelta(days=4), **kw) \
         .write.partitionBy("date").parquet(p)
     table = spark.read.parquet(p)
-    day = L.FIRST + dt.timedelta(days=5)
+    day = FIRST + dt.timedelta(days=5)
     step = datelist_step(table, ev, "host", day, **kw)
     # the previous day's partition only (static pruning)
     assert f"(date#" in plan_text(step) and f"= {day - dt.timedelta(days=1)})]" in plan_text(step)
     # the upsert's read of existing rows is pruned at runtime to the touched days
-    cur = join_small(table, step.select("date").distinct(), "date", "left_semi")
+    cur = table.join(step.select("date").distinct(), "date", "left_semi")
     assert "dynamicpruning" in plan_text(cur)
+
+
+def test_history_from_a_later_day_equals_as_of(spark):
+    ev = _ev(spark, [("a", 5, 1), ("a", 1, 1), ("early", 6, 1), ("b", 0, 1)])
+    hist = datelist_history(ev, "user_id", D - dt.timedelta(days=2), D)
+    for back in range(3):
+        day = D - dt.timedelta(days=back)
+        want = datelist_as_of(ev, "user_id", day)
+        assert rows(hist.where(F.col("date") == day).select(*want.columns)) == rows(want)
+
+
+def test_write_upsert_without_existing_keeps_other_keys(spark):
+    p = fresh_path(spark, "upsert-default")
+    t = spark.createDataFrame([("a", 1, "old"), ("b", 1, "old"), ("c", 2, "old")], "k string, d int, v string")
+    write_upsert(t, p, "d", ["k", "d"])                     # nothing stored yet
+    write_upsert(t.where("k = 'a'").withColumn("v", F.lit("new")), p, "d", ["k", "d"])
+    assert rows(spark.read.parquet(p).select("k", "d", "v")) == [("a", 1, "new"), ("b", 1, "old"), ("c", 2, "old")]
+
+
+def test_write_upsert_rejects_uncovered_partitions(spark):
+    import pytest
+    p = fresh_path(spark, "upsert-covered")
+    t = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old")], "k string, d int, v string")
+    t.write.partitionBy("d").parquet(p)
+    conf = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        with pytest.raises(ValueError, match="outside"):
+            write_upsert(t.withColumn("v", F.lit("new")), p, "d", ["k", "d"], partitions=[1])
+        write_upsert(t.where("d = 1").withColumn("v", F.lit("new")), p, "d", ["k", "d"], partitions=[1])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", conf)
+    assert rows(spark.read.parquet(p).select("k", "d", "v")) == [("a", 1, "new"), ("b", 2, "old")]

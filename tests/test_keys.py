@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -55,3 +56,11 @@ def test_csv_roundtrip_types(spark):
     p = fresh_path(spark, "csv-rt")
     write_csv(df, p)
     assert rows(load_csv(spark, p, "i long, d date, x double")) == [(1, dt.date(2024, 1, 2), 1.25)]
+
+
+def test_csv_header_must_match_the_schema(spark):
+    p = fresh_path(spark, "csv-order")
+    write_csv(spark.createDataFrame([(1, 2)], "b int, a int"), p)
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE|CSV"):
+        load_csv(spark, p, "a int, b int").collect()
+    assert rows(load_csv(spark, p, "b int, a int")) == [(1, 2)]

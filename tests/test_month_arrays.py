@@ -3,10 +3,11 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from tessera.catalog.datelists import FIRST
+from tessera.catalog.datelists import event_days
 from tessera.operators.devices import device_datelist, device_datelist_int
-from tessera.operators.month_arrays import (host_month_as_of, host_month_step, month_array_step,
-                                            month_arrays_as_of, unpack_month_arrays)
+from tessera.operators.month_arrays import (host_month_as_of, host_month_step, host_visitors_as_of,
+                                            host_visitors_of_day, month_array_step,
+                                            month_arrays_as_of, month_visitors, unpack_month_arrays)
 from tessera.sources import standins as S
 
 M = dt.date(2023, 1, 1)
@@ -34,16 +35,32 @@ def test_first_seen_day3_absent_today_and_rerun(spark):
     assert rows(direct) == rows(t.select(*direct.columns))
 
 
-def test_host_visitors_kept_on_empty_day(spark):
-    ev = _ev(spark, [(1, "h", 1), (2, "h", 1), (1, "h", 2)])
+def test_rerun_of_an_earlier_day_keeps_later_days(spark):
+    days = [(1, "h", d) for d in range(1, 8)] + [(2, "h", 3)]
+    ev = _ev(spark, days)
+    seven = month_arrays_as_of(_ev(spark, days[:-1]), "user_id", "hits", dt.date(2023, 1, 7))
+    out = month_array_step(seven, ev, "user_id", "hits", dt.date(2023, 1, 3))
+    assert {r["user_id"]: r["metric_array"] for r in out.collect()} == {1: [1] * 7, 2: [0, 0, 1]}
+    gone = month_array_step(seven, _ev(spark, [(9, "h", 9)]), "user_id", "hits", dt.date(2023, 1, 3))
+    assert gone.collect()[0]["metric_array"] == [1, 1, 0, 1, 1, 1, 1]
+    hosts = host_month_as_of(ev, dt.date(2023, 1, 7))
+    assert host_month_step(hosts, ev, dt.date(2023, 1, 2)).collect()[0]["hit_array"] == [1, 1, 2, 1, 1, 1, 1]
+
+
+def test_host_visitor_rows(spark):
+    ev = _ev(spark, [(1, "h", 1), (2, "h", 1), (1, "h", 2), (None, "h", 2)])
     prev = host_month_as_of(ev, dt.date(2023, 1, 2))
     out = host_month_step(prev, ev, dt.date(2023, 1, 3)).collect()[0]
-    assert out["hit_array"] == [2, 1, 0] and out["unique_visitors"] == ["1", "2"]
+    assert out["hit_array"] == [2, 2, 0]
+    v = host_visitors_as_of(ev, dt.date(2023, 1, 2))
+    assert rows(month_visitors(v), "visitor") == [("1",), ("2",)]
+    one = host_visitors_of_day(ev, dt.date(2023, 1, 1)).unionByName(host_visitors_of_day(ev, dt.date(2023, 1, 2)))
+    assert rows(one) == rows(v)
 
 
 def test_unpack_equals_daily_counts(spark):
     ev = S.activity_events(spark, SF_SMALL)
-    last = FIRST + dt.timedelta(days=9)
+    last = event_days(spark, SF_SMALL)[0] + dt.timedelta(days=9)
     t = month_arrays_as_of(ev, "user_id", "hits", last)
     un = unpack_month_arrays(t)
     daily = (ev.where(F.to_date("ts") <= last)

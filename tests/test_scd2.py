@@ -68,8 +68,18 @@ def test_increment_equals_backfill(spark):
 
 def test_fold_increments_equals_backfill_on_orders(spark):
     snaps = C.backfill(spark, SF_SMALL)
-    scd = D.scd_as_of(spark, SF_SMALL, C.LO)
-    for y in range(C.LO + 1, C.HI + 1):
+    lo, hi = C.year_span(spark, SF_SMALL)
+    scd = D.scd_as_of(spark, SF_SMALL, lo)
+    for y in range(lo + 1, hi + 1):
         scd = scd2_increment(scd, snaps, C.KEY, D.TRACKED, y - 1, y, "current_year", **D.NAMES)
         scd = scd.checkpoint()
     assert rows(D._flat(scd)) == rows(D.q_scd2_backfill(spark, SF_SMALL))
+
+
+def test_null_key_is_a_key(spark):
+    cols = "k string, cls string, act boolean, p int"
+    snaps = spark.createDataFrame([(None, "a", True, 1), ("x", "a", True, 1), (None, "b", True, 2), ("y", "c", False, 2)], cols)
+    scd = scd2_backfill(snaps, "k", ["cls", "act"], "p", 1)
+    out = scd2_increment(scd, snaps, "k", ["cls", "act"], 1, 2, "p", with_branch=True)
+    assert rows(out, "k", "cls", "start_period", "end_period", "branch") == sorted(
+        [("x", "a", 1, 1, "missing"), ("y", "c", 2, 2, "new"), (None, "a", 1, 1, "changed"), (None, "b", 2, 2, "changed")], key=repr)

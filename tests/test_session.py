@@ -16,3 +16,22 @@ def test_scratch_dir_is_the_session_checkpoint_dir(spark):
     assert d == spark.sparkContext.getCheckpointDir().rstrip("/")
     a, b = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert a != b and a.startswith(d) and b.startswith(d)
+
+
+def test_scratch_dir_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())

@@ -7,10 +7,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators.cumulative import cumulate_step_rows, rows_summary_as_of
 from tessera.operators.datelist import activity_mask_from_events, datelist_as_of
 from tessera.operators.graph import edge_property_max, edge_ratio_report
 from tessera.operators.keys import dedup
-from tessera.operators.month_arrays import host_month_as_of
+from tessera.operators.month_arrays import host_month_as_of, host_visitors_as_of, month_visitors
 
 N = 30_000
 DAY = dt.date(2024, 1, 30)
@@ -71,14 +72,29 @@ def test_month_arrays_hot_host(skewed):
     pdf, df = skewed
     ev = df.withColumn("host", F.concat(F.lit("h"), F.col("k").cast("string"))) \
            .withColumnRenamed("v", "user_id")
-    got = {r["host"]: (r["hit_array"], r["unique_visitors"])
-           for r in host_month_as_of(ev, DAY).collect()}
+    hits = {r["host"]: r["hit_array"] for r in host_month_as_of(ev, DAY).collect()}
+    visitors = {}
+    for r in month_visitors(host_visitors_as_of(ev, DAY)).collect():
+        visitors.setdefault(r["host"], []).append(r["visitor"])
     jan = pdf[pd.to_datetime(pdf["day"]) >= pd.Timestamp("2024-01-01")]
     for k, g in jan.groupby("k"):
         counts = g.groupby("day").size()
         arr = [int(counts.get(dt.date(2024, 1, 1) + dt.timedelta(days=i), 0)) for i in range(30)]
         vis = sorted({str(u) for u in g["v"]})
-        assert got[f"h{k}"] == (arr, vis)
+        assert (hits[f"h{k}"], sorted(visitors[f"h{k}"])) == (arr, vis)
+
+
+def test_rows_step_hot_entity(skewed):
+    pdf, df = skewed
+    f = df.withColumn("p", F.when(F.col("i") % 2 == 0, 1).otherwise(2))
+    prev = rows_summary_as_of(f, "k", "p", "v", 1, [(50, "hi")], "lo")
+    got = {r["k"]: (r["n_entries"], r["class"], r["is_active"])
+           for r in cumulate_step_rows(prev, f, "k", "p", "v", 2, [(50, "hi")], "lo").collect()}
+    two = pdf[pdf["i"] % 2 == 1].groupby("k")["v"].mean()
+    one = pdf[pdf["i"] % 2 == 0].groupby("k")["v"].mean()
+    want = {k: (int(n), "hi" if two.get(k, one.get(k)) > 50 else "lo", k in two.index)
+            for k, n in pdf.groupby("k").size().items()}
+    assert got == want
 
 
 def test_graph_reports_hot_subject(spark, skewed):
