@@ -32,8 +32,8 @@ def test_small_side_is_left_to_spark(spark):
         joined.count()
         assert "BroadcastHashJoin" not in plan_text(joined)
         assert measured_bytes(texts) > 2_000_000 > measured_bytes(small)
-        assert "BroadcastHashJoin" not in plan_text(big.join(broadcast_if_small(texts, 1_000_000), "k"))
-        assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(texts, 10_000_000), "k"))
+        assert "BroadcastHashJoin" not in plan_text(big.join(broadcast_if_small(texts, 1_000_000), "k", "left"))
+        assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(texts, 10_000_000), "k", "left"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
