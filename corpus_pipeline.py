@@ -18,7 +18,7 @@ from tessera.llm.suffixdedup import suffix_dedup
 from tessera.session import fresh_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.5         # mean probability of the predicted language over a text's windows
+MIN_LANGUAGE_SCORE = 0.35        # probability of the predicted language: hardly above chance among three or four
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Texts are cut into windows of ``WINDOW`` bytes (the whole text; the last window is padded
 with zeros). Each byte has a learned vector; filters of several widths run over the window,
 are rectified and max-pooled, and a softmax layer gives the window's probabilities. A text's
-probabilities are the mean over its windows, weighted by their bytes. The network is trained in numpy
+probabilities are the normalised geometric mean over its windows, weighted by their bytes. The network is trained in numpy
 (Adam, cross entropy) on a bounded sample of labelled texts: at most ``docs_per_lang`` texts a language,
 ``windows_per_doc`` windows of each, spread over the whole text. Its few thousand weights travel to
 the tasks, where the convolution of a width is a sum of table rows: a table of 65,536
@@ -78,7 +78,7 @@ class ByteCNN:
         g["E"][0] = 0
         return loss, g
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 900, batch: int = 64, rate: float = 4e-3,
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 1500, batch: int = 64, rate: float = 4e-3,
             seed: int = 11) -> ByteCNN:
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -184,7 +184,7 @@ def _sample_windows(batches, windows_per_doc: int):
 
 
 def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", docs_per_lang: int = 400, windows_per_doc: int = 6,
+                      lang_col: str = "lang", docs_per_lang: int = 600, windows_per_doc: int = 6,
                       whole_rows: bool = False) -> DataFrame:
     """(id, lang_pred, score) of every row; ``learn`` says which rows may be learned from.
 
@@ -212,11 +212,12 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
                 part = offsets[i:j + 1]
                 w, row, size = _windows(data[part[0]:part[-1]], part - part[0])
                 for k in range(0, len(w), 1024):         # windows at a time
-                    prob = predict_windows(w[k:k + 1024], tables, V, c)
+                    prob = np.log(predict_windows(w[k:k + 1024], tables, V, c) + 1e-9)
                     np.add.at(total, row[k:k + 1024] + i, prob * size[k:k + 1024, None])
-            mass = total.sum(1)
-            best = total.argmax(1)
-            score = np.where(has, total[np.arange(len(total)), best] / np.maximum(mass, 1e-12), 0.0)
+            mean = total / np.maximum(np.diff(offsets), 1)[:, None]
+            share = np.exp(mean - mean.max(1, keepdims=True))
+            best = share.argmax(1)
+            score = np.where(has, 1 / share.sum(1), 0.0)
             pred = np.where(has, np.array(labels, object)[best], "und")
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), *b.columns[3:]],
