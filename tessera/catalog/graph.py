@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.catalog.stored import stored
 from tessera.operators.graph import (edge_property_max, edge_ratio_report, edges_from_rows,
                                      vertex_counts, vertices_dedup, vertices_from_agg,
                                      vertices_from_rows)
@@ -64,14 +65,19 @@ def q_graph_vertex_counts(spark, d):
     return vertex_counts(v).withColumn("n", F.col("n").cast("bigint"))
 
 
+def graph_tables(spark, d):
+    """Player vertices and plays-in edges written once, as the reports find them."""
+    return (stored(spark, player_vertices(spark, d), "type"),
+            stored(spark, plays_in_edges(spark, d), "edge_type"))
+
+
 def q_graph_edge_max(spark, d):
-    r = edge_property_max(player_vertices(spark, d), plays_in_edges(spark, d),
-                          "player_name", "pts")
+    r = edge_property_max(*graph_tables(spark, d), "player_name", "pts")
     return r.select("player_name", F.col("max_pts").cast("bigint").alias("max_pts"))
 
 
 def q_graph_edge_ratio(spark, d):
-    r = edge_ratio_report(player_vertices(spark, d), plays_in_edges(spark, d), "game",
+    r = edge_ratio_report(*graph_tables(spark, d), "game",
                           "player_name", "number_of_games", "total_points", ["pts", "team_id"])
     return r.select("player_name", "object_identifier", "ratio",
                     "pts", "team_id")
