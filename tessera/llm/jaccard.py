@@ -5,13 +5,14 @@ Equal sets are collapsed first: their least id stands for them. Each set has ``C
 coordinates, that is, tokens sampled alike from all sets. A run starts with all sets in one node;
 a node picks ``BRANCH`` coordinates by a hash of its own path, and a set goes to one
 child per coordinate, named after its token there. Children of at most ``LEAF``
-sets are leaves; larger ones are split again, up to ``DEPTH`` times. Two sets of similarity s share
+sets are leaves; larger ones are split again, up to ``DEPTH`` times, unless a child would hold
+half of the node: such sets are alike and the node is a leaf. Two sets of similarity s share
 a leaf of a run with probability q(0) = 1, q(d) = 1 - (1 - s q(d-1))^BRANCH at least; runs are repeated until
 1 - (1 - q(DEPTH))^runs reaches the target recall.
 
 Leaves are compared by brute force on 8-bit sketches of all coordinates, with a margin of five standard
-deviations; a leaf that can't be split (copies) is compared in blocks of bounded size. The links of a leaf are kept
-as a spanning forest, and later runs compare only what is still apart. Each connected component of these candidates is then
+deviations; a leaf of many sets is compared in pairs of blocks of bounded size. The links of a block are kept
+as a spanning forest, those between two blocks as a forest over the trees of either. Each connected component of these candidates is then
 verified once on its whole shingle sets, all pairs in blocks, counted where they
 are made and never written out: exact links per set and a spanning forest of the true links. So links
 are found also between sets that shared no leaf, and copies never multiply rows.
@@ -37,7 +38,7 @@ SHINGLE = 5
 COORDS = 64
 BRANCH = 3
 DEPTH = 3
-LEAF = 512
+LEAF = 1024
 BLOCK = 256
 _rng = np.random.default_rng(5)
 _SALT = _rng.integers(1, 1 << 63, COORDS, dtype=np.uint64)
@@ -117,22 +118,35 @@ def signatures(docs: DataFrame, runs: int) -> DataFrame:
                            f"id {kind}, size long, k1 long, k2 long, nodes array<long>, sketch binary")
 
 
+def _forest(reps: np.ndarray, linked: np.ndarray, mine: np.ndarray, one_block: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (set, least set of its tree). Of two blocks, only those that join trees of either."""
+    if one_block:
+        root = reps[local_roots(linked)]
+        tied = root != reps
+        return reps[tied], root[tied]
+    tree = local_roots(linked & (mine[:, None] == mine[None]))
+    parts, member = np.unique(tree, return_inverse=True)
+    between = np.zeros((len(parts), len(parts)), bool)
+    x, y = np.nonzero(linked & (mine[:, None] != mine[None]))
+    between[member[x], member[y]] = True
+    root = local_roots(between)
+    tied = root != np.arange(len(parts))
+    return reps[parts[tied]], reps[parts[root[tied]]]
+
+
 def _leaf_links(batches, margin: int):
-    """Of each leaf: a spanning forest (a, b) of the components so far that it finds linked."""
+    """Forest edges (a, b) of each pair of blocks of a leaf."""
     for t in sorted_groups(batches, 3):
-        comp = t.column("comp").to_numpy()
-        parts, member = np.unique(comp, return_inverse=True)
-        if len(parts) < 2:
-            continue
-        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(comp), COORDS)
-        linked = np.zeros((len(parts), len(parts)), bool)
-        for i in range(0, len(comp), 64):
-            x, y = np.nonzero((sk[i:i + 64, None] == sk[None]).sum(2, dtype=np.int16) >= margin)
-            linked[member[x + i], member[y]] = True
-        root = parts[local_roots(linked)]
-        tied = root != parts
-        if tied.any():
-            yield pa.RecordBatch.from_arrays([pa.array(parts[tied]), pa.array(root[tied])], ["a", "b"])
+        reps, mine = t.column("rep").to_numpy(), t.column("mine").to_numpy()
+        sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(reps), COORDS)
+        order = np.argsort(reps, kind="stable")
+        reps, mine, sk = reps[order], mine[order], sk[order]
+        near = np.zeros((len(reps), len(reps)), bool)
+        for i in range(0, len(reps), 64):
+            near[i:i + 64] = (sk[i:i + 64, None] == sk[None]).sum(2, dtype=np.int16) >= margin
+        a, b = _forest(reps, near, mine, t.column("p")[0] == t.column("q")[0])
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _in_blocks(rows: DataFrame, key: str, item: str, size: str, block: int) -> DataFrame:
@@ -144,43 +158,37 @@ def _in_blocks(rows: DataFrame, key: str, item: str, size: str, block: int) -> D
 
 
 def _leaves(level: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(node, rep, count) of the leaves under the nodes (rep, node) of one run."""
-    leaves = None
-    for depth in range(1, DEPTH + 1):
-        sizes = level.groupBy("node").count().where("count > 1")
-        sized = once(level.join(sizes, "node"))
-        done = sized if depth == DEPTH else sized.where(F.col("count") <= LEAF)
-        leaves = done if leaves is None else leaves.unionByName(done)
-        rest = sized.where(F.col("count") > LEAF)
-        if depth == DEPTH or rest.isEmpty():
+    """(node, rep, count) of the leaves under the nodes (rep, node)."""
+    sizes = level.groupBy("node").count().where("count > 1")
+    sized = once(level.join(sizes, "node").select("node", "rep", "count"))
+    leaves = sized.where(F.col("count") <= LEAF)
+    rest = sized.where(F.col("count") > LEAF)
+    for depth in range(2, DEPTH + 1):
+        if rest.isEmpty():
             return leaves
         coords = F.array(*(F.pmod(F.xxhash64("node", F.lit(j)), F.lit(COORDS)).cast("int") for j in range(BRANCH)))
-        level = (rest.join(sketches, "rep").withColumn("c", F.explode(coords))
-                 .select("rep", F.expr("xxhash64(node, c, substring(sketch, c + 1, 1))").alias("node")).distinct())
-
-
-def candidate_components(sets: DataFrame, runs: int, similarity: float) -> DataFrame:
-    """(a, b): sets (rep, nodes, sketch) that some run found near others, with the least of their component.
-
-    Runs follow one another, and a run only compares what the earlier ones left apart, so a large
-    group of near copies puts out its links in the first run alone.
-    """
-    sketches, margin, tree = sets.select("rep", "sketch"), sketch_margin(similarity), None
-    for run in range(runs):
-        level = sets.select("rep", F.explode(F.slice("nodes", run * BRANCH + 1, BRANCH)).alias("node"))
-        rows = _in_blocks(_leaves(level, sketches), "node", "rep", "count", LEAF).select("node", "p", "q", "rep").join(sketches, "rep")
-        if tree is None:
-            rows = rows.withColumn("comp", F.col("rep"))
-        else:
-            rows = rows.join(tree, rows.rep == tree.a, "left").withColumn("comp", F.coalesce("b", "rep"))
-        rows = (rows.select("node", "p", "q", "comp", "sketch")
-                .repartition(shuffle_parts(sets), "node", "p", "q").sortWithinPartitions("node", "p", "q"))
-        links = once(rows.mapInArrow(lambda it: _leaf_links(it, margin), "a long, b long"))
-        if tree is None:
-            tree = components(links)
-        elif not links.isEmpty():
-            tree = components(links.unionByName(tree))
-    return tree
+        below = (rest.join(sketches, "rep").withColumn("c", F.explode(coords))
+                 .select("rep", F.expr("xxhash64(node, c, substring(sketch, c + 1, 1))").alias("child"),
+                         F.col("node").alias("parent"), F.col("count").alias("of")))
+        sizes = below.groupBy("child", "parent", "of").count()
+        stuck = once(sizes.where(F.col("count") * 2 >= F.col("of")).select(F.col("parent").alias("node")).distinct())
+        leaves = leaves.unionByName(rest.join(stuck, "node", "left_semi"))
+        split = below.join(stuck, F.col("parent") == stuck.node, "left_anti").join(
+            sizes.where("count > 1").select("child", "count"), "child")
+        split = once(split.select(F.col("child").alias("node"), "rep", "count").distinct())
+        leaves = leaves.unionByName(split.where(F.col("count") <= LEAF))
+        rest = split.where(F.col("count") > LEAF)
+    return leaves.unionByName(rest)
+
+
+def candidate_links(sets: DataFrame, similarity: float) -> DataFrame:
+    """Forest edges (a, b) of the sets (rep, nodes, sketch) whose sketches agree in a leaf of some run."""
+    sketches, margin = sets.select("rep", "sketch"), sketch_margin(similarity)
+    leaves = _leaves(sets.select("rep", F.explode("nodes").alias("node")), sketches)
+    rows = _in_blocks(leaves, "node", "rep", "count", LEAF).join(sketches, "rep")
+    rows = (rows.select("node", "p", "q", "rep", "mine", "sketch")
+            .repartition(shuffle_parts(sets), "node", "p", "q").sortWithinPartitions("node", "p", "q"))
+    return once(rows.mapInArrow(lambda it: _leaf_links(it, margin), "a long, b long"))
 
 
 def _set_batches(batches):
@@ -227,17 +235,15 @@ def _verify(batches, similarity: float):
         both = _intersections(sets)
         linked = both >= similarity * (size[:, None] + size[None] - both) - 1e-3
         np.fill_diagonal(linked, False)
-        if p != q:
-            linked &= mine[:, None] != mine[None]
-        links = linked @ weight
-        root = reps[local_roots(linked)]
+        a, b = _forest(reps, linked, mine, p == q)
+        # links inside a block are counted where it meets itself
+        links = (linked if p == q else linked & (mine[:, None] != mine[None])) @ weight
         hit = np.flatnonzero(links)
-        tied = np.flatnonzero(root != reps)
         if len(hit):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([reps[hit], reps[tied]])),
-                 pa.array([None] * len(hit) + root[tied].tolist(), pa.int64()),
-                 pa.array(links[hit].tolist() + [None] * len(tied), pa.int64())], ["a", "b", "n"])
+                [pa.array(np.concatenate([reps[hit], a])),
+                 pa.array([None] * len(hit) + b.tolist(), pa.int64()),
+                 pa.array(links[hit].tolist() + [None] * len(a), pa.int64())], ["a", "b", "n"])
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -251,7 +257,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets = some.join(groups, (some.id == groups.rep) & (some.k1 == groups.k1) & (some.k2 == groups.k2)) \
         .select("rep", "weight", "nodes", "sketch").dropDuplicates(["rep"])
     sets = once(sets)
-    tree = candidate_components(sets, runs, similarity)
+    tree = components(candidate_links(sets, similarity))
     members = tree.select(F.col("a").alias("rep"), F.col("b").alias("comp")) \
         .unionByName(tree.select(F.col("b").alias("rep"), F.col("b").alias("comp")).distinct())
     sizes = members.groupBy("comp").count()

@@ -43,6 +43,23 @@ def test_suffix_dedup_null_bytes_and_spread_copies(spark):
         assert (got[d].n_bytes - len(kept), hashlib.sha256(kept).hexdigest()) == (want[1], want[3])
 
 
+def test_suffix_dedup_large_buckets(spark, docs, plain, monkeypatch):
+    """Buckets beyond the bound give the same result by grouping windows."""
+    import random
+
+    from tessera.llm import suffixdedup
+    monkeypatch.setattr(suffixdedup, "BUCKET", 0)
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefgh ", k=400))
+    extra = [(1000 + i, "".join(rng.choices("abcdefgh ", k=150)) + passage[i % 40:] + "".join(rng.choices("xyz", k=130))) for i in range(60)]
+    rows = plain + extra
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string").repartition(5)
+    want = brute.repeats(rows)
+    for r in suffix_dedup(df).collect():
+        kept = bytes(r.kept)
+        assert (r.n_bytes, r.n_bytes - len(kept), len(r.span_starts), hashlib.sha256(kept).hexdigest()) == want[r.doc_id]
+
+
 def test_suffix_dedup_carries_columns_and_text(docs, no_docs):
     out = suffix_dedup(docs, as_text=True, carry=("lang", "key"))
     assert out.columns[-1] == "row" and out.count() == docs.count()
@@ -83,8 +100,11 @@ def test_jaccard_join_matches_brute_force(docs, plain, no_docs):
     assert jaccard_join(no_docs).count() == 0
 
 
-def test_jaccard_join_large_group_of_near_copies(spark):
-    """More near copies than a leaf and a block hold: blocks, repeated splits, exact link counts."""
+@pytest.mark.parametrize("leaf", [1024, 60])
+def test_jaccard_join_large_group_of_near_copies(spark, monkeypatch, leaf):
+    """More near copies than a leaf and a block hold, and a line shared by many: splits, blocks, exact link counts."""
+    from tessera.llm import jaccard
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
     import random
     rng = random.Random(8)
     base = [f"w{i}" for i in range(80)]
@@ -94,7 +114,8 @@ def test_jaccard_join_large_group_of_near_copies(spark):
         if i % 5:
             w[rng.randrange(80)] = f"x{rng.randrange(30)}"
         rows.append((i, " ".join(w)))
-    rows += [(1000 + i, " ".join(f"v{rng.randrange(5000)}" for _ in range(30))) for i in range(50)]
+    rows += [(1000 + i, "a line that very many texts share " + " ".join(f"v{rng.randrange(5000)}" for _ in range(30))) for i in range(300)]
+    rows += [(2000 + i, rows[700 + i][1] + " end") for i in range(0, 300, 7)]
     got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute.classes(rows)
 
