@@ -21,8 +21,10 @@ on the input.
    bytes (merged lengths) and what precedes on ``a`` bytes (ranks of the reversed contexts): an exact
    test per distance, one grouping for all anchors of the bucket. All but the first of a group are duplicates.
 
-Texts are shuffled once, by id, and serve steps 3 and the removal. Nothing grows
-with a group in one task but the distinct contexts of one anchor substring.
+Texts are shuffled once, by id, and serve steps 3 and the removal. A bucket of more than
+``BUCKET`` anchors (a third of all texts may share a passage; at its edges their contexts differ) isn't
+held by one task: its runs are streamed and give one row per window, with the hash of its whole string,
+which Spark groups evenly; all but the first of a group are duplicates.
 
 Defined results: a null text is empty (0 bytes, nothing removed); rows with a null id come out whole and
 serve no other row; rows that repeat id and text are one text, each row is returned; rows that share an id but
@@ -44,6 +46,7 @@ LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM            # furthest an anchor lies behind its window's start
 RUN = 100_000                    # anchors in a sorted run
+BUCKET = 400_000                 # anchors that one task merges
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -147,7 +150,7 @@ def decode_run(blob: bytes):
 
 
 def _emit_runs(held: list, buckets: int):
-    """Rows (bucket, kind, blob) of the anchors held: kind 0 a run, kind 1 known duplicates."""
+    """Rows (bucket, n, blob) of the anchors held: a run of n, or known duplicates where n is 0."""
     ids, q, least, most, h, right, left = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((q, ids))
     width = LENGTH + REACH + 2
@@ -170,17 +173,17 @@ def _emit_runs(held: list, buckets: int):
         a = again
         right_len, most = rows[a, LENGTH].astype(np.int64), rows[a, -1].astype(np.int64)
         start = q[a] - most
-        out.append((int(bucket[a][0] + len(ids)) % buckets, 1,
+        out.append((int(bucket[a][0] + len(ids)) % buckets, 0,
                     np.concatenate([ids[a], (start << 8) | (q[a] + right_len - start)]).tobytes()))
     keep = np.flatnonzero(~again & ~itself)
     cuts = np.flatnonzero(np.diff(bucket[keep])) + 1
     for part in np.split(keep, cuts):
         if len(part):
             r = rows[part]
-            out.append((int(bucket[part[0]]), 0, encode_run(
+            out.append((int(bucket[part[0]]), len(part), encode_run(
                 ids[part], q[part], r[:, :LENGTH], r[:, LENGTH], r[:, LENGTH + 1:-1], r[:, -1])))
     return pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()),
-                                       pa.array([o[2] for o in out], pa.binary())], ["bucket", "kind", "blob"])
+                                       pa.array([o[2] for o in out], pa.binary())], ["bucket", "n", "blob"])
 
 
 def _run_batches(batches, buckets: int):
@@ -345,15 +348,58 @@ def duplicate_spans(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ids[who], (start << 8) | (q[who] - low + LENGTH - start)
 
 
+def _known_spans(size, blobs):
+    for n, b in zip(size, blobs):
+        if not n:
+            x = np.frombuffer(b, np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], ["id", "span"])
+
+
+def _window_batches(batches):
+    """(h1, h2, id, start) of every window of the runs; h1 is null where a span (in start) is known already."""
+    for b in batches:
+        size, blobs = b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_pylist()
+        for known in _known_spans(size, blobs):
+            none = pa.nulls(known.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, *known.columns], ["h1", "h2", "id", "start"])
+        for blob in (x for n, x in zip(size, blobs) if n):
+            ids, q, lcp, right_len, left_len, rests, left = decode_run(blob)
+            right = np.zeros((len(ids), LENGTH), np.uint8)
+            now, at = b"", 0
+            for i, (c, n) in enumerate(zip(lcp.tolist(), right_len.tolist())):
+                now, at = now[:c] + rests[at:at + n - c], at + n - c
+                right[i, :n] = np.frombuffer(now, np.uint8)
+            whole = np.concatenate([left[:, ::-1], right], 1)          # the anchor stands at column REACH
+            sums = prefix_sums(whole.reshape(-1))
+            other = prefix_sums(whole[:, ::-1].reshape(-1))
+            row = np.arange(len(ids)) * (REACH + LENGTH)
+            for a in range(REACH + 1):
+                mine = np.flatnonzero((LENGTH - right_len <= a) & (a <= left_len))
+                if len(mine):
+                    start = row[mine] + REACH - a
+                    back = row[mine] + LENGTH - (LENGTH - a)           # the same bytes in the reversed row
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(span_hash(sums, start, start + LENGTH).view(np.int64)),
+                         pa.array(span_hash(other, back, back + LENGTH).view(np.int64)),
+                         pa.array(ids[mine]), pa.array(q[mine] - a)], ["h1", "h2", "id", "start"])
+
+
+def _large_bucket_spans(runs: DataFrame) -> DataFrame:
+    """(id, span) of buckets too large for one task: their windows grouped by the hash of the whole string."""
+    rows = runs.mapInArrow(_window_batches, "h1 long, h2 long, id long, start long")
+    first = rows.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min(F.struct("id", "start")).alias("first"))
+    later = rows.join(first, ["h1", "h2"]).where(F.struct("id", "start") != F.col("first"))
+    span = F.shiftleft("start", 8) + F.lit(LENGTH)
+    return (later.select("id", span.alias("span"))
+            .unionByName(rows.where("h1 IS NULL").select("id", F.col("start").alias("span"))))
+
+
 def _span_batches(batches):
     for t in sorted_groups(batches, 1):
-        kind = t.column("kind").to_numpy()
+        size = t.column("n").to_numpy()
         blobs = t.column("blob").to_pylist()
-        for k, b in zip(kind, blobs):
-            if k:
-                x = np.frombuffer(b, np.int64).reshape(2, -1)
-                yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], ["id", "span"])
-        runs = [b for k, b in zip(kind, blobs) if not k]
+        yield from _known_spans(size, blobs)
+        runs = [b for n, b in zip(size, blobs) if n]
         if runs:
             ids, span = duplicate_spans(runs)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(span)], ["id", "span"])
@@ -402,9 +448,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row)
     parts = shuffle_parts(docs)
     with_places = docs.join(repeated_anchors(docs), "id", "left")
-    runs = with_places.mapInArrow(lambda it: _run_batches(it, 2 * parts), "bucket long, kind long, blob binary")
-    runs = runs.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    spans = runs.mapInArrow(_span_batches, "id long, span long").groupBy("id").agg(F.collect_list("span").alias("spans"))
+    runs = with_places.mapInArrow(lambda it: _run_batches(it, 2 * parts), "bucket long, n long, blob binary")
+    # the window reads a bucket's rows in order, after one shuffle that both branches share
+    runs = runs.repartition(parts, "bucket").withColumn("total", F.sum("n").over(Window.partitionBy("bucket")))
+    spans = (runs.where(F.col("total") <= BUCKET).mapInArrow(_span_batches, "id long, span long")
+             .unionByName(_large_bucket_spans(runs.where(F.col("total") > BUCKET)))
+             .groupBy("id").agg(F.collect_list("span").alias("spans")))
     schema = ("id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept " + ("string" if as_text else "binary")
               + "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row))
     return (docs.join(spans, "id", "left").mapInArrow(lambda it: _cut_batches(it, as_text), schema)
