@@ -43,9 +43,9 @@ _INLINE_SPACE = frozenset(("br", "td", "th", "img", "input", "wbr"))
 _DROP_TAGS = frozenset("nav footer aside form button select head menu dialog fieldset label input".split())
 # words of a class, id or role that mark what isn't the article
 _DROP_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav
-navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe
+navbar navigation breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe
 subscription signup share sharing social related recommended recommendations comment comments commentlist reply replies respond
-disqus widget toolbar pagination pager login search hidden complementary contentinfo""".split())
+disqus widget toolbar topbar header masthead legal copyright outbrain taboola pagination pager login search hidden complementary contentinfo""".split())
 _KEEP_WORDS = frozenset("article content main post entry story body text page".split())
 _STRONG_DROP = frozenset("ad ads advert advertisement comment comments sidebar footer nav navbar menu".split())
 _NEVER_DROPPED = frozenset(("html", "body", "article", "main"))
