@@ -13,7 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage
 
@@ -135,10 +134,6 @@ def shuffle_parts(df: DataFrame, at_least: int = 1) -> int:
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_schema(fields: list[tuple[str, pa.DataType]]) -> pa.Schema:
-    return pa.schema(fields)
-
-
 def once(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder."""
     return cut_lineage(df)
@@ -147,8 +142,3 @@ def once(df: DataFrame) -> DataFrame:
 def parquet(spark, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of one table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-
-
-__all__ = ["F", "SLICE_BYTES", "SEPARATOR", "mix", "once", "parquet", "prefix_sums", "row_slices",
-           "row_sums", "shuffle_parts", "span_hash", "text_buffers", "text_slices", "window_hashes",
-           "with_schema", "word_spans"]

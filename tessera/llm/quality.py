@@ -75,15 +75,10 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     np.cumsum(point, out=inside[1:])
     chars = inside[ends] - inside[starts]
 
-    # lines: row starts and what follows a \n
-    breaks = np.flatnonzero(data == 0x0A)
-    begin = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
+    # lines start at rows and behind each \n but a row's last (the empty line there has no word)
+    breaks = np.flatnonzero(data == 0x0A) + 1
+    begin = np.sort(np.concatenate([offsets[:-1], breaks[~np.isin(breaks, offsets[1:])]]), kind="stable")
     line_row = np.searchsorted(offsets[:-1], begin, "right") - 1
-    # a \n that ends a row is followed by an empty last line of that row, not of the next
-    tail = np.isin(breaks + 1, offsets[1:])
-    if tail.any():
-        begin = np.sort(np.concatenate([offsets[:-1], (breaks + 1)[~tail]]), kind="stable")
-        line_row = np.searchsorted(offsets[:-1], begin, "right") - 1
     stop = np.concatenate([begin[1:], offsets[-1:]])
     ends_in_break = (stop > begin) & (np.append(data, 0)[np.maximum(stop - 1, 0)] == 0x0A)
     stop = stop - ends_in_break
@@ -174,10 +169,9 @@ def calibrate(features: DataFrame, labels: DataFrame, id_col: str, good_col: str
         for rule in RULES:
             rows = [r for r in table if r.stratum == s and r["rule"] == rule]
             n = sum(r["count"] for r in rows if r.good)
-            hit = [tuple(sum(r["count"] for r in rows if r.good == g and r["step"] > i) for g in (True, False))
-                   for i in range(len(LADDER))]
-            # a text whose ratio lies above cutoff i has passed more than len - 1 - i of the ladder
-            hit = [(hit[len(LADDER) - 1 - i]) for i in range(len(LADDER))]
+            # a ratio above cutoff i (loosest first) lies above all later ones too: len - i cutoffs or more
+            hit = [tuple(sum(r["count"] for r in rows if r.good == g and r["step"] >= len(LADDER) - i)
+                         for g in (True, False)) for i in range(len(LADDER))]
             got = certified(hit, n, max_false_rejection / len(RULES), delta / (len(strata) * len(RULES)))
             if got is not None:
                 out.setdefault(s, {})[rule] = LADDER[got]
