@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from tessera.session import cut_lineage
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 # white space that ends a word: space and \t \n \v \f \r
 SEPARATOR = np.zeros(256, bool)
