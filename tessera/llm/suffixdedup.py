@@ -7,9 +7,9 @@ on the input.
 1. Anchors. Every ``LENGTH``-byte window picks the least of its ``GRAM``-byte substrings (a hash
    orders them), so equal windows pick it at the same place. Consecutive windows share an anchor, about one
    position in 35; an anchor stands for all windows that picked it, and each window has one anchor.
-2. Fingerprints. Only anchors whose substring occurs twice can have equal windows. Repeats inside a batch
-   are known on the spot; of them one witness row per substring is exchanged, so a passage in a third
-   of all texts sends a row per task, not per text.
+2. Fingerprints. Only anchors whose substring occurs twice can have equal windows. What repeats inside a
+   task is known on the spot; of each such substring only the first place and one witness row go to the
+   exchange, so a passage in a third of all texts sends two rows per task, not one per text.
 3. Sorted runs. The suffixes at the remaining anchors (to the end of the last window) are sorted per
    task with what precedes them. Anchors with equal context collapse: all but the first are
    duplicates already. What is left goes, front-coded (length of the common prefix with its predecessor,
@@ -46,6 +46,7 @@ LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM            # furthest an anchor lies behind its window's start
 RUN = 100_000                    # anchors in a sorted run
+SEEN = 4_000_000                 # substring hashes that a task keeps to know its repeats
 BUCKET = 400_000                 # anchors that one task merges
 
 
@@ -81,6 +82,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
 def _anchor_batches(batches):
     """(key, id, place, sure): sure rows are known to repeat; a null id is a witness."""
     told: set[int] = set()
+    seen = np.zeros(0, np.uint64)
     for b in batches:
         ids = b.column(0).to_numpy(zero_copy_only=False)
         for i, j, data, offsets in text_slices(b.column(1)):
@@ -94,10 +96,15 @@ def _anchor_batches(batches):
             sure = np.zeros(len(h), bool)
             sure[order[1:][same]] = True
             sure[order[:-1][same]] = True
+            if len(seen):
+                sure |= seen[np.minimum(np.searchsorted(seen, h), len(seen) - 1)] == h
+            if len(seen) > SEEN:                       # forgotten ones are told again, no more
+                seen, told = np.zeros(0, np.uint64), set()
+            seen = np.concatenate([seen, h[order]])
+            seen.sort(kind="stable")
+            seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])]
             key = np.where(sure, mix(owner.view(np.uint64) * np.uint64(31) + place.astype(np.uint64)), h)
             fresh = [x for x in np.unique(h[sure]).tolist() if x not in told]
-            if len(told) > 1_000_000:
-                told.clear()
             told.update(fresh)
             none = len(fresh)
             yield pa.RecordBatch.from_arrays(

@@ -60,6 +60,32 @@ def test_suffix_dedup_large_buckets(spark, docs, plain, monkeypatch):
         assert (r.n_bytes, r.n_bytes - len(kept), len(r.span_starts), hashlib.sha256(kept).hexdigest()) == want[r.doc_id]
 
 
+@pytest.mark.parametrize("kept", [1, 4_000_000])
+def test_repeats_are_known_or_exchanged(monkeypatch, kept):
+    """Every anchor that repeats is sure or meets another row of its key, however few hashes a task keeps."""
+    import collections
+    import random
+
+    import pyarrow as pa
+
+    from tessera.llm import suffixdedup
+    monkeypatch.setattr(suffixdedup, "SEEN", kept)
+    rng = random.Random(2)
+    parts = ["".join(rng.choices("abcdef ", k=300)) for _ in range(12)]
+    rows = [(i, "".join(rng.choices(parts, k=4))) for i in range(40)]
+    tasks = [[pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows[k:k + 5]]), pa.array([t for _, t in rows[k:k + 5]])],
+                                         ["id", "text"]) for k in range(a, a + 20, 5)] for a in (0, 20)]
+    out = [r for t in tasks for b in suffixdedup._anchor_batches(t) for r in b.to_pylist()]
+    n = collections.Counter(r["key"] for r in out)
+    known = {(r["id"], r["place"] >> 16) for r in out if r["id"] is not None and (r["sure"] or n[r["key"]] > 1)}
+    spots = collections.defaultdict(set)
+    for d, t in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        for q in suffixdedup.anchors(data, np.array([0, len(data)]))[1].tolist():
+            spots[t[q:q + suffixdedup.GRAM]].add((d, q))
+    assert known == {x for xs in spots.values() if len(xs) > 1 for x in xs}
+
+
 def test_suffix_dedup_carries_columns_and_text(docs, no_docs):
     out = suffix_dedup(docs, as_text=True, carry=("lang", "key"))
     assert out.columns[-1] == "row" and out.count() == docs.count()
