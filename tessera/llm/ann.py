@@ -139,18 +139,20 @@ def _nearest(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10,
-                       tables: int = 16, probes: int = 6, hashes: int = 1) -> DataFrame:
+                       tables: int = 20, probes: int = 8, hashes: int = 1) -> DataFrame:
     """(query_id, rank, id, score): each query's k nearest other rows found; ``is_query`` is a condition on ``vectors``."""
     flat = F.col("vector")
     usable = (flat.isNotNull() & F.col("id").isNotNull() & F.exists(flat, lambda v: v != 0)
-              & F.forall(flat, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"),
+              & F.forall(flat, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))))
+    # floats travel as floats; whatever they are, they are widened where they are computed with
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vector"),
                           F.coalesce(is_query, F.lit(False)).alias("asks")).where(F.coalesce(usable, F.lit(False)))
     rows = once(rows)
     same = Window.partitionBy("vector").orderBy("id")
     index = rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).select("id", "vector")
     queries = rows.where("asks").select("id", "vector").distinct()
-    schema = "id long, vector array<double>, keys array<long>"
+    schema = f"id long, vector {kind}, keys array<long>"
     indexed = index.mapInArrow(lambda it: _hash_batches(it, tables, hashes, 1), schema) \
         .select("id", "vector", F.explode("keys").alias("bucket"))
     asked = queries.mapInArrow(lambda it: _hash_batches(it, tables, hashes, probes), schema) \
