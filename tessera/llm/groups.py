@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import once
@@ -33,6 +33,13 @@ def sorted_groups(batches, n_keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def partition_labels(spark: SparkSession, parts: int) -> np.ndarray:
+    """One long per partition of ``repartition(parts, column)`` that hashes into it, so that buckets named
+    after them are dealt one to a task. At most ``parts`` values reach the driver."""
+    spread = spark.range(30 * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part"))
+    return np.array(sorted(r[0] for r in spread.groupBy("part").agg(F.min("id")).select("min(id)").collect()), np.int64)
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first())
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import mix, prefix_sums, shuffle_parts, span_hash, text_slices
-from tessera.llm.groups import sorted_groups
+from tessera.llm.groups import partition_labels, sorted_groups
 
 LENGTH = 100
 GRAM = 32
@@ -156,7 +156,7 @@ def decode_run(blob: bytes):
     return ids, q, lcp, right_len, left_len, rests, left
 
 
-def _emit_runs(held: list, buckets: int):
+def _emit_runs(held: list, labels: np.ndarray):
     """Rows (bucket, n, blob) of the anchors held: a run of n, or known duplicates where n is 0."""
     ids, q, least, most, h, right, left = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((q, ids))
@@ -167,7 +167,7 @@ def _emit_runs(held: list, buckets: int):
     rows[:, LENGTH + 1:-1] = left
     rows[:, -1] = most
     order = order[np.argsort(rows.view(f"S{width}")[:, 0][order], kind="stable")]
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    bucket = labels[(h % np.uint64(len(labels))).astype(np.int64)]
     order = order[np.argsort(bucket[order], kind="stable")]
     ids, q, bucket, rows = ids[order], q[order], bucket[order], rows[order]
     again = np.zeros(len(ids), bool)
@@ -180,7 +180,7 @@ def _emit_runs(held: list, buckets: int):
         a = again
         right_len, most = rows[a, LENGTH].astype(np.int64), rows[a, -1].astype(np.int64)
         start = q[a] - most
-        out.append((int(bucket[a][0] + len(ids)) % buckets, 0,
+        out.append((int(labels[int(ids[a].sum()) % len(labels)]), 0,
                     np.concatenate([ids[a], (start << 8) | (q[a] + right_len - start)]).tobytes()))
     keep = np.flatnonzero(~again & ~itself)
     cuts = np.flatnonzero(np.diff(bucket[keep])) + 1
@@ -193,7 +193,7 @@ def _emit_runs(held: list, buckets: int):
                                        pa.array([o[2] for o in out], pa.binary())], ["bucket", "n", "blob"])
 
 
-def _run_batches(batches, buckets: int):
+def _run_batches(batches, labels: np.ndarray):
     held, count = [], 0
     for b in batches:
         place_col = b.num_columns - 1
@@ -222,10 +222,10 @@ def _run_batches(batches, buckets: int):
                 held.append((ids[i:j][row[s]], q[s], least[s], most[s], power, right, left))
                 count += len(at)
                 if count >= RUN:
-                    yield _emit_runs(held, buckets)
+                    yield _emit_runs(held, labels)
                     held, count = [], 0
     if count:
-        yield _emit_runs(held, buckets)
+        yield _emit_runs(held, labels)
 
 
 # ---- merge -------------------------------------------------------------------------------------
@@ -455,7 +455,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row)
     parts = shuffle_parts(docs)
     with_places = docs.join(repeated_anchors(docs), "id", "left")
-    runs = with_places.mapInArrow(lambda it: _run_batches(it, 2 * parts), "bucket long, n long, blob binary")
+    labels = partition_labels(docs.sparkSession, parts)
+    runs = with_places.mapInArrow(lambda it: _run_batches(it, labels), "bucket long, n long, blob binary")
     # the window reads a bucket's rows in order, after one shuffle that both branches share
     runs = runs.repartition(parts, "bucket").withColumn("total", F.sum("n").over(Window.partitionBy("bucket")))
     spans = (runs.where(F.col("total") <= BUCKET).mapInArrow(_span_batches, "id long, span long")
