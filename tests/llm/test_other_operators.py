@@ -116,6 +116,32 @@ def test_perspectives_match_sql(spark):
     assert sorted(map(tuple, df.collect())) == sorted(want)
 
 
+def test_perspectives_of_any_turn_numbers(spark):
+    """No row holds more than SEGMENT turns; the segments of a conversation are the SQL's text, cut."""
+    rows = [(None, i % 8, ["ann", "bob"][i % 2], f"t{i % 2000}") for i in range(3000)]          # null ids, repeated rows
+    rows += [(1, None if i % 2 else 5000, "ann", f"u{i}") for i in range(3000)]                 # null and repeated turns
+    rows += [(2, i, "ann", f"v{i}") for i in range(3000)] + [(3, 7, "ann", "w")] * 2500         # usual; one row repeated
+    df = chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5))
+    got = {}
+    for r in sorted(df.collect(), key=lambda r: r.segment):
+        got.setdefault((r.conv_id, r.perspective), []).append(r)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role TEXT, text TEXT)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = {}
+    for r in con.execute(f"SELECT conv_id, perspective, segment, n_turns, text, mask, trained_chars FROM ({chat.ORACLE}) ORDER BY segment").fetchall():
+        want.setdefault(r[:2], []).append(r[2:])
+    assert got.keys() == want.keys() and len(got) == 5
+    for k, mine in got.items():
+        assert max(r.n_turns for r in mine) <= chat.SEGMENT
+        assert "".join(r.text for r in mine) == "".join(w[2] for w in want[k])
+        assert " ".join(r["mask"] for r in mine) == " ".join(w[3] for w in want[k])
+        assert sum(r.trained_chars for r in mine) == sum(w[4] for w in want[k])
+        n = sum(r.n_turns for r in mine)
+        assert [r.segment for r in mine] == list(range(-(-n // chat.SEGMENT))) and n == sum(w[1] for w in want[k])
+    assert [(r.segment, r.n_turns) for r in got[2, "ann"]] == [(w[0], w[1]) for w in want[2, "ann"]]
+
+
 def test_pipeline_against_brute_force(spark):
     """Every stage on sf0.001 against a plain version of its decisions."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
