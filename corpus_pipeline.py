@@ -6,10 +6,10 @@ and read again as the next one's ``docs``. All but the last return the columns o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import parquet
+from tessera.llm.common import once, parquet, shuffle_parts
 from tessera.llm.jaccard import one_per_class
 from tessera.llm.langid import held_out, identify_language
 from tessera.llm.packing import pack_documents
@@ -37,10 +37,21 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return one_per_class(docs.select(COLUMNS))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``number`` in the order of ids: the id itself, but where ids repeat one for each (id, text)."""
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs.withColumn("number", F.col("doc_id"))
+    order = ["doc_id", "print"]
+    rows = docs.withColumn("print", F.xxhash64("text")).repartitionByRange(shuffle_parts(docs), *order).sortWithinPartitions(*order)
+    rows = once(rows.withColumn("number", F.monotonically_increasing_id()))
+    first = F.min("number").over(Window.partitionBy(*order))
+    return rows.withColumn("number", F.when(F.col("doc_id").isNotNull(), first)).drop("print")
+
+
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that also occur earlier."""
-    cut = suffix_dedup(docs.select(COLUMNS), as_text=True, carry=("lang", "source"))
-    return cut.select("doc_id", F.col("kept").alias("text"), "row.lang", "row.source",
+    """All documents, without the passages that also occur earlier; each text of a repeated id is cut by its own."""
+    cut = suffix_dedup(_numbered(docs.select(COLUMNS)), "number", as_text=True, carry=("doc_id", "lang", "source"))
+    return cut.select("row.doc_id", F.col("kept").alias("text"), "row.lang", "row.source",
                       F.length("kept").cast("long").alias("n_chars"))
 
 

@@ -1,7 +1,7 @@
 """Operator 4: n-gram Jaccard join by chosen paths.
 
 Texts are sets of shingles of five words (lower case; a text of one to four words is one shingle).
-Equal sets are collapsed first: their least id stands for them. Each set has ``COORDS`` min-hash
+Equal sets are collapsed first: one number stands for them. Each set has ``COORDS`` min-hash
 coordinates, that is, tokens sampled alike from all sets. A run starts with all sets in one node;
 a node picks ``BRANCH`` coordinates by a hash of its own path, and a set goes to one
 child per coordinate, named after its token there. Children of at most ``LEAF``
@@ -18,7 +18,7 @@ are made and never written out: exact links per set and a spanning forest of the
 are found also between sets that shared no leaf, and copies never multiply rows.
 
 Defined results: a text without words (null, empty) is alone, without links; a null id takes no part (null class, no links);
-rows that share an id share a class; an empty table gives an empty result; other columns are ignored.
+rows that share an id share a class, though links are those of each row's own text; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (mix, once, prefix_sums, shuffle_parts, span_hash, text_slices,
@@ -105,17 +105,17 @@ def _signature_batches(batches, roots: list[list[int]]):
             [b.column(0), pa.array(size), pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)),
              pa.ListArray.from_arrays(np.arange(n_rows + 1, dtype=np.int32) * width,
                                       pa.array(nodes.reshape(-1).view(np.int64))),
-             pa.array([s.tobytes() for s in sketch], pa.binary())],
-            ["id", "size", "k1", "k2", "nodes", "sketch"])
+             pa.array([s.tobytes() for s in sketch], pa.binary()), b.column(2)],
+            ["id", "size", "k1", "k2", "nodes", "sketch", "print"])
 
 
 def signatures(docs: DataFrame, runs: int) -> DataFrame:
-    """(id, size, k1, k2, nodes, sketch) of (id, text): the set's size and key, its children of the roots."""
+    """(id, size, k1, k2, nodes, sketch, print) of (id, text, print): the set's size and key, its children of the roots."""
     order = np.random.default_rng(17).permutation(COORDS)
     roots = [[int(order[(r * BRANCH + j) % COORDS]) for j in range(BRANCH)] for r in range(runs)]
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(lambda it: _signature_batches(it, roots),
-                           f"id {kind}, size long, k1 long, k2 long, nodes array<long>, sketch binary")
+                           f"id {kind}, size long, k1 long, k2 long, nodes array<long>, sketch binary, print long")
 
 
 def _forest(reps: np.ndarray, linked: np.ndarray, mine: np.ndarray, one_block: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -246,50 +246,96 @@ def _verify(batches, similarity: float):
                  pa.array(links[hit].tolist() + [None] * len(a), pa.int64())], ["a", "b", "n"])
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 similarity: float = 0.8, recall: float = 0.99999) -> DataFrame:
-    """(id, class_id, n_links) of every row: the least id of its class, and the rows it is linked to."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("text"))
+def _print(text) -> Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.lower(text))
+
+
+def _least_ids(groups: DataFrame, tree: DataFrame) -> DataFrame:
+    """(rep, root, id) of the sets in the classes of ``tree``: the least id of the class."""
+    members = tree.select(F.col("a").alias("rep"), F.col("b").alias("root")) \
+        .unionByName(tree.select(F.col("b").alias("rep"), F.col("b").alias("root")).distinct())
+    least = members.join(groups.select("rep", "least"), "rep").groupBy("root").agg(F.min("least").alias("id"))
+    return members.join(least, "root").select("rep", "root", "id")
+
+
+def _shared_ids(some: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Edges (a, b) between the sets of each id that has several; None without such ids."""
+    key = F.struct("k1", "k2")
+    again = once(some.groupBy("id").agg(F.min(key).alias("low"), F.max(key).alias("high")).where("low <> high").select("id"))
+    if again.isEmpty():
+        return None
+    own = once(some.join(again, "id").select("id", "k1", "k2").distinct().join(groups.select("k1", "k2", "rep"), ["k1", "k2"]).select("id", "rep"))
+    first = own.groupBy("id").agg(F.min("rep").alias("b"))
+    return own.join(first, "id").where("rep <> b").select(F.col("rep").alias("a"), "b")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, recall: float) -> DataFrame:
+    """(id, print, root, least, class_id, n_links) of every row: ``root`` names the class of its text and ``least``
+    is the least id there; ``class_id`` is that of the classes that shared ids join."""
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(text_col).alias("text"), _print(text_col).alias("print"))
     runs = runs_needed(similarity, recall)
     rows = once(signatures(docs, runs))
     some = rows.where("size > 0 AND id IS NOT NULL")
-    groups = some.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    sets = some.join(groups, (some.id == groups.rep) & (some.k1 == groups.k1) & (some.k2 == groups.k2)) \
-        .select("rep", "weight", "nodes", "sketch").dropDuplicates(["rep"])
+    groups = some.groupBy("k1", "k2").agg(F.min(F.struct("id", "print")).alias("first"), F.count(F.lit(1)).alias("weight"))
+    groups = once(groups.select("k1", "k2", F.col("first.id").alias("least"), F.col("first.print").alias("seal"), "weight",
+                                F.monotonically_increasing_id().alias("rep")))
+    heads = groups.withColumnsRenamed({"k1": "g1", "k2": "g2"})
+    sets = some.join(heads, F.expr("id = least AND print = seal AND k1 = g1 AND k2 = g2")) \
+        .select("rep", "weight", "least", "seal", "nodes", "sketch").dropDuplicates(["rep"])
     sets = once(sets)
     tree = components(candidate_links(sets, similarity))
     members = tree.select(F.col("a").alias("rep"), F.col("b").alias("comp")) \
         .unionByName(tree.select(F.col("b").alias("rep"), F.col("b").alias("comp")).distinct())
     sizes = members.groupBy("comp").count()
-    members = members.join(sizes, "comp").join(sets.select("rep", "weight"), "rep")
-    texts = docs.join(members, docs.id == members.rep).drop("id").dropDuplicates(["rep"])
+    members = members.join(sizes, "comp").join(sets.select("rep", "weight", "least", "seal"), "rep")
+    texts = docs.join(members, F.expr("id = least AND print = seal")).dropDuplicates(["least", "seal", "rep"])
     kinds = "rep long, comp long, count long, weight long, grams binary"
     grams = texts.select("rep", "comp", "count", "weight", "text").mapInArrow(_set_batches, kinds)
     blocks = _in_blocks(grams, "comp", "rep", "count", BLOCK).select("comp", "p", "q", "rep", "weight", "mine", "grams")
     blocks = blocks.repartition(shuffle_parts(docs), "comp", "p", "q").sortWithinPartitions("comp", "p", "q")
     found = once(blocks.mapInArrow(lambda it: _verify(it, similarity), "a long, b long, n long"))
     links = found.where("n IS NOT NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
-    forest = components(found.where("b IS NOT NULL").select("a", "b"))
-    per_set = (groups.join(links, "rep", "left").join(forest.withColumnRenamed("a", "rep"), "rep", "left")
-               .select("k1", "k2", F.coalesce("b", "rep").alias("class_id"),
-                       (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links")))
-    return (rows.select("id", "size", F.when(F.col("id").isNotNull(), F.col("k1")).alias("k1"), "k2")
+    edges = found.where("b IS NOT NULL").select("a", "b")
+    per_set = groups.join(links, "rep", "left").join(_least_ids(groups, components(edges)), "rep", "left").select(
+        "k1", "k2", "rep", F.coalesce("root", "rep").alias("root"), F.coalesce("id", "least").alias("least"),
+        (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    shared = _shared_ids(some, groups)
+    if shared is None:
+        per_set = per_set.drop("rep").withColumn("class_id", F.col("least"))
+    else:
+        joined = _least_ids(groups, components(edges.unionByName(shared))).select("rep", F.col("id").alias("class_id"))
+        per_set = per_set.join(joined, "rep", "left").drop("rep").withColumn("class_id", F.coalesce("class_id", "least"))
+    nothing = F.lit(0).cast("long")
+    return (rows.select("id", "print", "size", F.when(F.col("id").isNotNull(), F.col("k1")).alias("k1"), "k2")
             .join(per_set, ["k1", "k2"], "left")
-            .select(F.col("id").alias(id_col),
-                    F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
-                    F.when(F.col("size") > 0, F.coalesce("n_links", F.lit(0).cast("long"))).otherwise(F.lit(0).cast("long")).alias("n_links")))
+            .select("id", "print", F.when(F.col("size") > 0, F.col("root")).alias("root"),
+                    *(F.when(F.col("size") > 0, F.col(c)).otherwise(F.col("id")).alias(c) for c in ("least", "class_id")),
+                    F.when(F.col("size") > 0, F.coalesce("n_links", nothing)).otherwise(nothing).alias("n_links")))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 similarity: float = 0.8, recall: float = 0.99999) -> DataFrame:
+    """(id, class_id, n_links) of every row: the least id of its class, and the rows it is linked to."""
+    found = _classes(docs, id_col, text_col, similarity, recall)
+    return found.select(F.col("id").alias(id_col), "class_id", "n_links")
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8,
                   recall: float = 0.99999) -> DataFrame:
-    """The rows of ``docs`` without those whose class has a smaller id; of a repeated id one row stays.
+    """The rows of ``docs`` without those whose text's class has a smaller id; of the rows that repeat an id in a
+    class one stays. Unlike texts of one id are in classes of their own here, so each is judged by its own text.
 
     Rows with a null id all stay.
     """
-    found = once(jaccard_join(docs, id_col, text_col, similarity, recall))
-    left = docs.join(found.where(F.col("class_id") != F.col(id_col)).select(id_col).distinct(), id_col, "left_anti")
-    again = once(found.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col))
+    found = once(_classes(docs, id_col, text_col, similarity, recall).where(F.col("id").isNotNull())
+                 .select(F.col("id").alias("i"), F.col("print").alias("p"), "root", "least"))
+    row = (F.col(id_col).cast("long") == F.col("i")) & (_print(text_col) == F.col("p"))
+    left = docs.join(found.where("least <> i").select("i", "p").distinct(), row, "left_anti")
+    again = once(found.where("least = i").groupBy("i", "root").count().where("count > 1").select("i").distinct())
     if again.isEmpty():
         return left.select(docs.columns)
-    single = left.join(again, id_col, "left_anti").select(docs.columns)
-    return single.unionByName(left.join(again, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns))
+    same = F.col(id_col).cast("long") == F.col("i")
+    single = left.join(again, same, "left_anti").select(docs.columns)
+    roots = found.join(again, "i", "left_semi").select("i", "p", "root").distinct()
+    return single.unionByName(left.join(roots, row).dropDuplicates(["i", "root"]).select(docs.columns))

@@ -146,6 +146,26 @@ def test_jaccard_join_large_group_of_near_copies(spark, monkeypatch, leaf):
     assert got == brute.classes(rows)
 
 
+def test_two_unlike_texts_of_one_id(spark):
+    """Each text of a shared id finds its near copy; of unlike texts none is dropped."""
+    import random
+    rng = random.Random(9)
+    one, two, three = (" ".join(f"{c}{rng.randrange(9000)}" for _ in range(80)) for c in "abc")
+    rows = [(1, one), (1, two), (1, two), (1, ""), (2, one + " end"), (3, two + " end"), (4, three), (5, three + " end"), (5, two + " last"), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.class_id, r.n_links) for r in jaccard_join(df).collect()}
+    # 5 joins the class of ``three`` to that of ``two``, as 1 joins that of ``two`` to that of ``one``
+    assert got == {(1, 1, 1), (1, 1, 3), (1, 1, 0), (2, 1, 1), (3, 1, 3), (4, 1, 1), (5, 1, 1), (5, 1, 3), (6, 6, 0)}
+    kept = sorted((r.doc_id, r.text) for r in one_per_class(df.where("text IS NOT NULL")).collect())
+    assert kept == sorted([(1, one), (1, two), (1, ""), (4, three)])
+    # a passage of one text of an id is not cut out of the other
+    import corpus_pipeline
+    rows = [(0, one), (1, one + " " + two), (1, three), (None, one)]
+    docs = spark.createDataFrame([(i, t, "aa", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    cut = {(r.doc_id, r.text) for r in corpus_pipeline.passage_stage(spark, docs, None).collect()}
+    assert cut == {(0, one), (1, " " + two), (1, three), (None, one)}
+
+
 def test_runs_follow_the_target():
     assert runs_needed(0.8, 0.9) <= runs_needed(0.8, 0.999) <= runs_needed(0.8, 0.999999)
 
