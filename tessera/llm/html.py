@@ -7,7 +7,9 @@ replaced. Spark counts the votes (combined before the shuffle, so a host with a
 row per task and path). Each host's leading paths are then applied to all its pages: a page
 yields the blocks under the first leading path it has, else under its own best container. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by tag, role
-and class wherever they lie.
+and class wherever they lie. Classes and ids don't drop what the page's only article or main elements lie in,
+nor, without such elements, what holds more than half of the prose (unless they name comments or related pages,
+which may be longer than the article); a page with prose that would come out empty by them is read without them.
 
 In a block, character references are decoded and white space becomes one space; blocks are joined by one
 line break. Defined results: a null or empty page, or one without prose, gives an empty text; a
@@ -18,6 +20,7 @@ a null or repeated id are all returned; an empty table gives an empty result; ot
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -48,6 +51,7 @@ subscription signup share sharing social related recommended recommendations com
 disqus widget toolbar topbar header masthead legal copyright outbrain taboola pagination pager login search hidden complementary contentinfo""".split())
 _KEEP_WORDS = frozenset("article content main post entry story body text page".split())
 _STRONG_DROP = frozenset("ad ads advert advertisement comment comments sidebar footer nav navbar menu".split())
+_BULKY = frozenset("comment comments commentlist reply replies respond disqus related recommended recommendations".split())
 _NEVER_DROPPED = frozenset(("html", "body", "article", "main"))
 # an opening tag ends these when they are open
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -56,10 +60,11 @@ _SCOPE = frozenset("table ul ol dl div article section main body html nav aside
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "score", "link", "inner")
+    __slots__ = ("tag", "parent", "path", "dropped", "score", "link", "inner", "by_word")
 
-    def __init__(self, tag, parent, path, dropped, link):
+    def __init__(self, tag, parent, path, dropped, link, by_word):
         self.tag, self.parent, self.path, self.dropped, self.link = tag, parent, path, dropped, link
+        self.by_word = by_word                       # a word of class, id or role: 1 drops it, 2 also if it holds most prose
         self.score = 0.0
         self.inner = False
 
@@ -76,21 +81,58 @@ def _labels(attributes: str) -> tuple[str, set[str], bool]:
     return classes, words, hidden
 
 
-def _is_dropped(tag: str, words: set[str], hidden: bool, parent: _Node) -> bool:
+def _is_dropped(tag: str, hidden: bool, parent: _Node) -> bool:
     if parent.dropped or hidden or tag in _DROP_TAGS:
         return True
-    if tag in _NEVER_DROPPED:
-        return False
-    if tag == "header":
-        return parent.tag not in ("article", "main", "section")
-    if words & _DROP_WORDS:
-        return bool(words & _STRONG_DROP) or not words & _KEEP_WORDS
-    return False
+    return tag == "header" and parent.tag not in ("article", "main", "section")
+
+
+def _drops_by_word(tag: str, words: set[str]) -> int:
+    if tag in _NEVER_DROPPED or tag == "header" or not words & _DROP_WORDS:
+        return 0
+    if words & _KEEP_WORDS and not words & _STRONG_DROP:
+        return 0
+    return 2 if words & _BULKY else 1
+
+
+def _up(node: _Node | None) -> Iterator[_Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _drop_by_words(blocks: list[tuple[str, int, _Node]], nodes: list[_Node]) -> None:
+    """Marks what a class, id or role drops, but for what holds an article, main element or most of the prose."""
+    if not any(n.by_word for n in nodes):
+        return
+    named = [n for n in nodes if n.tag in ("article", "main") and not n.dropped]
+    depth = [sum(up.by_word > 0 for up in _up(n)) for n in named]
+    for node, k in zip(named, depth):
+        if k == min(depth):                          # deeper ones may be comments
+            for up in _up(node):
+                up.by_word = 0
+    prose: dict[int, int] = {}
+    total = 0
+    for text, linked, node in blocks:
+        if not node.dropped:
+            worth = max(len(text) - 3 * linked, 0)
+            total += worth
+            for up in _up(node):
+                if up.by_word:
+                    prose[id(up)] = prose.get(id(up), 0) + worth
+    before = [n.dropped for n in nodes]
+    for node in nodes:                               # parents come first
+        by_word = node.by_word == 2 or node.by_word == 1 and (named or 2 * prose.get(id(node), 0) <= total)
+        node.dropped = node.dropped or bool(by_word) or node.parent.dropped
+    if total and not any(len(t) > 3 * k and not n.dropped for t, k, n in blocks):
+        for node, dropped in zip(nodes, before):
+            node.dropped = dropped
 
 
 def read_page(html: str) -> list[tuple[str, int, _Node]]:
     """The blocks of a page in order: (text, characters inside links, element that holds it)."""
-    root = _Node("#", None, "", False, False)
+    root = _Node("#", None, "", False, False, 0)
+    nodes: list[_Node] = []
     top, at, blocks = root, 0, []
     pieces: list[str] = []
     linked = 0
@@ -164,9 +206,11 @@ def read_page(html: str) -> list[tuple[str, int, _Node]]:
         classes, words, hidden = _labels(attributes) if attributes else ("", (), False)
         words = set(words)
         path = f"{top.path}>{tag}.{classes}" if classes else f"{top.path}>{tag}"
-        top = _Node(tag, top, path if tag in _BLOCK else top.path, _is_dropped(tag, words, hidden, top),
-                    top.link or tag == "a")
+        top = _Node(tag, top, path if tag in _BLOCK else top.path, _is_dropped(tag, hidden, top),
+                    top.link or tag == "a", _drops_by_word(tag, words))
+        nodes.append(top)
     close_block()
+    _drop_by_words(blocks, nodes)
     return blocks
 
 

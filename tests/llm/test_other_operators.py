@@ -42,6 +42,22 @@ def test_consensus_overrules_a_page():
     assert extract(odd, [">body>div.text"]) == "short"
 
 
+@pytest.mark.parametrize("wrap", ["class='layout has-sidebar'", "id='content' class='with-sidebar'", "class='menu'"])
+def test_wrapper_named_after_boilerplate(wrap):
+    """A wrapper that holds the article stays whatever its class; real boilerplate in and beside it goes."""
+    prose = "<p>" + "words of the article, " * 20 + "</p>"
+    want = ("words of the article, " * 20).strip()
+    side = "<div class='sidebar'><p>side text</p></div>"
+    assert extract(f"<body><div {wrap}><main>{prose}{side}</main>{side}</div></body>", []) == want
+    assert extract(f"<body><div {wrap}><div>{prose}</div>{side}</div></body>", []) == want
+    assert extract(f"<body><article>short</article><div {wrap}>{prose}</div></body>", []) == "short"
+    comments = f"<section id='comments'><article>{prose * 3}</article><p>{'Reader words, ' * 200}</p></section>"
+    assert extract(f"<body><div {wrap}><main>{prose}{comments}</main></div></body>", []) == want
+    assert extract(f"<body><div>{prose}</div>{comments.replace('article', 'div')}</body>", []) == want
+    halves = f"<div {wrap}>{prose}</div>" * 2
+    assert want in extract(f"<body>{halves}</body>", [])
+
+
 def test_search_recall_and_exact_scores(spark):
     out = op5_nearest_neighbours(spark, "/root/testdata/sf0.1").collect()
     e = duckdb.connect().execute("SELECT vec_id, embedding FROM '/root/testdata/sf0.1/embeddings.parquet' ORDER BY 1").fetchall()
