@@ -12,6 +12,8 @@ from tessera.llm.bpe import bpe_digests
 from tessera.llm.chat import ORACLE as CHAT_ORACLE
 from tessera.llm.chat import rotate_perspectives
 from tessera.llm.common import parquet
+from tessera.llm.fim import ORACLE as FIM_ORACLE
+from tessera.llm.fim import fill_in_middle, restore
 from tessera.llm.html import extract_main_text
 from tessera.llm.jaccard import jaccard_join
 from tessera.llm.langid import held_out, identify_language
@@ -80,9 +82,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "failed_rules")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(parquet(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op6_perspective_rotation": CHAT_ORACLE}
+    return {"op6_perspective_rotation": CHAT_ORACLE, "op11_fill_in_middle": FIM_ORACLE}

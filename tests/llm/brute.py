@@ -70,3 +70,19 @@ def counts(text):
     again = {j for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
     n = len(w)
     return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(again), n < 50 or 100 * len(again) > 50 * n
+
+
+def fill_in_middle(doc_id, text, marks=("<P>", "<S>", "<M>"), seed="1"):
+    """(n, form, prefix characters, middle characters, output) of one text."""
+    t = text or ""
+    p, s, m = marks
+    u = re.findall(r"[A-Za-z]+|[^A-Za-z]", t)
+    h = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * k:8 * k + 8], 16) for k in range(4))
+    if not t or any(x in t for x in marks) or h3 % 100 >= 90:
+        return len(u), "plain", None, None, t
+    a, b = sorted((h1 % (len(u) + 1), h2 % (len(u) + 1)))
+    x, y, z = "".join(u[:a]), "".join(u[a:b]), "".join(u[b:])
+    if h4 % 100 < 20:
+        return len(u), "spm", len(x), len(y), s + z + p + x + m + y
+    return len(u), "psm", len(x), len(y), p + x + s + z + m + y
