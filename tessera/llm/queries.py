@@ -18,6 +18,10 @@ from tessera.llm.html import extract_main_text
 from tessera.llm.jaccard import jaccard_join
 from tessera.llm.langid import held_out, identify_language
 from tessera.llm.packing import pack_documents
+from tessera.llm.passages import ORACLE as PASSAGE_ORACLE
+from tessera.llm.passages import passage_dedup
+from tessera.llm.phrases import ORACLE as PHRASE_ORACLE
+from tessera.llm.phrases import collocations
 from tessera.llm.quality import quality_rules
 from tessera.llm.sharding import feistel_shards
 from tessera.llm.suffixdedup import suffix_dedup
@@ -88,9 +92,20 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op12_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passage_dedup(parquet(spark, sf_dir, "documents", "doc_id", "text"))
+    removed = F.aggregate(F.zip_with("span_starts", "span_ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda a, x: a + x)
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(parquet(spark, sf_dir, "documents", "text", "lang")).withColumnRenamed("stratum", "lang")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op6_perspective_rotation": CHAT_ORACLE, "op11_fill_in_middle": FIM_ORACLE}
+    return {"op6_perspective_rotation": CHAT_ORACLE, "op11_fill_in_middle": FIM_ORACLE,
+            "op12_passage_dedup": PASSAGE_ORACLE, "op13_phrase_collocations": PHRASE_ORACLE}

@@ -86,3 +86,49 @@ def fill_in_middle(doc_id, text, marks=("<P>", "<S>", "<M>"), seed="1"):
     if h4 % 100 < 20:
         return len(u), "spm", len(x), len(y), s + z + p + x + m + y
     return len(u), "psm", len(x), len(y), p + x + s + z + m + y
+
+
+def passages(docs, window=13):
+    """(doc_id, text) -> (words, removed, sha256 of the rest) for [(doc_id, text)]; an id may have several texts."""
+    first = {}
+    for d, t in docs:
+        w = WORD.findall(t or "")
+        for i in range(len(w) - window + 1):
+            k = tuple(w[i:i + window])
+            first[k] = min(d, first.get(k, d))
+    out = {}
+    for d, t in docs:
+        w = WORD.findall(t or "")
+        gone = {i + j for i in range(len(w) - window + 1) if first[tuple(w[i:i + window])] < d for j in range(window)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out[d, t] = len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()
+    return out
+
+
+def phrase_lists(docs, depth=3, least=10, top=2000, share=50):
+    """{(stratum, rank): (phrase, a, l, r, n, score)} for [(stratum, text)]."""
+    f = collections.defaultdict(collections.Counter)
+    for s, t in docs:
+        t = re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", t):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for k in range(1, depth + 1):
+                f["und" if s is None else s].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = {}
+    for s, c in f.items():
+        n = sum(v for k, v in c.items() if len(k) == 1)
+        many = {k: v for k, v in c.items() if len(k) > 1 and v >= least}
+        held = collections.defaultdict(int)
+        for k, v in many.items():
+            for size in range(2, len(k)):
+                for i in range(len(k) - size + 1):
+                    held[k[i:i + size]] = max(held[k[i:i + size]], v)
+        rows = []
+        for k, a in many.items():
+            if 100 * held[k] >= share * a:
+                continue
+            score, _, l, r = min((10 ** 6 * a * a // (c[k[:j]] * c[k[j:]]), j, c[k[:j]], c[k[j:]]) for j in range(1, len(k)))
+            rows.append((-score, -a, " ".join(k).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(rows)[:top], 1):
+            out[s, rank] = phrase.decode(), -a, l, r, n, -score
+    return out
