@@ -12,7 +12,7 @@ import importlib
 
 FAMILIES = (
     "keys", "cumulative", "scd", "datelists", "devices", "month_arrays", "facts", "graph",
-    "reports",
+    "reports", "published",
 )
 
 
