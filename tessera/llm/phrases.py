@@ -25,7 +25,7 @@ have none; an empty table gives an empty result; other columns are ignored. A si
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import text_slices
 from tessera.session import fresh_path
 
-SHARD = 1_500_000                # words from which a shard is closed; it holds twice as many at most
+SHARD = 1_000_000                # words from which a shard is closed; it holds twice as many at most
 POSITIONS = 1 << 27              # distinct words that a shard may hold
 SCALE = 1_000_000
 
@@ -162,10 +162,11 @@ class FMIndex:
     """Index of a circular text of ids, sorted by ``depth`` symbols; its BWT holds the symbol before each place."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        order = _context_order(text, depth)
         self.n = len(text)
-        self.bwt = text[order - 1].astype(np.int64)                  # order 0 takes the last symbol: circular
-        self.rank = np.sort(self.bwt * self.n + np.arange(self.n))   # (symbol, place in the BWT): C and Occ in one row
+        self.bwt = text[_context_order(text, depth) - 1]             # before place 0 comes the last symbol: circular
+        self.rank = self.bwt.astype(np.int64) * self.n               # (symbol, place in the BWT): C and Occ in one row
+        self.rank += np.arange(self.n)
+        self.rank.sort()
 
     def symbol_start(self, symbol: np.ndarray) -> np.ndarray:
         """C: where the interval of a single symbol begins."""
@@ -177,11 +178,14 @@ class FMIndex:
 
     def neighbours(self, start: np.ndarray, size: np.ndarray):
         """(interval, symbol, count, how many of the interval's symbols are smaller) for each different symbol."""
-        owner = np.repeat(np.arange(len(size)), size)
         first = np.cumsum(size) - size
-        place = np.arange(len(owner)) - first[owner] + start[owner]
-        width = int(self.rank[-1] // self.n) + 1 if self.n else 1
-        key = np.sort(owner * width + self.bwt[place])
+        width = int(self.rank[-1] // self.n) + 1
+        place = np.repeat(start - first, size)
+        place += np.arange(len(place))
+        key = np.repeat(np.arange(len(size)) * width, size)
+        key += self.bwt[place]
+        del place
+        key.sort()
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         count = np.diff(np.append(head, len(key)))
         owner, symbol = key[head] // width, key[head] % width
@@ -192,11 +196,20 @@ class BidirectionalIndex:
     """A text's forward and backward index; a phrase is a pair of intervals of one size."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        self.forward, self.backward = FMIndex(text, depth), FMIndex(text[::-1], depth)
+        self.text, self.depth = text, depth
+
+    @cached_property
+    def forward(self) -> FMIndex:
+        """Built when a phrase is first extended to the left."""
+        return FMIndex(self.text, self.depth)
+
+    @cached_property
+    def backward(self) -> FMIndex:
+        return FMIndex(self.text[::-1], self.depth)
 
     def single(self, symbols: np.ndarray):
         """Intervals of the phrases of one symbol: (forward start, backward start, size)."""
-        start, end = self.forward.symbol_start(symbols), self.forward.symbol_start(symbols + 1)
+        start, end = self.backward.symbol_start(symbols), self.backward.symbol_start(symbols + 1)
         return start, start, end - start                             # both texts hold the same symbols
 
     def extend_right(self, forward: np.ndarray, backward: np.ndarray, size: np.ndarray):
@@ -217,8 +230,8 @@ class BidirectionalIndex:
 
     def phrases(self, depth: int):
         """For each length from 2 to ``depth``: (ids, one column a word; count) of all phrases of the text."""
-        symbols = np.unique(self.forward.bwt)
-        symbols = symbols[symbols > 0]
+        symbols = np.unique(self.text)
+        symbols = symbols[symbols > 0].astype(np.int64)
         fore, back, size = self.single(symbols)
         words = symbols[:, None]
         for _ in range(depth - 1):
@@ -234,10 +247,10 @@ def _phrase_batches(batches, depth: int):
             size, place, known = int(b.column(0)[k].as_py()), b.column(2)[k].values, b.column(3)[k].values
             row = np.frombuffer(pa.decompress(b.column(1)[k].as_buffer(), decompressed_size=size, codec="zstd"), np.int32)
             place, known = place.to_numpy(zero_copy_only=False), known.to_numpy(zero_copy_only=False)
-            local = np.zeros(int(row.max(initial=0)) + 1, np.int64)   # rare words stay 0 and end a piece
+            local = np.zeros(int(row.max(initial=0)) + 1, np.int32)   # rare words stay 0 and end a piece
             local[place + 1] = np.arange(1, len(place) + 1)
             text = local[row]
-            text = np.concatenate([[0], text[(text > 0) | (np.roll(text, 1) > 0)]])
+            text = np.concatenate([np.zeros(1, np.int32), text[(text > 0) | (np.roll(text, 1) > 0)]])
             for words, count in BidirectionalIndex(text, depth).phrases(depth):
                 for i in range(0, len(count), 1 << 18):
                     w = known[words[i:i + (1 << 18)] - 1]
