@@ -7,11 +7,11 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from tessera.operators.reports import (match_view, top_by_avg, top_by_count, top_by_distinct,
-                                       top_for_label)
+from tessera.operators.reports import (match_view, match_view_hot, top_by_avg, top_by_count,
+                                       top_by_distinct, top_for_label)
 from tessera.plans.joins import enrich
-from tessera.plans.layout import (bucket_count, file_stats, layout_report, write_bucketed,
-                                  write_partitioned)
+from tessera.plans.layout import (bucket_count, file_stats, layout_report, rows_per_file,
+                                  write_bucketed, write_partitioned)
 from tessera.session import fresh_path
 from tessera.sources import standins as S
 from tessera.sources.tables import table_path
@@ -113,6 +113,24 @@ def q_match_view_inner(spark, d):
     return _view_cols(_view(spark, d, "inner"))
 
 
+def _hot_view(spark, d, how):
+    """The view of tables of which one match holds a third, bucketed; matches of over a sixteenth of the rows are hot."""
+    tables = S.hot_matches(spark, d)
+    n = bucket_count(_bytes(spark, d, "lineitem"), at_least=BUCKETS)
+    m, md, mmp = (write_bucketed(t, _name(f"hot_{k}", d), "match_id", n, fresh_path(spark, f"hot_{k}"))
+                  for k, t in zip(("matches", "details", "medals"), tables))
+    return match_view_hot(m, md, mmp, "match_id", "player_gamertag", ["mapid", "playlist_id"], ["player_total_kills"],
+                          [("medal_id", "medal_id"), ("count", "medal_count")], max(1, md.count() // 16), how)
+
+
+def q_match_view_hot_left(spark, d):
+    return _view_cols(_hot_view(spark, d, "left"))
+
+
+def q_match_view_hot_inner(spark, d):
+    return _view_cols(_hot_view(spark, d, "inner"))
+
+
 def q_top_map_from_view(spark, d):
     v = _view(spark, d, "left").select("match_id", "mapid")
     return top_by_distinct(v, S.maps(spark, d).withColumnRenamed("name", "map_name"), "mapid",
@@ -151,12 +169,24 @@ def q_bucketed_medal_rows(spark, d):
         "match_id", "player_gamertag", "medal_id", "count")
 
 
+FILE_BYTES = 256 << 20           # of a date's files
+
+
 def q_partitioned_matches(spark, d):
     m = S.matches(spark, d)
     dates = m.select(F.approx_count_distinct("completion_date")).first()[0]
     n = bucket_count(_bytes(spark, d, "orders") // max(1, dates))
     t = write_partitioned(m, _name("matches_partitioned", d), "completion_date",
-                          "match_id", n, fresh_path(spark, "matches_partitioned"))
+                          "match_id", n, fresh_path(spark, "matches_partitioned"), max_rows=rows_per_file(m, FILE_BYTES))
+    return t.select("match_id", "mapid", "playlist_id", "completion_date")
+
+
+def q_partitioned_hot_date(spark, d):
+    """Matches of which a third were played on one day, in files of a sixteenth of the rows at most."""
+    day = F.when(F.col("match_id") % 3 == 0, F.lit("1995-01-01").cast("date")).otherwise(F.trunc("completion_date", "year"))
+    m = S.matches(spark, d).withColumn("completion_date", day)
+    t = write_partitioned(m, _name("matches_hot_date", d), "completion_date", "match_id", 2, fresh_path(spark, "matches_hot_date"),
+                          max_rows=max(1, m.count() // 16))
     return t.select("match_id", "mapid", "playlist_id", "completion_date")
 
 
@@ -183,6 +213,8 @@ QUERIES = {
     "top_map_for_medal": q_top_map_for_medal,
     "match_view_left": q_match_view_left,
     "match_view_inner": q_match_view_inner,
+    "match_view_hot_left": q_match_view_hot_left,
+    "match_view_hot_inner": q_match_view_hot_inner,
     "top_map_from_view": q_top_map_from_view,
     "top_map_for_medal_from_view": q_top_map_for_medal_from_view,
     "match_view_medals": q_match_view_medals,
@@ -190,6 +222,7 @@ QUERIES = {
     "bucketed_match_details": q_bucketed_match_details,
     "bucketed_medal_rows": q_bucketed_medal_rows,
     "partitioned_matches": q_partitioned_matches,
+    "partitioned_hot_date": q_partitioned_hot_date,
     "layout_report": q_layout_report,
 }
 
@@ -205,7 +238,20 @@ MMP = """(SELECT l_orderkey AS match_id,
                  CAST(l_quantity AS INTEGER) AS "count" FROM lineitem)"""
 
 
-def _view_sql(how):
+# a third of all rows in match 0
+HOT_M = """(SELECT CASE WHEN o_orderkey = 3 THEN 0 ELSE o_orderkey END AS match_id, CAST(o_custkey % 25 AS INTEGER) AS mapid,
+                   o_orderpriority AS playlist_id FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey = 3)"""
+HOT_MD = """(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS match_id,
+                    CASE WHEN l_orderkey % 3 = 0 THEN l_orderkey * 8 + l_linenumber ELSE l_suppkey END AS player_gamertag,
+                    CAST(l_quantity AS INTEGER) AS player_total_kills FROM lineitem
+             UNION ALL SELECT 0, 8, 1 FROM orders WHERE o_orderkey = 3)"""
+HOT_MMP = """(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS match_id,
+                     CASE WHEN l_orderkey % 3 <> 0 THEN l_suppkey WHEN l_linenumber % 2 = 0 THEN 8
+                          ELSE l_orderkey * 8 + l_linenumber END AS player_gamertag,
+                     l_partkey AS medal_id, CAST(l_quantity AS INTEGER) AS "count" FROM lineitem)"""
+
+
+def _view_sql(how, M=M, MD=MD, MMP=MMP):
     lone = f"""
         SELECT m.match_id, CAST(m.mapid AS BIGINT) AS mapid, m.playlist_id, NULL AS player_gamertag,
                NULL AS player_total_kills, x.medal_id, CAST(x."count" AS BIGINT) AS medal_count
@@ -265,6 +311,8 @@ ORACLE = {
         ORDER BY "count" DESC, x.match_id LIMIT 1""",
     "match_view_left": _view_sql("LEFT"),
     "match_view_inner": _view_sql("INNER"),
+    "match_view_hot_left": _view_sql("LEFT", HOT_M, HOT_MD, HOT_MMP),
+    "match_view_hot_inner": _view_sql("INNER", HOT_M, HOT_MD, HOT_MMP),
     "top_map_from_view": TOP_MAP,
     "top_map_for_medal_from_view": f"""
         SELECT v.match_id, m.mapid, n.n_name AS map_name, p.p_name AS medal_name,
@@ -286,5 +334,8 @@ ORACLE = {
                              ("medals", "part", ["", "medal_id"]))
         for c in cols),
     "bucketed_matches": f"SELECT match_id, mapid, playlist_id FROM {M}",
+    "partitioned_hot_date": f"""
+        SELECT match_id, mapid, playlist_id, CASE WHEN match_id % 3 = 0 THEN DATE '1995-01-01'
+               ELSE CAST(date_trunc('year', completion_date) AS DATE) END AS completion_date FROM {M}""",
     "partitioned_matches": f"SELECT match_id, mapid, playlist_id, completion_date FROM {M}",
 }

@@ -7,7 +7,12 @@ machine-local warehouse.
 
 Sizing: a table has ``bucket_count`` buckets, from its bytes; tables that are joined
 on the key share the largest count. ``spread`` deals a bucket to several tasks
-(and files) where one key or date holds much of the table.
+(and files) where one key or date holds much of the table; a date-partitioned write
+derives it per date and bucket from a histogram of the rows (``max_rows``).
+
+A table that is written again replaces the one of its name; the files of the version before the one
+replaced are deleted (the replaced one's stay, for readers that hold it), so at most
+two versions lie in the shared folder.
 """
 
 from __future__ import annotations
@@ -16,9 +21,14 @@ import math
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.plans.joins import broadcast_if_small, measured_bytes
+
+# table property: where the version before this one lies
+BEFORE = "tessera.before"
+
 
 def bucket_id(key: str, n: int):
     """The bucket a key falls in (same hash as ``bucketBy``)."""
@@ -43,31 +53,73 @@ def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str, sprea
     hashes as the bucketing does. A table of that name is replaced.
     """
     dealt = df.repartition(n, key) if spread == 1 else _dealt(df, n * spread, [bucket_id(key, n)], spread)
-    (dealt.write.mode("overwrite").format("parquet")
-       .bucketBy(n, key).sortBy(key)
-       .option("path", path)
-       .saveAsTable(table))
-    return df.sparkSession.table(table)
+    return _save(dealt.write.format("parquet").bucketBy(n, key).sortBy(key), df.sparkSession, table, path)
+
+
+def _save(writer: DataFrameWriter, spark: SparkSession, table: str, path: str) -> DataFrame:
+    """The table written at ``path``. It takes the place of one of its name, whose predecessor's files are deleted."""
+    old, older = _places(spark, table)
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
+    if old and old != _places(spark, table)[0]:
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BEFORE}' = '{old}')")
+        if older and older != old:
+            at = spark._jvm.org.apache.hadoop.fs.Path(older)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return spark.table(table)
+
+
+def _places(spark: SparkSession, table: str) -> tuple[str | None, str | None]:
+    """(where the table lies, where its predecessor lies) of a table written here."""
+    if not spark.catalog.tableExists(table):
+        return None, None
+    rows = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    before = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == BEFORE).first()
+    return rows.get("Location"), before.value if before else None
+
+
+def rows_per_file(df: DataFrame, file_bytes: int) -> int:
+    """Rows that stay within ``file_bytes``, from the measured size of the rows' text (Parquet is smaller); one aggregate."""
+    rows = df.count()
+    return max(1, file_bytes * rows // max(1, measured_bytes(df))) if rows else 1
+
+
+def file_histogram(df: DataFrame, part: str, key: str, n: int, max_rows: int) -> DataFrame:
+    """(part, bucket, rows, files): the files that each date's buckets need, where they need more than one.
+
+    A tenth of a file is left free, as rows are dealt to files by a hash. At most rows / max_rows rows.
+    """
+    return (df.groupBy(part, bucket_id(key, n).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > max_rows)
+            .withColumn("_files", F.ceil(F.col("_rows") * 10 / (max_rows * 9)).cast("int")))
 
 
 def write_partitioned(df: DataFrame, table: str, part: str, key: str, n: int, path: str,
-                      tasks: int | None = None, spread: int = 1) -> DataFrame:
+                      tasks: int | None = None, spread: int = 1, max_rows: int | None = None) -> DataFrame:
     """Partition by ``part`` and bucket by ``key`` in ONE distributed write (op 36).
 
     Rows are shuffled on (partition value, bucket id), so each (date, bucket)
-    file is written by one task (by ``spread`` tasks for hot dates); no per-date
-    driver loop and no ``collect`` of the dates. ``n`` is sized to a date's bytes,
-    not the table's. ``tasks`` defaults to the session's shuffle partitions.
+    file is written by one task; no per-date driver loop and no ``collect`` of the dates. ``n`` is
+    sized to a date's bytes, not the table's. ``tasks`` defaults to the session's shuffle partitions.
+
+    With ``max_rows`` a histogram of the rows per (date, bucket) drives the layout: a bucket of a date with more
+    rows is dealt to as many files and tasks as it needs, all others are one file each, and no file holds more than
+    ``max_rows`` rows (see ``rows_per_file``). Without it, ``spread`` deals every bucket to so many tasks.
     """
     spark = df.sparkSession
     t = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (_dealt(df, t, [F.col(part), bucket_id(key, n)], spread)
-       .sortWithinPartitions(part)
-       .write.mode("overwrite").format("parquet")
-       .partitionBy(part).bucketBy(n, key).sortBy(key)
-       .option("path", path)
-       .saveAsTable(table))
-    return spark.table(table)
+    if max_rows is None:
+        dealt = _dealt(df, t, [F.col(part), bucket_id(key, n)], spread)
+    else:
+        t = max(t, -(-df.count() // max_rows))
+        large = broadcast_if_small(file_histogram(df, part, key, n, max_rows).withColumnRenamed(part, "_part"))
+        turn = F.pmod(F.xxhash64(*df.columns), F.coalesce("_files", F.lit(1)))
+        mine = F.col(part).eqNullSafe(F.col("_part")) & (bucket_id(key, n) == F.col("_bucket"))
+        dealt = (df.join(large, mine, "left").withColumn("_file", turn)
+                 .repartition(t, F.col(part), bucket_id(key, n), F.col("_file")).select(*df.columns))
+    writer = dealt.sortWithinPartitions(part).write.format("parquet").partitionBy(part).bucketBy(n, key).sortBy(key)
+    if max_rows is not None:
+        writer = writer.option("maxRecordsPerFile", max_rows)
+    return _save(writer, spark, table, path)
 
 
 def file_stats(spark: SparkSession, path: str) -> DataFrame:

@@ -12,6 +12,8 @@ Fixed derivation values (the same numbers appear in the oracle SQL):
                 'b' || (k % 4 + 1) when k % 10 = 0 (device fan-out)
   home team   = 1 + (o_custkey % 7)
   map id      = o_custkey % 25
+  hot match   = a third of all line items (l_orderkey % 3 = 0) belong to match 0, one player each (l_orderkey * 8 + l_linenumber);
+                half of its medal rows (l_linenumber % 2 = 0) are of player 8, who has one more detail row
   medal player = l_suppkey; -l_suppkey (a player without details) when l_partkey % 11 = 0
 """
 
@@ -147,3 +149,22 @@ def medal_matches_players(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .otherwise(F.col("l_suppkey")).alias("player_gamertag"),
                      F.col("l_partkey").alias("medal_id"),
                      F.col("l_quantity").cast("int").alias("count"))
+
+
+def hot_matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(matches, details, medal rows) of which a third belong to match 0, and half of its medals to one player."""
+    o, li = load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem")
+    hot = F.col("l_orderkey") % 3 == 0
+    match = F.when(hot, F.lit(0)).otherwise(F.col("l_orderkey")).cast("bigint").alias("match_id")
+    own = F.when(hot, F.col("l_orderkey") * 8 + F.col("l_linenumber")).otherwise(F.col("l_suppkey"))
+    star = F.when(hot & (F.col("l_linenumber") % 2 == 0), F.lit(8)).otherwise(own)
+    game = F.when(F.col("o_orderkey") == 3, F.lit(0)).otherwise(F.col("o_orderkey")).cast("bigint").alias("match_id")
+    kept = (F.col("o_orderkey") % 3 != 0) | (F.col("o_orderkey") == 3)
+    matches_ = o.where(kept).select(game, (F.col("o_custkey") % 25).cast("int").alias("mapid"),
+                                    F.col("o_orderpriority").alias("playlist_id"))
+    details = li.select(match, own.cast("bigint").alias("player_gamertag"), F.col("l_quantity").cast("int").alias("player_total_kills"))
+    star_row = matches_.where("match_id = 0").select("match_id", F.lit(8).cast("bigint").alias("player_gamertag"),
+                                                     F.lit(1).alias("player_total_kills"))
+    medal_rows = li.select(match, star.cast("bigint").alias("player_gamertag"), F.col("l_partkey").alias("medal_id"),
+                           F.col("l_quantity").cast("int").alias("count"))
+    return matches_, details.unionByName(star_row), medal_rows
