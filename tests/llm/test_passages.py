@@ -74,23 +74,20 @@ def test_tasks_of_any_bounds(monkeypatch, seed):
     rows = sorted(set(corpus(60, seed)))
     batches = [pa.RecordBatch.from_pydict({"id": [d for d, _ in rows[k:k + 7]], "text": [t for _, t in rows[k:k + 7]]}) for k in range(0, len(rows), 7)]
     found = [r for half in (batches[::2], batches[1::2]) for b in passages._anchor_batches(iter(half)) for r in b.to_pylist()]
-    total, top = collections.Counter(), collections.Counter()
+    top, among = collections.Counter(), collections.defaultdict(set)
     for r in found:
-        total[r["key"]] += r["n"]
         top[r["key"]] = max(top[r["key"]], r["n"])
+        among[r["key"]] |= {r["id"]} - {None}
     places = collections.defaultdict(set)
     for r in found:
-        if r["id"] is not None and (r["n"] == 0 or total[r["key"]] > 1):
+        if r["id"] is not None and (r["n"] == 0 or top[r["key"]] > 1 or len(among[r["key"]]) > 1):
             places[r["id"]].add(r["place"] + (r["n"] == 0 or top[r["key"]] > passages.NUMEROUS))
     withs = [pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([sorted(places[i]) for i in b.column(0).to_pylist()], pa.list_(pa.int64()))],
                                         ["id", "text", "places"]) for b in batches]
-    made = pa.Table.from_batches([b for half in (withs[::2], withs[1::2]) for b in passages._segment_batches(iter(half))])
+    labels = np.arange(rng.randint(1, 4))
+    made = pa.Table.from_batches([b for half in (withs[::2], withs[1::2]) for b in passages._segment_batches(iter(half), labels)])
     spans = collections.defaultdict(set)
-    for r in made.to_pylist():
-        if r["key"] is None:
-            spans[r["id"]].update(r["known"])
-    dealt = made.filter(pa.compute.is_valid(made["key"])).select(["key", "id", "starts", "words"]).sort_by("key")
-    for b in passages._span_batches(iter(dealt.to_batches(max_chunksize=5))):
+    for b in passages._span_batches(iter(made.sort_by([("part", "ascending"), ("sub", "ascending")]).to_batches(max_chunksize=5))):
         for r in b.to_pylist():
             spans[r["id"]].add(r["span"])
     cut = pa.Table.from_batches(list(passages._cut_batches(
