@@ -37,7 +37,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SEPARATOR, mix, prefix_sums, shuffle_parts, span_hash, text_slices, window_hashes, word_spans
+from tessera.llm.common import (SEPARATOR, mix, prefix_sums, shuffle_parts, span_hash, text_buffers, text_slices,
+                                window_hashes, word_spans)
+from tessera.llm.groups import partition_labels, sorted_groups
 
 WINDOW = 13
 GRAM = 4
@@ -46,6 +48,7 @@ FLUSH = 1_000_000                # anchors among which a task looks for frequent
 NUMEROUS = 32                    # occurrences among them that make a gram hot
 HOT = 4_000                      # occurrences in all documents that make it hot
 RUN = 100_000                    # segments among which a task looks for equal ones
+SUBS = 8                         # parts of a task's segments that it holds one after the other
 SHARD = 8_000                    # segments from which a shard's automaton is built
 _NONE = np.zeros(0, np.int64)
 
@@ -96,13 +99,13 @@ def _anchor_rows(h: np.ndarray, ids: np.ndarray, place: np.ndarray) -> pa.Record
     kinds, index, count = np.unique(h, return_inverse=True, return_counts=True)
     hot = count > NUMEROUS
     mine = hot[index]
-    key = np.where(mine, mix(ids.view(np.uint64) * np.uint64(31) + place.view(np.uint64)), h)
+    key = np.where(mine, mix(ids.view(np.uint64) * np.uint64(31) + place.view(np.uint64)), h) >> np.uint64(16)
     none = int(hot.sum())
     total = len(h) + none
     absent = np.arange(total) >= len(h)
     fill = np.zeros(none, np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([key, kinds[hot]]).view(np.int64)), pa.array(np.concatenate([ids, fill]), mask=absent),
+        [pa.array(np.concatenate([key, kinds[hot] >> np.uint64(16)]).view(np.int64)), pa.array(np.concatenate([ids, fill]), mask=absent),
          pa.array(np.concatenate([place, fill]), mask=absent), pa.array(np.concatenate([(~mine).astype(np.int64), count[hot]]))],
         ["key", "id", "place", "n"])
 
@@ -128,13 +131,17 @@ def _anchor_batches(batches):
 
 
 def recurring_anchors(docs: DataFrame) -> DataFrame:
-    """(id, places): the anchors of (id, text) whose gram occurs elsewhere too, with the hot ones marked in the last bit."""
+    """(id, places): the anchors of (id, text) whose gram occurs in two documents, with the hot ones marked in the last bit.
+
+    48 bits of a gram's hash decide; a chance collision only adds candidates.
+    """
     found = (docs.select("id", "text").where("id IS NOT NULL AND text IS NOT NULL")
              .mapInArrow(_anchor_batches, "key long, id long, place long, n long"))
     same = Window.partitionBy("key")
-    found = found.withColumn("total", F.sum("n").over(same)).withColumn("top", F.max("n").over(same))
+    found = found.select("id", "place", "n", F.sum("n").over(same).alias("total"), F.max("n").over(same).alias("top"),
+                         (F.min("id").over(same) < F.max("id").over(same)).alias("several"))
     hot = (F.col("n") == 0) | (F.col("top") > NUMEROUS) | (F.col("total") > HOT)
-    return (found.where("id IS NOT NULL AND (n = 0 OR total > 1)")
+    return (found.where("id IS NOT NULL AND (n = 0 OR top > 1 OR several)")       # top > 1: hot in another task
             .groupBy("id").agg(F.collect_set(F.col("place") + hot.cast("long")).alias("places")))
 
 
@@ -158,42 +165,64 @@ def _pieces(joined: np.ndarray, begin: np.ndarray, a: np.ndarray, b: np.ndarray)
     return pa.LargeStringArray.from_buffers(len(a), pa.py_buffer(ends), pa.py_buffer(flat))
 
 
-def _segment_rows(held: list) -> pa.RecordBatch:
-    """Rows (key, id, starts, words, known) of the segments held: one of each text, for its least id; ``starts`` has the places of that
-    document, with its print above. Where ``key`` is null, ``known`` are spans of the document that repeat a smaller one."""
+def pack(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, starts: np.ndarray, texts: pa.Array) -> bytes:
+    """Segments as one compressed value; ``sizes`` are the numbers of each one's ``starts``."""
+    data, offsets = text_buffers(texts)
+    raw = b"".join([np.int64([len(key), len(starts)]).tobytes(), key.tobytes(), ids.tobytes(), starts.tobytes(),
+                    sizes.astype(np.int32).tobytes(), offsets.astype(np.int32).tobytes(), data.tobytes()])
+    return np.int64([len(raw)]).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """What ``pack`` was given."""
+    raw = pa.decompress(blob[8:], decompressed_size=int(np.frombuffer(blob, np.int64, 1)[0]), codec="zstd", asbytes=True)
+    n, m = np.frombuffer(raw, np.int64, 2).tolist()
+    key, ids, starts = np.frombuffer(raw, np.uint64, n, 16), np.frombuffer(raw, np.int64, n, 16 + 8 * n), np.frombuffer(raw, np.int64, m, 16 + 16 * n)
+    at = 16 + 16 * n + 8 * m
+    sizes = np.frombuffer(raw, np.int32, n, at).astype(np.int64)
+    at += 4 * n
+    return key, ids, sizes, starts, pa.StringArray.from_buffers(n, pa.py_buffer(raw[at:at + 4 * n + 4]), pa.py_buffer(raw[at + 4 * n + 4:]))
+
+
+def _segment_rows(held: list, labels: np.ndarray) -> pa.RecordBatch:
+    """Rows (part, sub, n, blob) of the segments held: n segments, one of each text, for its least id, with its places in that
+    document; where n is 0, (id, span) of the documents that repeat a smaller one's segment."""
     key, ids, start, count = (np.concatenate(x) for x in list(zip(*held))[:4])
     coded = pa.chunked_array([x[4] for x in held]).combine_chunks().dictionary_encode()
     kind = coded.indices.to_numpy().astype(np.int64)
     order = np.lexsort((start, ids, kind))
-    kind, ids, start = kind[order], ids[order], start[order]
+    key, kind, ids, start, count = key[order], kind[order], ids[order], start[order], count[order]
     head = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
     least = ids[head][kind]                              # kinds count from 0 without a gap
-    fresh = np.ones(len(ids), bool)                      # a row that occurs twice
+    fresh = np.ones(len(ids), bool)                      # not a row that occurs twice
     fresh[1:] = (kind[1:] != kind[:-1]) | (ids[1:] != ids[:-1]) | (start[1:] != start[:-1])
+    out = []
+    again = np.flatnonzero((ids > least) & fresh)
+    if len(again):
+        out.append((int(labels[len(again) % len(labels)]), 0, 0,
+                    np.concatenate([ids[again], (start[again] << 8) | count[again]]).tobytes()))
     own = np.flatnonzero((ids == least) & fresh)
     sizes = np.bincount(kind[own], minlength=len(head))
-    again = np.flatnonzero((ids > least) & fresh)
-    span = (start[again] << 8) | count[order][again]
-    by_id = np.argsort(ids[again], kind="stable")
-    who, size = np.unique(ids[again], return_counts=True)
-    n, m = len(head), len(who)
-    texts = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.nulls(m, pa.string())])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([key[order][head].view(np.int64), np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n),
-         pa.array(np.concatenate([ids[head], who])),
-         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate([sizes, np.zeros(m, np.int64)]))]).astype(np.int32)),
-                                  pa.array(start[own])),
-         texts,
-         pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(n, np.int64), size]))]).astype(np.int32)),
-                                  pa.array(span[by_id]))],
-        ["key", "id", "starts", "words", "known"])
-
-
-def _segment_batches(batches):
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    key, ids, start = key[head], ids[head], start[own]
+    part, sub = (key % np.uint64(len(labels))).astype(np.int64), (key // np.uint64(len(labels)) % np.uint64(SUBS)).astype(np.int64)
+    order = np.lexsort((key, sub, part))
+    for mine in np.split(order, np.flatnonzero(np.diff(part[order] * SUBS + sub[order])) + 1):
+        size = sizes[mine]
+        ends = np.cumsum(size)
+        places = start[np.repeat(first[mine] - ends + size, size) + np.arange(ends[-1])]
+        out.append((int(labels[part[mine[0]]]), int(sub[mine[0]]), len(mine),
+                    pack(key[mine], ids[mine], size, places, coded.dictionary.take(pa.array(mine)))))
+    names = ["part", "sub", "n", "blob"]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names)
+
+
+def _segment_batches(batches, labels: np.ndarray):
     """The segments of rows (id, text, places)."""
     held: list = []
     size = 0
     for b in batches:
+        b = b.filter(b.column(2).is_valid())
         column = b.column(2)
         ids = b.column(0).to_numpy(zero_copy_only=False)
         for i, j, data, offsets in text_slices(b.column(1)):
@@ -228,10 +257,10 @@ def _segment_batches(batches):
                              _pieces(joined, where, at[s], at[s] + count[s])))
                 size += len(at[s])
                 if size >= RUN:
-                    yield _segment_rows(held)
+                    yield _segment_rows(held, labels)
                     held, size = [], 0
     if size:
-        yield _segment_rows(held)
+        yield _segment_rows(held, labels)
 
 
 # ---- shards --------------------------------------------------------------------------------------
@@ -322,40 +351,41 @@ def shard_spans(ids: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
     return segment[later], (word - first[segment])[later], size[later]
 
 
-def _key_chunks(batches):
-    """Whole groups of rows of one key (first column, sorted), ``SHARD`` rows or the rest of a key's group more."""
-    held, size = [], 0
-    for b in batches:
-        held.append(b)
-        size += b.num_rows
-        if size < SHARD:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        key = table.column(0).to_numpy()
-        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-        begin = 0
-        while len(cuts) and cuts[-1] - begin >= SHARD:
-            end = int(cuts[np.searchsorted(cuts, begin + SHARD)])
-            yield table.slice(begin, end - begin)
-            begin = end
-        rest = table.slice(begin)
-        held, size = rest.to_batches(), rest.num_rows
-    if size:
-        yield pa.Table.from_batches(held)
+def _shards(blobs: list[bytes]):
+    """(ids, sizes, starts, texts) of whole groups of segments of one key: ``SHARD`` segments, and the rest of the last key's."""
+    *columns, texts = zip(*map(unpack, blobs))
+    key, ids, sizes, starts = map(np.concatenate, columns)
+    texts = pa.concat_arrays(texts)
+    order = np.argsort(key, kind="stable")
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    cuts = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
+    begin = 0
+    while begin < len(order):
+        end = int(cuts[min(np.searchsorted(cuts, begin + SHARD), len(cuts) - 1)])
+        mine = order[begin:end]
+        size = sizes[mine]
+        ends = np.cumsum(size)
+        yield (ids[mine], size, starts[np.repeat(first[mine] - ends + size, size) + np.arange(ends[-1])], texts.take(pa.array(mine)))
+        begin = end
 
 
 def _span_batches(batches):
-    """(id, spans) of sorted rows (key, id, starts, words)."""
-    for t in _key_chunks(batches):
-        t = t.combine_chunks()
-        ids = t.column("id").to_numpy()
-        segment, word, size = shard_spans(ids, t.column("words").chunk(0))
-        if not len(segment):
-            continue
-        starts = t.column("starts").chunk(0).take(pa.array(segment))
-        many = pc.list_value_length(starts).to_numpy(zero_copy_only=False)
-        span = ((starts.flatten().to_numpy() + np.repeat(word, many)) << 8) | np.repeat(size, many)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[segment], many)), pa.array(span)], ["id", "span"])
+    """(id, span) of sorted rows (part, sub, n, blob): what is known, and what the shards' automata find."""
+    for t in sorted_groups(batches, 2):
+        n, blobs = t.column("n").to_numpy(), t.column("blob").to_pylist()
+        for b in (b for k, b in zip(n, blobs) if not k):
+            known = np.frombuffer(b, np.int64).reshape(2, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(known[0]), pa.array(known[1])], ["id", "span"])
+        blobs = [b for k, b in zip(n, blobs) if k]
+        for ids, many, starts, texts in _shards(blobs) if blobs else ():
+            segment, word, size = shard_spans(ids, texts)
+            if len(segment):
+                first = np.cumsum(many) - many
+                many = many[segment]
+                ends = np.cumsum(many)
+                place = starts[np.repeat(first[segment] - ends + many, many) + np.arange(ends[-1])] + np.repeat(word, many)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[segment], many)),
+                                                  pa.array((place << 8) | np.repeat(size, many))], ["id", "span"])
 
 
 # ---- removal -------------------------------------------------------------------------------------
@@ -405,13 +435,11 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row)
     parts = shuffle_parts(docs)
     found = docs.join(recurring_anchors(docs), "id", "left")
-    segments = found.where("places IS NOT NULL").select("id", "text", "places").mapInArrow(
-        _segment_batches, "key long, id long, starts array<long>, words string, known array<long>")
-    # both branches read one shuffle; spans that are known go along under keys of their own
-    dealt = segments.repartition(parts, F.coalesce("key", F.xxhash64("id")))
-    located = (dealt.where("key IS NOT NULL").select("key", "id", "starts", "words").sortWithinPartitions("key")
-               .mapInArrow(_span_batches, "id long, span long"))
-    spans = (dealt.where("key IS NULL").select("id", F.explode("known").alias("span")).unionByName(located)
+    labels = partition_labels(docs.sparkSession, parts)
+    # documents without places are left out in the task: a filter here would keep Spark from using one shuffle of the texts twice
+    segments = found.select("id", "text", "places").mapInArrow(lambda it: _segment_batches(it, labels),
+                                                               "part long, sub long, n long, blob binary")
+    spans = (segments.repartition(parts, "part").sortWithinPartitions("part", "sub").mapInArrow(_span_batches, "id long, span long")
              .groupBy("id").agg(F.collect_set("span").alias("spans")))
     schema = ("id long, n_words long, span_starts array<long>, span_ends array<long>, kept string"
               + "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row))
