@@ -141,8 +141,9 @@ class Coder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index: dict[bytes, int] = {}
         self.ids: list[list[int]] = []
+        self.size = np.zeros(0, np.int64)
         self.text: list[bytes] = []
         self.raw: list[bytes] = []
 
@@ -152,18 +153,18 @@ class Coder:
         key, start, end, which = distinct(data, begin)
         if len(self.ids) > REMEMBERED:
             self.clear()
-        known = [self.index.get(k, -1) for k in key.tolist()]
-        known = np.array(known, np.int64)
+        known = np.array([self.index.get(k, -1) for k in key], np.int64)
         new = np.flatnonzero(known < 0)
         if len(new):
             known[new] = np.arange(len(self.ids), len(self.ids) + len(new))
-            self.index.update(zip(key[new].tolist(), known[new].tolist()))
+            self.index.update((key[i], int(known[i])) for i in new.tolist())
             look = self.v.bytes_of
             for ids in self.v.encode_words(data, start[new], end[new]):
                 ids = ids.tolist()
                 self.ids.append(ids)
                 self.text.append(b" ".join([b"%d" % i for i in ids]))
                 self.raw.append(b"".join([look[i] for i in ids]))
+            self.size = np.concatenate([self.size, np.array([len(x) for x in self.ids[len(self.size):]], np.int64)])
         return known[which], first
 
 
@@ -215,8 +216,7 @@ def bpe_digests(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_c
             count, ids, raw = [], [], []
             for _, _, data, offsets in text_slices(b.column(1)):
                 words, first = coder.words(data, offsets)
-                size = np.array([len(x) for x in coder.ids], np.int64)
-                total = np.concatenate([[0], np.cumsum(size[words])])
+                total = np.concatenate([[0], np.cumsum(coder.size[words])])
                 count.append(total[first[1:]] - total[first[:-1]])
                 for x, y in zip(first[:-1].tolist(), first[1:].tolist()):
                     mine = words[x:y]

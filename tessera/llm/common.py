@@ -8,6 +8,7 @@ of its own), which bounds the temporary arrays whatever the batch size is.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,7 +90,11 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes [start, end): equal bytes, equal hash, wherever they are."""
+    """64-bit hash of the bytes [start, end): equal bytes, equal hash, wherever they are.
+
+    It chooses candidates only: unlike bytes can share a hash (a polynomial modulo 2^64 has such pairs for
+    every base), so equal hashes aren't taken for equal bytes. ``exact_codes`` and ``word_keys`` tell bytes apart.
+    """
     _, inverse = _power_tables(len(sums) - 1)
     return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
@@ -110,6 +115,39 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def exact_codes(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Codes of the byte strings that lie one behind the other in ``flat``, equal just where the bytes are, and the distinct strings."""
+    ends = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths, out=ends[1:])
+    strings = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat))])
+    coded = strings.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """``exact_codes`` of the words of ``word_spans``."""
+    return exact_codes(data[~SEPARATOR[data]], ends - starts)
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each word that is the same in all tasks: the digest of its bytes, so that no two words are known to share one."""
+    code, words = word_codes(data, starts, ends)
+    digest = b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in words.to_pylist()])
+    return np.frombuffer(digest, np.uint64)[code]
+
+
+def joined_codes(*columns: np.ndarray) -> np.ndarray:
+    """One code for each row of several columns of codes, equal just where all columns are."""
+    key, top = columns[0].astype(np.int64), int(columns[0].max(initial=0)) + 1
+    for c in columns[1:]:
+        base = int(c.max(initial=0)) + 1
+        if top > (1 << 62) // base:                  # ranks take the place of the codes
+            key = np.unique(key, return_inverse=True)[1]
+            top = int(key.max(initial=0)) + 1
+        key, top = key * base + c, top * base
+    return key
+
+
 def row_sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of ``flags`` over each row's range."""
     total = np.zeros(len(flags) + 1, np.int64)

@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (mix, once, prefix_sums, shuffle_parts, span_hash, text_slices,
-                                window_hashes, word_spans)
+from tessera.llm.common import mix, once, shuffle_parts, text_slices, window_hashes, word_keys, word_spans
 from tessera.llm.groups import components, local_roots, sorted_groups
 
 SHINGLE = 5
@@ -60,9 +59,8 @@ def sketch_margin(similarity: float) -> int:
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of a slice, row after row (with repeats), and each row's range."""
-    sums = prefix_sums(data)
     starts, ends, first = word_spans(data, offsets)
-    words = span_hash(sums, starts, ends)
+    words = word_keys(data, starts, ends)
     grams, at = window_hashes(words, first, SHINGLE)
     count = np.diff(first)
     bounds = np.searchsorted(at, first)

@@ -7,7 +7,10 @@ its sequences with dual feasible functions: functions f of a relative size with
 every set that fits a sequence, so the sum of f over all pieces is a lower bound. Where the two numbers
 are equal no packing of that partition is better. Partitions with a gap give up their unfilled
 sequences, and every partition those less than half full; these pieces are dealt anew, over
-partition borders, and packed again. A round that saves no sequence is undone and ends the work.
+partition borders, and packed again. A round that saves no sequence is undone and ends the work, as do ``rounds`` (3) of them.
+
+Ids are those that the tokenizer gives without special tokens added: a text that holds the string of one of
+the file's own added tokens gets that token's id there.
 
 Defined results: a null or empty text is the closing id alone; every row is packed, also rows with a null or
 repeated id, each on its own; an empty table gives an empty result; other columns are ignored.
@@ -19,6 +22,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,27 +49,39 @@ class _Ids:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_letters()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.index: dict[bytes, int] = {}
         self.pool = np.zeros(0, np.uint32)
         self.bounds = np.zeros(1, np.int64)
 
+    def marked(self, texts: pa.Array) -> np.ndarray:
+        """Where a text holds one of the file's added tokens, which the tokenizer looks for before it splits anything."""
+        found = np.zeros(len(texts), bool)
+        for mark in self.added:
+            found |= pc.fill_null(pc.match_substring(texts, mark), False).to_numpy(zero_copy_only=False)
+        return found
+
+    def whole(self, text: str) -> np.ndarray:
+        """Token ids of one text as the tokenizer gives them."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, and each row's range."""
         begin, first = split(data, offsets)
         key, start, end, which = distinct(data, begin)
         if len(self.index) > REMEMBERED:
             self.clear()
-        known = np.array([self.index.get(k, -1) for k in key.tolist()], np.int64)
+        known = np.array([self.index.get(k, -1) for k in key], np.int64)
         new = np.flatnonzero(known < 0)
         if len(new):
             letters = data.tobytes().decode("latin-1").translate(self.letters)
             tokens = self.tokenizer.model.tokenize
             ids = [[t.id for t in tokens(letters[s:e])] for s, e in zip(start[new].tolist(), end[new].tolist())]
             known[new] = np.arange(len(self.bounds) - 1, len(self.bounds) - 1 + len(new))
-            self.index.update(zip(key[new].tolist(), known[new].tolist()))
+            self.index.update((key[i], int(known[i])) for i in new.tolist())
             size = np.array([len(x) for x in ids], np.int64)
             self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.uint32, size.sum())])
             self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(size)])
@@ -91,10 +107,12 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, clo
         coder = _Ids(tokenizer_path)
         for b in batches:
             out: list[tuple[int, int, int, int, int]] = []
+            marked = coder.marked(b.column(1))
             for i, j, data, offsets in text_slices(b.column(1)):
                 flat, bounds = coder.slice(data, offsets)
                 for r in range(j - i):
-                    row = np.append(flat[bounds[r]:bounds[r + 1]], np.uint32(closing_id)).astype("<u4").tobytes()
+                    ids = coder.whole(b.column(1)[i + r].as_py()) if marked[i + r] else flat[bounds[r]:bounds[r + 1]]
+                    row = np.append(ids, np.uint32(closing_id)).astype("<u4").tobytes()
                     start = 0
                     for k, n in enumerate(piece_lengths(len(row) // 4, capacity)):
                         out.append((i + r, k, start, n, zlib.crc32(row[4 * start:4 * (start + n)])))

@@ -14,7 +14,7 @@ import unicodedata
 
 import numpy as np
 
-from tessera.llm.common import prefix_sums, span_hash
+from tessera.llm.common import exact_codes
 
 OTHER, LETTER, DIGIT, SPACE = 0, 1, 2, 3
 # fixed values: the white space of \s in the tokenizers' regular expressions (Unicode White_Space)
@@ -91,9 +91,10 @@ def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, np.searchsorted(begin, offsets)
 
 
-def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct pre-tokens: (hash, start, end) of each, and each pre-token's index among them."""
+def distinct(data: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pre-tokens: (bytes, start, end) of each, and each pre-token's index among them."""
     end = np.append(begin[1:], len(data))
-    h = span_hash(prefix_sums(data), begin, end)
-    key, where, index = np.unique(h, return_index=True, return_inverse=True)
-    return key, begin[where], end[where], index
+    index, texts = exact_codes(data, end - begin)
+    where = np.zeros(len(texts), np.int64)
+    where[index[::-1]] = np.arange(len(index))[::-1]
+    return texts.to_pylist(), begin[where], end[where], index

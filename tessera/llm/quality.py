@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import (once, prefix_sums, row_sums, span_hash, text_slices,
-                                window_hashes, word_spans)
+from tessera.llm.common import exact_codes, joined_codes, once, row_sums, text_slices, word_codes, word_spans
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -67,7 +66,6 @@ def _later(keys: np.ndarray) -> np.ndarray:
 
 def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """The counts of every row of a slice."""
-    sums = prefix_sums(data)
     starts, ends, first = word_spans(data, offsets)
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     point = (data & 0xC0) != 0x80
@@ -82,16 +80,17 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     stop = np.concatenate([begin[1:], offsets[-1:]])
     ends_in_break = (stop > begin) & (np.append(data, 0)[np.maximum(stop - 1, 0)] == 0x0A)
     stop = stop - ends_in_break
+    line = exact_codes(data[data != 0x0A], stop - begin)[0]
     filled = np.searchsorted(starts, stop) > np.searchsorted(starts, begin)
-    begin, stop, line_row = begin[filled], stop[filled], line_row[filled]
-    salt = np.uint64(0x9E3779B97F4A7C15)
-    line_key = span_hash(sums, begin, stop) + line_row.astype(np.uint64) * salt
+    line, line_row = line[filled], line_row[filled]
     rows = len(offsets) - 1
     n_lines = np.bincount(line_row, minlength=rows)
-    n_dup = np.bincount(line_row[_later(line_key)], minlength=rows)
+    n_dup = np.bincount(line_row[_later(joined_codes(line_row, line))], minlength=rows)
 
-    grams, at = window_hashes(span_hash(sums, starts, ends), first, 3)
-    again = at[_repeated(grams + owner[at].astype(np.uint64) * salt)]
+    word = word_codes(data, starts, ends)[0]
+    at = np.arange(max(len(word) - 2, 0))
+    at = at[owner[at] == owner[at + 2]]
+    again = at[_repeated(joined_codes(owner[at], word[at], word[at + 1], word[at + 2]))]
     covered = np.zeros(len(starts) + 3, bool)
     for j in range(3):
         covered[again + j] = True
@@ -125,19 +124,35 @@ def base_failed() -> F.Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _beta(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function by its continued fraction (modified Lentz)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _beta(1 - x, b, a)
+    tiny = 1e-300
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1) or tiny)
+    out = d
+    for m in range(1, 100_000):
+        for t in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / (1 + t * d or tiny)
+            c = 1 + t / c or tiny
+            out *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return front * out
+
+
 def upper_bound(k: int, n: int, delta: float) -> float:
     """Clopper-Pearson: the rate p at which k or fewer of n have probability ``delta``."""
     if k >= n:
         return 1.0
-    log_choose = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
-
-    def tail(p: float) -> float:
-        return sum(math.exp(c + i * math.log(p) + (n - i) * math.log1p(-p)) for i, c in enumerate(log_choose))
-
     low, high = 0.0, 1.0
     for _ in range(60):
         mid = (low + high) / 2
-        low, high = (mid, high) if tail(mid) > delta else (low, mid)
+        # P(X <= k) = 1 - I_p(k + 1, n - k)
+        low, high = (mid, high) if 1 - _beta(mid, k + 1, n - k) > delta else (low, mid)
     return high
 
 
@@ -159,8 +174,9 @@ def calibrate(features: DataFrame, labels: DataFrame, id_col: str, good_col: str
     marks = (labels.select(F.col(id_col).alias("id"), F.col(good_col).alias("good"))
              .where("id IS NOT NULL AND good IS NOT NULL").groupBy("id").agg(F.min("good").alias("good")))
     steps = [F.struct(F.lit(r).alias("rule"), _step(r).alias("step")) for r in RULES]
-    table = (features.where(~base_failed()).join(marks, "id")
-             .select(F.coalesce("stratum", F.lit("")).alias("stratum"), (F.col("good") >= 1).alias("good"),
+    # one text of an id that has several labelled rows: the bound counts independent ones
+    told = features.where(~base_failed()).join(marks, "id").groupBy("id").agg(F.min(F.struct("stratum", *COUNTS, "good")).alias("t"))
+    table = (told.select("t.*").select(_stratum().alias("stratum"), (F.col("good") >= 1).alias("good"),
                      F.explode(F.array(*steps)).alias("r"))
              .groupBy("stratum", "good", "r.rule", "r.step").count().collect())
     strata = sorted({r.stratum for r in table})
@@ -178,6 +194,11 @@ def calibrate(features: DataFrame, labels: DataFrame, id_col: str, good_col: str
     return out
 
 
+def _stratum() -> F.Column:
+    """A name for each stratum, also for the null one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("stratum")), F.lit(""))
+
+
 def _ratio(rule: str) -> F.Column:
     a, b = RULES[rule]
     return F.expr(f"coalesce(try_divide({a}, {b}), 0D)")
@@ -190,7 +211,7 @@ def _step(rule: str) -> F.Column:
 
 
 def _verdict(features: DataFrame, cutoffs: dict[str, dict[str, float]]) -> DataFrame:
-    failed = [F.when((F.coalesce("stratum", F.lit("")) == s) & (_ratio(rule) > c), F.lit(rule))
+    failed = [F.when((_stratum() == s) & (_ratio(rule) > c), F.lit(rule))
               for s, rules in cutoffs.items() for rule, c in rules.items()]
     names = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
     return (features.withColumn("base_failed", base_failed()).withColumn("failed_rules", F.array_join(names, ","))

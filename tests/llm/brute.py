@@ -132,3 +132,41 @@ def phrase_lists(docs, depth=3, least=10, top=2000, share=50):
         for rank, (score, a, phrase, l, r) in enumerate(sorted(rows)[:top], 1):
             out[s, rank] = phrase.decode(), -a, l, r, n, -score
     return out
+
+
+def alike(length=1024):
+    """Two unlike words of one length whose polynomial hash modulo 2^64 is the same for every base (Thue-Morse)."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(length))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def kept(docs, labels, rules, ladder, cost, limit=0.05, delta=0.05):
+    """doc_id -> verdict for [(doc_id, text, stratum)] and {doc_id: good}: exact bounds by summing the binomial, rule by rule."""
+    from fractions import Fraction
+    from math import comb
+
+    def ratios(t):
+        n, chars, symbols, dup, again, failed = counts(t)
+        lines = sum(1 for x in (t or "").split("\n") if WORD.search(x))
+        up, low = len(re.findall("[A-Z]", t or "")), len(re.findall("[a-z]", t or ""))
+        pairs = {"symbols": (symbols, chars), "dup_lines": (dup, lines), "repeats": (again, n), "upper": (up, up + low), "word_length": (chars, 20 * n)}
+        return failed, {k: a / b if b else 0.0 for k, (a, b) in pairs.items()}
+
+    seen = {d: ratios(t) for d, t, _ in docs}
+    strata = {s for d, _, s in docs if d in labels and not seen[d][0]}
+    cut = {}
+    for s in strata:
+        mine = [d for d, _, x in docs if x == s and d in labels and not seen[d][0]]
+        n = sum(labels[d] for d in mine)
+        for r in rules:
+            best = 0
+            for c in ladder:
+                good = sum(labels[d] for d in mine if seen[d][1][r] > c)
+                bad = sum(1 - labels[d] for d in mine if seen[d][1][r] > c)
+                p = Fraction(limit).limit_denominator(10 ** 6) / len(rules)
+                # the upper bound is within the limit where so few rejections are improbable at the limit
+                if not n or sum(comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(good + 1)) > delta / (len(strata) * len(rules)):
+                    break
+                if bad - cost * good > best:
+                    best, cut[s, r] = bad - cost * good, c
+    return {d: not seen[d][0] and not any(seen[d][1][r] > cut[s, r] for r in rules if (s, r) in cut) for d, _, s in docs}

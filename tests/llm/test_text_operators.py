@@ -253,7 +253,6 @@ def test_packing_holds_every_token(docs, no_docs):
     out = packing.pack_documents(docs, JSON).collect()
     texts = [(r.doc_id, r.text or "") for r in docs.collect()]
     tok = Tokenizer.from_file(JSON)
-    tok.encode_special_tokens = True
     want = []
     for d, t in texts:
         ids = [*tok.encode(t, add_special_tokens=False).ids, 2]
