@@ -48,7 +48,7 @@ FLUSH = 1_000_000                # anchors among which a task looks for frequent
 NUMEROUS = 32                    # occurrences among them that make a gram hot
 HOT = 4_000                      # occurrences in all documents that make it hot
 RUN = 100_000                    # segments among which a task looks for equal ones
-SUBS = 8                         # parts of a task's segments that it holds one after the other
+HELD = 100_000                   # segments that a task unpacks at a time
 SHARD = 8_000                    # segments from which a shard's automaton is built
 _NONE = np.zeros(0, np.int64)
 
@@ -185,7 +185,7 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
 
 
 def _segment_rows(held: list, labels: np.ndarray) -> pa.RecordBatch:
-    """Rows (part, sub, n, blob) of the segments held: n segments, one of each text, for its least id, with its places in that
+    """Rows (part, n, blob) of the segments held: n segments, one of each text, for its least id, with its places in that
     document; where n is 0, (id, span) of the documents that repeat a smaller one's segment."""
     key, ids, start, count = (np.concatenate(x) for x in list(zip(*held))[:4])
     coded = pa.chunked_array([x[4] for x in held]).combine_chunks().dictionary_encode()
@@ -199,22 +199,22 @@ def _segment_rows(held: list, labels: np.ndarray) -> pa.RecordBatch:
     out = []
     again = np.flatnonzero((ids > least) & fresh)
     if len(again):
-        out.append((int(labels[len(again) % len(labels)]), 0, 0,
+        out.append((int(labels[len(again) % len(labels)]), 0,
                     np.concatenate([ids[again], (start[again] << 8) | count[again]]).tobytes()))
     own = np.flatnonzero((ids == least) & fresh)
     sizes = np.bincount(kind[own], minlength=len(head))
     first = np.concatenate([[0], np.cumsum(sizes)])
     key, ids, start = key[head], ids[head], start[own]
-    part, sub = (key % np.uint64(len(labels))).astype(np.int64), (key // np.uint64(len(labels)) % np.uint64(SUBS)).astype(np.int64)
-    order = np.lexsort((key, sub, part))
-    for mine in np.split(order, np.flatnonzero(np.diff(part[order] * SUBS + sub[order])) + 1):
+    part = (key % np.uint64(len(labels))).astype(np.int64)
+    order = np.lexsort((key, part))
+    for mine in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
         size = sizes[mine]
         ends = np.cumsum(size)
         places = start[np.repeat(first[mine] - ends + size, size) + np.arange(ends[-1])]
-        out.append((int(labels[part[mine[0]]]), int(sub[mine[0]]), len(mine),
+        out.append((int(labels[part[mine[0]]]), len(mine),
                     pack(key[mine], ids[mine], size, places, coded.dictionary.take(pa.array(mine)))))
-    names = ["part", "sub", "n", "blob"]
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names)
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
+                                      ["part", "n", "blob"])
 
 
 def _segment_batches(batches, labels: np.ndarray):
@@ -351,11 +351,21 @@ def shard_spans(ids: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
     return segment[later], (word - first[segment])[later], size[later]
 
 
-def _shards(blobs: list[bytes]):
+def _unpacked(blobs: list[bytes], n: int):
+    """The segments of one task, about ``HELD`` of ``n`` at a time, those of a key together: (key, ids, sizes, starts, texts)."""
+    rounds = max(1, -(-n // HELD))
+    for k in range(rounds):
+        found = []
+        for key, ids, sizes, starts, texts in map(unpack, blobs):
+            mine = np.flatnonzero(mix(key) % np.uint64(rounds) == k)
+            found.append((key[mine], ids[mine], sizes[mine], starts[np.repeat(mix(key) % np.uint64(rounds) == k, sizes)],
+                          texts.take(pa.array(mine))))
+        *columns, texts = zip(*found)
+        yield *map(np.concatenate, columns), pa.concat_arrays(texts)
+
+
+def _shards(key: np.ndarray, ids: np.ndarray, sizes: np.ndarray, starts: np.ndarray, texts: pa.Array):
     """(ids, sizes, starts, texts) of whole groups of segments of one key: ``SHARD`` segments, and the rest of the last key's."""
-    *columns, texts = zip(*map(unpack, blobs))
-    key, ids, sizes, starts = map(np.concatenate, columns)
-    texts = pa.concat_arrays(texts)
     order = np.argsort(key, kind="stable")
     first = np.concatenate([[0], np.cumsum(sizes)])
     cuts = np.append(np.flatnonzero(np.diff(key[order])) + 1, len(order))
@@ -370,14 +380,15 @@ def _shards(blobs: list[bytes]):
 
 
 def _span_batches(batches):
-    """(id, span) of sorted rows (part, sub, n, blob): what is known, and what the shards' automata find."""
-    for t in sorted_groups(batches, 2):
+    """(id, span) of sorted rows (part, n, blob): what is known, and what the shards' automata find."""
+    for t in sorted_groups(batches, 1):
         n, blobs = t.column("n").to_numpy(), t.column("blob").to_pylist()
         for b in (b for k, b in zip(n, blobs) if not k):
             known = np.frombuffer(b, np.int64).reshape(2, -1)
             yield pa.RecordBatch.from_arrays([pa.array(known[0]), pa.array(known[1])], ["id", "span"])
         blobs = [b for k, b in zip(n, blobs) if k]
-        for ids, many, starts, texts in _shards(blobs) if blobs else ():
+        shards = (s for some in (_unpacked(blobs, int(n.sum())) if blobs else ()) for s in _shards(*some))
+        for ids, many, starts, texts in shards:
             segment, word, size = shard_spans(ids, texts)
             if len(segment):
                 first = np.cumsum(many) - many
@@ -438,8 +449,8 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels = partition_labels(docs.sparkSession, parts)
     # documents without places are left out in the task: a filter here would keep Spark from using one shuffle of the texts twice
     segments = found.select("id", "text", "places").mapInArrow(lambda it: _segment_batches(it, labels),
-                                                               "part long, sub long, n long, blob binary")
-    spans = (segments.repartition(parts, "part").sortWithinPartitions("part", "sub").mapInArrow(_span_batches, "id long, span long")
+                                                               "part long, n long, blob binary")
+    spans = (segments.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_span_batches, "id long, span long")
              .groupBy("id").agg(F.collect_set("span").alias("spans")))
     schema = ("id long, n_words long, span_starts array<long>, span_ends array<long>, kept string"
               + "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row))
