@@ -15,6 +15,9 @@ from tessera.catalog.stored import stored
 from tessera.operators.cumulative import (cumulate_backfill, cumulate_step,
                                           cumulate_step_multi, cumulate_step_rows, history_ratio,
                                           rows_summary_as_of, snapshot_multi_as_of, unnest_history)
+from tessera.operators.chunks import chunk_backfill, chunk_step
+from tessera.operators.upsert import upsert
+from tessera.session import fresh_path
 from tessera.sources import load
 from tessera.sources import standins as S
 
@@ -103,6 +106,20 @@ def q_cumulative_step_rows(spark, d):
                        F.col("years_since_last_active").cast("bigint").alias("years_since_last_active"))
 
 
+PER_CHUNK = 4                   # entries of a chunk, few here so that customers have several
+
+
+def q_chunked_history(spark, d):
+    """The films of all years as chunks: the table up to the year before the last, and the last year's step upserted."""
+    _, last = year_span(spark, d)
+    films, path = S.customer_orders(spark, d), fresh_path(spark, "chunks")
+    chunk_backfill(films, KEY, "year", FILM, last - 1, PER_CHUNK).write.parquet(path)
+    prev = spark.read.parquet(path)
+    table = upsert(prev, chunk_step(prev, films, KEY, "year", FILM, last, PER_CHUNK), [KEY, "chunk"])
+    flat = table.select(KEY, "chunk", "n_entries", F.posexplode("history").alias("place", "e"))
+    return flat.select(KEY, "chunk", "n_entries", F.col("place").cast("bigint").alias("place"), "e.o_orderkey", "e.o_totalprice")
+
+
 def q_classify_orders(spark, d):
     o = load(spark, d, "orders")
     return o.select("o_orderkey", classify("o_totalprice", BINS, ELSE).alias("class"))
@@ -129,6 +146,7 @@ QUERIES = {
     "cumulative_step": q_cumulative_step,
     "cumulative_step_multi": q_cumulative_step_multi,
     "cumulative_step_rows": q_cumulative_step_rows,
+    "chunked_history": q_chunked_history,
     "classify_orders": q_classify_orders,
     "unnest_history": q_unnest_history,
     "history_ratio": q_history_ratio,
@@ -206,3 +224,10 @@ ORACLE = {
         FROM snapc WHERE current_year = {HI_SQL} AND class = 'star'""",
 }
 ORACLE["cumulative_step_rows"] = f"SELECT * EXCLUDE (film_keys) FROM ({ORACLE['cumulative_step_multi']})"
+ORACLE["chunked_history"] = f"""
+    WITH films AS (
+      SELECT o_custkey, o_orderkey, o_totalprice,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate), o_orderkey) - 1 AS n
+      FROM orders WHERE year(o_orderdate) <= {HI_SQL})
+    SELECT o_custkey, n // {PER_CHUNK} AS chunk, count(*) OVER (PARTITION BY o_custkey, n // {PER_CHUNK}) AS n_entries,
+           n % {PER_CHUNK} AS place, o_orderkey, o_totalprice FROM films"""

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.catalog.stored import stored
 from tessera.operators.graph import (edge_property_max, edge_ratio_report, edges_from_rows,
-                                     vertex_counts, vertices_dedup, vertices_from_agg,
-                                     vertices_from_rows)
+                                     variant_properties, vertex_counts, vertices_dedup,
+                                     vertices_from_agg, vertices_from_rows)
 from tessera.sources import standins as S
 
 
@@ -83,6 +83,22 @@ def q_graph_edge_ratio(spark, d):
                     "pts", "team_id")
 
 
+def variant_tables(spark, d):
+    """The same tables, stored with VARIANT properties."""
+    return (stored(spark, variant_properties(player_vertices(spark, d)), "type"),
+            stored(spark, variant_properties(plays_in_edges(spark, d)), "edge_type"))
+
+
+def q_graph_edge_max_variant(spark, d):
+    r = edge_property_max(*variant_tables(spark, d), "player_name", "pts")
+    return r.select("player_name", F.col("max_pts").cast("bigint").alias("max_pts"))
+
+
+def q_graph_edge_ratio_variant(spark, d):
+    return edge_ratio_report(*variant_tables(spark, d), "game", "player_name", "number_of_games", "total_points",
+                             ["pts", "team_id"]).select("player_name", "object_identifier", "ratio", "pts", "team_id")
+
+
 QUERIES = {
     "graph_game_vertices": q_graph_game_vertices,
     "graph_player_vertices": q_graph_player_vertices,
@@ -91,6 +107,8 @@ QUERIES = {
     "graph_vertex_counts": q_graph_vertex_counts,
     "graph_edge_max": q_graph_edge_max,
     "graph_edge_ratio": q_graph_edge_ratio,
+    "graph_edge_max_variant": q_graph_edge_max_variant,
+    "graph_edge_ratio_variant": q_graph_edge_ratio_variant,
 }
 
 GD = """
@@ -165,3 +183,5 @@ ORACLE = {
           ON v.identifier = e.subject_identifier AND v.type = e.subject_type
         WHERE e.object_type = 'game'""",
 }
+ORACLE["graph_edge_max_variant"] = ORACLE["graph_edge_max"]
+ORACLE["graph_edge_ratio_variant"] = ORACLE["graph_edge_ratio"]

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from tessera.catalog.datelists import LAST_SQL, MONTH_SQL, ONE, event_days, late
 from tessera.catalog.stored import stored
-from tessera.operators.month_arrays import (host_month_as_of, host_month_step, host_visitors_as_of,
-                                            host_visitors_of_day, month_array_step,
-                                            month_arrays_as_of, month_visitors, unpack_month_arrays)
+from tessera.operators.month_arrays import (host_month_as_of, host_month_step, host_visitor_bitmaps_as_of,
+                                            host_visitor_bitmaps_of_day, host_visitors_as_of,
+                                            host_visitors_of_day, merge_visitor_bitmaps, month_array_step,
+                                            month_arrays_as_of, month_visitor_counts, month_visitors,
+                                            unpack_month_arrays)
 from tessera.operators.upsert import write_upsert
+from tessera.plans.versions import VersionedTable
 from tessera.session import fresh_path
 from tessera.sources import standins as S
 
@@ -88,6 +91,18 @@ def q_stored_host_visitors(spark, d):
     return month_visitors(_stored_host_month(spark, d)[1])
 
 
+def q_host_visitor_bitmaps(spark, d):
+    """Distinct visitors of the month: the bitmaps up to two days before the last, and three daily merges, one of them a re-run."""
+    _, last = event_days(spark, d)
+    ev = S.activity_events(spark, d)
+    table = VersionedTable(spark, fresh_path(spark, "visitor_bitmaps"), "month_start")
+    table.replace(host_visitor_bitmaps_as_of(ev, last - 2 * ONE))
+    for day, seen in ((last - ONE, ev.where(~late(last - ONE))), (last, ev), (last - ONE, ev)):
+        table.replace(merge_visitor_bitmaps(table.read().where(F.col("month_start") == day.replace(day=1)),
+                                            host_visitor_bitmaps_of_day(seen, day)))
+    return month_visitor_counts(table.read())
+
+
 def q_unpack_month_arrays(spark, d):
     _, last = event_days(spark, d)
     t = month_arrays_as_of(S.activity_events(spark, d), "user_id", METRIC, last)
@@ -101,6 +116,7 @@ QUERIES = {
     "host_month_step": q_host_month_step,
     "stored_host_month": q_stored_host_month,
     "stored_host_visitors": q_stored_host_visitors,
+    "host_visitor_bitmaps": q_host_visitor_bitmaps,
     "unpack_month_arrays": q_unpack_month_arrays,
 }
 
@@ -158,3 +174,8 @@ ORACLE["stored_host_visitors"] = f"""
            CAST(user_id AS VARCHAR) AS visitor
     FROM events WHERE CAST(ts AS DATE) BETWEEN {MONTH_SQL} AND {LAST_SQL}
       AND event_type IS NOT NULL AND user_id IS NOT NULL"""
+ORACLE["host_visitor_bitmaps"] = f"""
+    SELECT event_type || ':' || CAST(user_id % 50 AS VARCHAR) AS host, {MONTH_SQL} AS month_start,
+           CAST(count(DISTINCT user_id) AS BIGINT) AS n_visitors
+    FROM events WHERE CAST(ts AS DATE) BETWEEN {MONTH_SQL} AND {LAST_SQL} AND event_type IS NOT NULL AND user_id IS NOT NULL
+    GROUP BY ALL"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.reports import (match_view, match_view_hot, top_by_avg, top_by_count,
                                        top_by_distinct, top_for_label)
+from tessera.plans.footers import column_report, parquet_footers
 from tessera.plans.joins import enrich
 from tessera.plans.layout import (bucket_count, file_stats, layout_report, rows_per_file,
                                   write_bucketed, write_partitioned)
@@ -203,6 +204,20 @@ def q_layout_report(spark, d):
                     (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
+def q_layout_footers(spark, d):
+    """What the footers say of the match details, written unsorted and sorted by match."""
+    out = None
+    for name, order in (("unsorted", None), ("sorted", "match_id")):
+        path = fresh_path(spark, f"footers-{name}")
+        md = S.match_details(spark, d)
+        (md.repartitionByRange(order).sortWithinPartitions(order) if order else md).write.parquet(path)
+        one = column_report(parquet_footers(spark, path)).select(
+            F.lit(name).alias("layout"), "column", "n_rows", "n_nulls", F.col("min_number").cast("bigint").alias("low"),
+            F.col("max_number").cast("bigint").alias("high"), (F.col("compressed_bytes") > 0).alias("has_bytes"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 QUERIES = {
     "enrich_matches_maps": q_enrich_matches_maps,
     "enrich_medal_rows": q_enrich_medal_rows,
@@ -224,6 +239,7 @@ QUERIES = {
     "partitioned_matches": q_partitioned_matches,
     "partitioned_hot_date": q_partitioned_hot_date,
     "layout_report": q_layout_report,
+    "layout_footers": q_layout_footers,
 }
 
 M = """(SELECT o_orderkey AS match_id, CAST(o_custkey % 25 AS INTEGER) AS mapid,
@@ -339,3 +355,8 @@ ORACLE = {
                ELSE CAST(date_trunc('year', completion_date) AS DATE) END AS completion_date FROM {M}""",
     "partitioned_matches": f"SELECT match_id, mapid, playlist_id, completion_date FROM {M}",
 }
+ORACLE["layout_footers"] = " UNION ALL ".join(
+    f"""SELECT '{layout}' AS layout, '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_nulls,
+               CAST(min({c}) AS BIGINT) AS low, CAST(max({c}) AS BIGINT) AS high, true AS has_bytes FROM {MD}"""
+    for layout in ("unsorted", "sorted")
+    for c in ("match_id", "player_gamertag", "player_total_kills", "player_total_deaths"))

@@ -109,7 +109,7 @@ def _step(prev, today, key, at, class_on, bins, else_label, static_cols, history
           class_col, current_col):
     y = prev.where(F.col(current_col) == at - 1).alias("y")
     t = today.alias("t")
-    j = t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full_outer")
+    j = t.join(y, F.col(f"t.{key}").eqNullSafe(F.col(f"y.{key}")), "full_outer")      # a NULL key is an entity
     seen_today = F.col("t._new").isNotNull()
     out = [F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key)]
     out += [F.coalesce(F.col(f"t.{c}"), F.col(f"y.{c}")).alias(c) for c in static_cols]
@@ -169,7 +169,7 @@ def cumulate_step_rows(prev: DataFrame, facts: DataFrame, key: str, period: str,
     """
     y = prev.where(F.col(current_col) == at - 1).alias("y")
     t = _period_summary(facts.where(F.col(period) == at), key, rating_col).alias("t")
-    j = t.join(y, F.col(f"t.{key}") == F.col(f"y.{key}"), "full_outer")
+    j = t.join(y, F.col(f"t.{key}").eqNullSafe(F.col(f"y.{key}")), "full_outer")
     seen = F.col("t._n").isNotNull()
     return j.select(
         F.coalesce(F.col(f"t.{key}"), F.col(f"y.{key}")).alias(key),

@@ -1,6 +1,8 @@
 """Property-graph tables: vertices (identifier, type, properties JSON) and edges.
 
-Properties are JSON text built with ``to_json`` keeping NULL members. Reports
+Properties are JSON text built with ``to_json`` keeping NULL members, or, after
+``variant_properties``, VARIANT values: parsed once when a table is stored, so that the
+reports look members up instead of parsing the text for each property. Reports
 that join vertices to edges pre-aggregate the edge side on its subject first
 (partial aggregation), so a vertex with a huge number of edges is folded on the
 mappers instead of being shuffled row by row into one join task.
@@ -12,11 +14,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from tessera.functions.columns import json_get, json_object, safe_ratio
 from tessera.operators.keys import dedup
 
 
+def variant_properties(table: DataFrame) -> DataFrame:
+    """A vertex or edge table with its properties as VARIANT; the reports take either form."""
+    return table.withColumn("properties", F.parse_json("properties"))
+
+
+def _property(table: DataFrame, name: str, cast: str | None = None) -> Column:
+    """A member of the table's properties (as text without ``cast``), NULL where it is missing or doesn't cast."""
+    if isinstance(table.schema["properties"].dataType, VariantType):
+        return F.try_variant_get("properties", f"$.{name}", cast or "string")
+    return json_get("properties", name, cast)
+
+
 def vertices_from_rows(df: DataFrame, id_col: str | Column, vtype: str,
                        props: Mapping[str, str | Column]) -> DataFrame:
     """One vertex per row (op 10)."""
@@ -64,10 +79,10 @@ def edge_property_max(vertices: DataFrame, edges: DataFrame, name_prop: str,
     names (which may repeat across identifiers) are grouped again.
     """
     per_subject = (edges.groupBy("subject_identifier", "subject_type")
-                        .agg(F.max(json_get("properties", edge_prop, cast)).alias("_m")))
+                        .agg(F.max(_property(edges, edge_prop, cast)).alias("_m")))
     v = vertices.select(F.col("identifier").alias("subject_identifier"),
                         F.col("type").alias("subject_type"),
-                        json_get("properties", name_prop).alias(name_prop))
+                        _property(vertices, name_prop).alias(name_prop))
     j = v.join(per_subject, ["subject_identifier", "subject_type"], "inner")
     return (j.groupBy(name_prop).agg(F.max("_m").alias(f"max_{edge_prop}"))
              .orderBy(F.col(f"max_{edge_prop}").desc_nulls_first(), F.col(name_prop)))
@@ -88,10 +103,10 @@ def edge_ratio_report(vertices: DataFrame, edges: DataFrame, object_type: str,
     """
     v = vertices.select(F.col("identifier").alias("subject_identifier"),
                         F.col("type").alias("subject_type"),
-                        json_get("properties", name_prop).alias(name_prop),
-                        safe_ratio(json_get("properties", num_prop, "double"),
-                                   json_get("properties", den_prop, "double")).alias("ratio"))
+                        _property(vertices, name_prop).alias(name_prop),
+                        safe_ratio(_property(vertices, num_prop, "double"),
+                                   _property(vertices, den_prop, "double")).alias("ratio"))
     e = edges.where(F.col("object_type") == object_type)
     j = e.join(v, ["subject_identifier", "subject_type"], "inner")
     return j.select(name_prop, "object_identifier", "ratio",
-                    *[json_get("properties", p).alias(p) for p in edge_props])
+                    *[_property(edges, p).alias(p) for p in edge_props])

@@ -124,6 +124,44 @@ def month_visitors(visitors: DataFrame, key: str = "host") -> DataFrame:
     return visitors.select(key, F.trunc("date", "month").alias("month_start"), "visitor").distinct()
 
 
+def _bitmaps(events: DataFrame, cond: Column, month: Column, key: str, visitor: str) -> DataFrame:
+    ev = events.where(cond & F.col(key).isNotNull() & F.col(visitor).isNotNull())
+    return (ev.groupBy(key, month.alias("month_start"), F.bitmap_bucket_number(visitor).alias("bucket"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(visitor)).alias("bitmap")))
+
+
+def host_visitor_bitmaps_of_day(events: DataFrame, day: dt.date, key: str = "host", visitor: str = "user_id",
+                                ts: str = "ts") -> DataFrame:
+    """(host, month_start, bucket, bitmap): one day's visitors, a bit each (op 30 with integer visitors).
+
+    A bitmap has a fixed size and stands for the ids of one bucket, so no row grows with a popular host and
+    none is lost: counts are exact. A partial aggregate builds a hot host's bitmaps on the mappers. For ids that are
+    scattered over a wide range, where a bucket holds few visitors, keep them as rows (``host_visitors_of_day``).
+    """
+    return _bitmaps(events, on_day(ts, day), F.lit(_month(day)), key, visitor)
+
+
+def host_visitor_bitmaps_as_of(events: DataFrame, day: dt.date, key: str = "host", visitor: str = "user_id",
+                               ts: str = "ts") -> DataFrame:
+    """The month's bitmaps up to ``day`` straight from events (seed / check)."""
+    return _bitmaps(events, between_days(ts, _month(day), day), F.lit(_month(day)), key, visitor)
+
+
+def merge_visitor_bitmaps(prev: DataFrame, today: DataFrame, key: str = "host") -> DataFrame:
+    """The month's bitmaps with a day's merged in: an OR per (host, month, bucket), without the rows behind them.
+
+    Merging a day again changes nothing; months that ``today`` has no rows of come out as they are.
+    """
+    cols = [key, "month_start", "bucket"]
+    both = prev.select(*cols, "bitmap").unionByName(today.select(*cols, "bitmap"))
+    return both.groupBy(*cols).agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def month_visitor_counts(bitmaps: DataFrame, key: str = "host") -> DataFrame:
+    """(host, month_start, n_visitors): distinct visitors, the bits of a month's bitmaps."""
+    return bitmaps.groupBy(key, "month_start").agg(F.sum(F.bitmap_count("bitmap")).alias("n_visitors"))
+
+
 def unpack_month_arrays(t: DataFrame, array_col: str = "metric_array",
                         group: tuple[str, ...] = ("metric_name",)) -> DataFrame:
     """Element-wise sum across entities, one row per day (op 31).
