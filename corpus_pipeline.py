@@ -11,29 +11,48 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import once, parquet, shuffle_parts
 from tessera.llm.jaccard import one_per_class
-from tessera.llm.langid import held_out, identify_language
+from tessera.llm.langid import accepted, cutoffs, held_out, learn_languages, predict_languages
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import keep_good
 from tessera.llm.suffixdedup import suffix_dedup
 from tessera.session import fresh_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-MIN_LANGUAGE_SCORE = 0.35        # probability of the predicted language: hardly above chance among three or four
+FALSE_REJECTION = 0.002          # share of labelled documents, per language, that the language stage may reject
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base test and the certified rules keep."""
+    """Documents that the base test and the certified rules keep.
+
+    A null or empty text fails the base test and goes; rows that repeat an id are judged each on its own text; a null id has
+    no label and is judged by the rules; a stratum without enough labels has the base test alone; an empty table stays empty.
+    """
     return keep_good(docs.select(COLUMNS), parquet(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language: not ``und``, and predicted with a fair score."""
-    found = identify_language(docs.select(COLUMNS), F.col("doc_id").isNotNull() & ~held_out(), whole_rows=True)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("row.*")
+    """Documents in a known language, by the language that their text shows.
+
+    The model learns from labelled documents but for a third of the ids (``held_out``). On that third, per predicted
+    language, the least score and byte coverage are set so that at most ``FALSE_REJECTION`` of it would go; a document
+    below either goes, as text unlike any that was learned from does. Null and empty texts and texts without a letter go
+    (``und``); rows that repeat an id are judged each on its own text, a null id is neither learned from nor held
+    out; a language without a held-out document has no cutoffs and keeps all of its own; without a labelled document there
+    is no known language and all go; an empty table stays empty.
+    """
+    docs = docs.select(COLUMNS)
+    model = learn_languages(docs, F.col("doc_id").isNotNull() & ~held_out())
+    told = predict_languages(docs.where(held_out() & F.col("lang").isNotNull()), model)
+    cuts = {lang: (0.0, 0.0) for lang in model[0]} | cutoffs(told, FALSE_REJECTION) if model else {}
+    return predict_languages(docs, model, whole_rows=True).where(accepted(cuts)).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the least id."""
+    """One document of each class of near duplicates: the one with the least id.
+
+    Texts without words are in no class and stay; rows with a null id stay; of equal rows one stays, of unlike texts of one id
+    each is judged by its own; an empty table stays empty.
+    """
     return one_per_class(docs.select(COLUMNS))
 
 
@@ -49,14 +68,22 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that also occur earlier; each text of a repeated id is cut by its own."""
+    """All documents, without the passages that also occur earlier; each text of a repeated id is cut by its own.
+
+    A null text becomes an empty one; rows with a null id come out whole; equal rows are one text, each is returned; an empty
+    table stays empty. ``n_chars`` is that of what is left.
+    """
     cut = suffix_dedup(_numbered(docs.select(COLUMNS)), "number", as_text=True, carry=("doc_id", "lang", "source"))
     return cut.select("row.doc_id", F.col("kept").alias("text"), "row.lang", "row.source",
                       F.length("kept").cast("long").alias("n_chars"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents as token pieces packed into sequences."""
+    """All documents as token pieces packed into sequences.
+
+    A null or empty text is the closing id alone; every row is packed, also with a null or repeated id; an empty table gives
+    no pieces.
+    """
     import public_tokenizers
     return pack_documents(docs.select(COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
 
