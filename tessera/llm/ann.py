@@ -4,12 +4,13 @@ A table turns unit vectors by a pseudo-random rotation (three rounds of random s
 transform, zero-padded to a power of two) and hashes each to its nearest signed axis. Every row is indexed in
 all tables; a query looks into the buckets of its nearest ``probes`` axes of each (multiprobe). Distances in the
 buckets are exact, in double precision on the original vectors; a bucket hands on a query's best ``k``
-only. With ``hashes`` rotations per table a bucket is a tuple of axes, for tables whose buckets would
-otherwise grow too large.
+only. With ``hashes`` rotations per table a bucket is a tuple of axes. Their number follows from the counted
+rows: the least one with at most ``BUCKET`` rows in a mean bucket; a table of several rotations finds a near row less often,
+so the number of tables grows by the law of independent tables, for the same recall.
 
 Rows with equal vectors differ in their id only, so the k + 1 least ids of each vector are indexed; no
 other could be among k nearest. A bucket of more than ``SPLIT`` rows is dealt to several tasks, each with the
-bucket's queries. A query that found fewer than k rows is compared with all rows, in blocks.
+bucket's queries. A query that found fewer than k rows is compared with all rows of its length, in blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do rows
 with a null id; vectors of different length are never near; rows that share an id are one
@@ -18,6 +19,7 @@ candidate, at its least distance; an empty table gives an empty result; other co
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from itertools import product
 
@@ -30,6 +32,17 @@ from tessera.llm.common import mix, once, shuffle_parts
 from tessera.llm.groups import sorted_groups
 
 SPLIT = 20_000
+BUCKET = 20_000
+RECALL = 0.95                    # what ``tables`` of one rotation are taken to reach
+
+
+def plan_tables(n: int, axes: int, tables: int, probes: int) -> tuple[int, int, int]:
+    """(hashes, tables, probes) for n rows whose rotations have so many signed axes."""
+    hashes = 1
+    while n / axes ** hashes > BUCKET:
+        hashes += 1
+    found = 1 - (1 - RECALL) ** (1 / tables)         # by one table of one rotation
+    return hashes, tables if hashes == 1 else math.ceil(math.log(1 - RECALL) / math.log(1 - found ** hashes)), probes ** hashes
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -139,8 +152,11 @@ def _nearest(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10,
-                       tables: int = 20, probes: int = 8, hashes: int = 1) -> DataFrame:
-    """(query_id, rank, id, score): each query's k nearest other rows found; ``is_query`` is a condition on ``vectors``."""
+                       tables: int = 20, probes: int = 3, hashes: int | None = None) -> DataFrame:
+    """(query_id, rank, id, score): each query's k nearest other rows found; ``is_query`` is a condition on ``vectors``.
+
+    Without ``hashes`` the rows are counted, and the three numbers become those of ``plan_tables``.
+    """
     flat = F.col("vector")
     usable = (flat.isNotNull() & F.col("id").isNotNull() & F.exists(flat, lambda v: v != 0)
               & F.forall(flat, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))))
@@ -152,6 +168,9 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     same = Window.partitionBy("vector").orderBy("id")
     index = rows.select("id", "vector").distinct().withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).select("id", "vector")
     queries = rows.where("asks").select("id", "vector").distinct()
+    if hashes is None:
+        n, length = rows.agg(F.count(F.lit(1)), F.min(F.size("vector"))).first()
+        hashes, tables, probes = plan_tables(n, 2 << max(1, ((length or 1) - 1).bit_length()), tables, probes)
     schema = f"id long, vector {kind}, keys array<long>"
     indexed = index.mapInArrow(lambda it: _hash_batches(it, tables, hashes, 1), schema) \
         .select("id", "vector", F.explode("keys").alias("bucket"))
@@ -174,8 +193,9 @@ def nearest_neighbours(vectors: DataFrame, is_query, id_col: str = "vec_id", vec
     if not short.isEmpty():
         blocks = max(1, -(-index.count() // SPLIT))
         block = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-        more = _nearest(index.withColumn("bucket", F.lit(0).cast("long")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(blocks))),
-                        short.withColumn("bucket", F.lit(0).cast("long")).withColumn("part", F.explode(block)), k)
+        length = F.size("vector").cast("long")
+        more = _nearest(index.withColumn("bucket", length).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(blocks))),
+                        short.withColumn("bucket", length).withColumn("part", F.explode(block)), k)
         found = _best(found.select("query_id", "id", "score").unionByName(more), k)
     return found.select("query_id", "rank", F.col("id").alias(id_col), "score")
 

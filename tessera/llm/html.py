@@ -4,12 +4,14 @@ A page is read into blocks (runs of text between block tags) and containers. Eve
 the prose it holds itself plus half of what its inner containers hold; text in links counts against it. The best
 container votes, for its host, on its generalised path: tags and classes from the root, digits
 replaced. Spark counts the votes (combined before the shuffle, so a host with a third of all pages costs a
-row per task and path). Each host's leading paths are then applied to all its pages: a page
+row per task and path). Before it votes, a container outside an article or main element is climbed up from while headings
+or unmarked prose stand beside it, so an article in several containers is whole. Each host's leading paths are then applied to all its pages: a page
 yields the blocks under the first leading path it has, else under its own best container. Menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by tag, role
 and class wherever they lie. Classes and ids don't drop what the page's only article or main elements lie in,
 nor, without such elements, what holds more than half of the prose (unless they name comments or related pages,
-which may be longer than the article); a page with prose that would come out empty by them is read without them.
+which may be longer than the article), nor, for a weak word, a heading or paragraph inside the article that isn't mostly links. Of sibling
+articles with prose all are taken. A page with prose that would come out empty by them is read without them.
 
 In a block, character references are decoded and white space becomes one space; blocks are joined by one
 line break. Defined results: a null or empty page, or one without prose, gives an empty text; a
@@ -42,6 +44,8 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody
 tfoot thead tr ul option select button #""".split())          # "#" is the page itself
 _HOLDS_TEXT = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote figcaption caption tr td th summary legend address".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt pre blockquote figcaption caption td th".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _INLINE_SPACE = frozenset(("br", "td", "th", "img", "input", "wbr"))
 _DROP_TAGS = frozenset("nav footer aside form button select head menu dialog fieldset label input".split())
 # words of a class, id or role that mark what isn't the article
@@ -60,11 +64,12 @@ _SCOPE = frozenset("table ul ol dl div article section main body html nav aside
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "score", "link", "inner", "by_word")
+    __slots__ = ("tag", "parent", "path", "dropped", "score", "link", "inner", "by_word", "strong")
 
     def __init__(self, tag, parent, path, dropped, link, by_word):
         self.tag, self.parent, self.path, self.dropped, self.link = tag, parent, path, dropped, link
         self.by_word = by_word                       # a word of class, id or role: 1 drops it, 2 also if it holds most prose
+        self.strong = True                           # such a word is strong
         self.score = 0.0
         self.inner = False
 
@@ -111,6 +116,13 @@ def _drop_by_words(blocks: list[tuple[str, int, _Node]], nodes: list[_Node]) ->
         if k == min(depth):                          # deeper ones may be comments
             for up in _up(node):
                 up.by_word = 0
+    for node in nodes:
+        # a heading or paragraph of the article isn't boilerplate for a weak word alone ("header", "share-price")
+        if node.by_word == 1 and not node.strong and node.tag in _PROSE and any(up.tag in ("article", "main") for up in _up(node.parent)):
+            size = sum(len(t) for t, _, n in blocks if any(up is node for up in _up(n)))
+            links = sum(k for _, k, n in blocks if any(up is node for up in _up(n)))
+            if 2 * links <= size:
+                node.by_word = 0
     prose: dict[int, int] = {}
     total = 0
     for text, linked, node in blocks:
@@ -208,6 +220,7 @@ def read_page(html: str) -> list[tuple[str, int, _Node]]:
         path = f"{top.path}>{tag}.{classes}" if classes else f"{top.path}>{tag}"
         top = _Node(tag, top, path if tag in _BLOCK else top.path, _is_dropped(tag, hidden, top),
                     top.link or tag == "a", _drops_by_word(tag, words))
+        top.strong = bool(words & _STRONG_DROP)
         nodes.append(top)
     close_block()
     _drop_by_words(blocks, nodes)
@@ -244,14 +257,59 @@ def best_container(blocks: list[tuple[str, int, _Node]]) -> _Node | None:
         node.score *= factor
         if node.score > 0 and (best is None or node.score > best.score):
             best = node
-    node = best
-    while node is not None:
+    for node in _up(best):
         if node.tag in ("article", "main"):
             return node
-        node = node.parent
+    return _climbed(best, blocks) if best is not None else None
+
+
+SIBLING = 60                     # characters of prose for which a part beside the best container counts
+
+
+def _parts(parent: _Node, blocks: list[tuple[str, int, _Node]]) -> dict[int, list]:
+    """Of each child of ``parent`` that isn't dropped: [child, characters, characters in links]."""
+    out: dict[int, list] = {}
+    for text, linked, node in blocks:
+        if node.dropped or node is parent:
+            continue
+        child = next((up for up in _up(node) if up.parent is parent), None)
+        if child is not None:
+            part = out.setdefault(id(child), [child, 0, 0])
+            part[1] += len(text)
+            part[2] += linked
+    return out
+
+
+def _climbed(best: _Node, blocks: list[tuple[str, int, _Node]]) -> _Node:
+    """The container of the whole article: up from the best one while beside it stand headings or unmarked prose.
+
+    The body is taken only for a heading or paragraph of its own, not for other containers.
+    """
+    node = best
+    while node.parent is not None and node.parent.tag not in ("#", "html"):
+        parent = node.parent
+        if parent.tag not in _BLOCK or parent.tag in _HOLDS_TEXT:
+            node = parent
+            continue
+        beside = [(c, n, k) for c, n, k in _parts(parent, blocks).values() if c is not node and 3 * k <= n]
+        own = any(c.tag in _HEADINGS or c.tag in _HOLDS_TEXT and n >= SIBLING for c, n, k in beside)
+        if not own and (parent.tag == "body" or not any(n >= SIBLING for _, n, _ in beside)):
+            break
+        node = best = parent
     return best
 
 
+def _with_siblings(chosen: list[_Node], blocks: list[tuple[str, int, _Node]]) -> set[int]:
+    """The chosen containers; beside an article element also its sibling articles with prose of their own."""
+    out = {id(c) for c in chosen}
+    for c in chosen:
+        if c.tag == "article" and c.parent is not None:
+            parts = _parts(c.parent, blocks)
+            least = max(SIBLING, parts[id(c)][1] // 5) if id(c) in parts else SIBLING
+            out |= {id(x) for x, n, k in parts.values() if x.tag == "article" and n - 3 * k >= least}
+    return out
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", url or "")
     return m[1].lower() if m else ""
@@ -260,22 +318,19 @@ def host_of(url: str | None) -> str:
 def extract(html: str, leading: list[str]) -> str:
     """Text of the blocks under the first leading path the page has, else under its best container."""
     blocks = read_page(html)
-    paths: dict[int, list[_Node]] = {}
-    for _, _, node in blocks:
-        if id(node) not in paths:
-            chain, up = [], node
-            while up is not None:
-                chain.append(up)
-                up = up.parent
-            paths[id(node)] = chain
+    paths = {id(node): list(_up(node)) for _, _, node in blocks}
+
+    def under(chosen: list[_Node]) -> list[str]:
+        ids = _with_siblings(chosen, blocks)
+        return [t for t, _, n in blocks if not n.dropped and any(id(c) in ids for c in paths[id(n)])]
+
     for path in leading:
-        texts = [t for t, _, n in blocks if not n.dropped and any(c.path == path for c in paths[id(n)])]
+        chosen = {id(c): c for _, _, n in blocks if not n.dropped for c in paths[id(n)] if c.path == path}
+        texts = under(list(chosen.values())) if chosen else []
         if texts:
             return "\n".join(texts)
     best = best_container(blocks)
-    if best is None:
-        return ""
-    return "\n".join(t for t, _, n in blocks if not n.dropped and any(c is best for c in paths[id(n)]))
+    return "\n".join(under([best])) if best is not None else ""
 
 
 def _vote_batches(batches):

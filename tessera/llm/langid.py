@@ -9,6 +9,11 @@ probabilities are the normalised geometric mean over its windows, weighted by th
 the tasks, where the convolution of a width is a sum of table rows: a table of 65,536
 rows holds each byte pair's share of every filter.
 
+The sample also tells what text of these languages looks like: ``coverage`` is the share of a text's byte triples that
+occur in a training window (a table of 2^24 bits). A softmax must choose a language for anything; text in another script or
+language and letters without sense have a low coverage whatever is chosen. ``cutoffs`` sets, per predicted language, the least
+coverage and score from labelled texts that weren't learned from, at a stated rate of false rejections.
+
 Defined results: a null text or one without a letter is ``und`` with score 0; with no labelled text
 at all every text is; ties go to the first label in order; an empty table gives an
 empty result; a null id is never held out and never learned from; other columns are ignored.
@@ -141,8 +146,8 @@ def _windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _learn(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str,
-           docs_per_lang: int, windows_per_doc: int) -> tuple[list[str], list, np.ndarray, np.ndarray] | None:
-    """Train on the sample; None when nothing is labelled."""
+           docs_per_lang: int, windows_per_doc: int) -> tuple | None:
+    """The model trained on the sample (labels, convolution tables, last layer, known triples); None when nothing is labelled."""
     pool = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r[0]: r[1] for r in pool.groupBy(lang_col).count().collect()}
     if not counts:
@@ -167,8 +172,30 @@ def _learn(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
             y.append(np.full(len(w), labels.index(r.lang)))
     if not x:
         return None
-    net = ByteCNN(len(labels)).fit(np.concatenate(x), np.concatenate(y))
-    return labels, net.tables(), net.p["V"], net.p["c"]
+    windows = np.concatenate(x)
+    net = ByteCNN(len(labels)).fit(windows, np.concatenate(y))
+    return labels, net.tables(), net.p["V"], net.p["c"], known_triples(windows)
+
+
+def known_triples(windows: np.ndarray) -> np.ndarray:
+    """Packed bits: which byte triples the windows hold."""
+    seen = np.zeros(1 << 24, bool)
+    w = windows.astype(np.int32)
+    triple = (w[:, :-2] << 16) | (w[:, 1:-1] << 8) | w[:, 2:]
+    seen[triple[w[:, 2:] > 0]] = True                # not the padding
+    return np.packbits(seen)
+
+
+def coverage(data: np.ndarray, offsets: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Share of each row's byte triples that are known; 0 for a row without one."""
+    hit = np.zeros(len(data) + 1, np.int64)
+    if len(data) > 2:
+        w = data.astype(np.int32)
+        triple = (w[:-2] << 16) | (w[1:-1] << 8) | w[2:]
+        np.cumsum((seen[triple >> 3] >> (7 - (triple & 7)).astype(np.uint8)) & 1, out=hit[1:-2])
+        hit[-2:] = hit[-3]
+    end = np.maximum(offsets[1:] - 2, offsets[:-1])
+    return (hit[end] - hit[offsets[:-1]]) / np.maximum(end - offsets[:-1], 1)
 
 
 def _sample_windows(batches, windows_per_doc: int):
@@ -183,34 +210,64 @@ def _sample_windows(batches, windows_per_doc: int):
                                          ["lang", "key", "windows"])
 
 
-def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang", docs_per_lang: int = 600, windows_per_doc: int = 6,
-                      whole_rows: bool = False) -> DataFrame:
-    """(id, lang_pred, score) of every row; ``learn`` says which rows may be learned from.
+def learn_languages(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                    docs_per_lang: int = 600, windows_per_doc: int = 6) -> tuple | None:
+    """A model for ``predict_languages``; ``learn`` says which rows may be learned from. None when nothing is labelled."""
+    return _learn(docs, learn, id_col, text_col, lang_col, docs_per_lang, windows_per_doc)
+
+
+def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                      docs_per_lang: int = 600, windows_per_doc: int = 6, whole_rows: bool = False) -> DataFrame:
+    """(id, lang_pred, score, coverage) of every row; ``learn`` says which rows may be learned from.
 
     With ``whole_rows`` also the row itself, as struct ``row``.
     """
     model = _learn(docs, learn, id_col, text_col, lang_col, docs_per_lang, windows_per_doc)
+    return predict_languages(docs, model, id_col, text_col, whole_rows)
+
+
+def cutoffs(found: DataFrame, false_rejection: float = 0.01) -> dict[str, tuple[float, float]]:
+    """lang_pred -> (least score, least coverage) such that of the labelled rows ``found`` (lang_pred, score, coverage), which
+    weren't learned from, at most the stated share lies below either. All rows count; one row a language reaches the driver."""
+    at = F.lit(false_rejection / 2)
+    rows = found.where(F.col("lang_pred") != "und").groupBy("lang_pred").agg(
+        *(F.percentile_approx(c, at, F.lit(100_000)).alias(c) for c in ("score", "coverage"))).collect()
+    return {r.lang_pred: (r.score, r.coverage) for r in rows}
+
+
+def accepted(cuts: dict[str, tuple[float, float]]) -> Column:
+    """Rows (lang_pred, score, coverage) in a language with cutoffs, and above them."""
+    ok = F.lit(False)
+    for lang, (score, cover) in cuts.items():
+        ok = ok | ((F.col("lang_pred") == lang) & (F.col("score") >= score) & (F.col("coverage") >= cover))
+    return ok
+
+
+def predict_languages(docs: DataFrame, model: tuple | None, id_col: str = "doc_id", text_col: str = "text",
+                      whole_rows: bool = False) -> DataFrame:
+    """(id, lang_pred, score, coverage) of every row by a model of ``learn_languages``."""
     row = [F.struct(*docs.columns).alias("row")] if whole_rows else []
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                          F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)).alias("letters"), *row)
     if model is None:
-        return narrow.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
+        return narrow.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("coverage"),
                              *(["row"] if row else []))
-    schema = T.StructType([narrow.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+    schema = T.StructType([narrow.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("coverage", T.DoubleType()),
                            *(narrow.schema["row"] for _ in row)])
-    labels, tables, V, c = model
+    labels, tables, V, c, triples = model
 
     def run(batches):
         for b in batches:
             data, offsets = text_buffers(b.column(1))
             has = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
             total = np.zeros((len(offsets) - 1, len(labels)))
+            known = np.zeros(len(total))
             step = 256                                   # rows at a time
             for i in range(0, len(total), step):
                 j = min(i + step, len(total))
                 part = offsets[i:j + 1]
                 w, row, size = _windows(data[part[0]:part[-1]], part - part[0])
+                known[i:j] = coverage(data[part[0]:part[-1]], part - part[0], triples)
                 for k in range(0, len(w), 1024):         # windows at a time
                     prob = np.log(predict_windows(w[k:k + 1024], tables, V, c) + 1e-9)
                     np.add.at(total, row[k:k + 1024] + i, prob * size[k:k + 1024, None])
@@ -220,8 +277,9 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
             score = np.where(has, 1 / share.sum(1), 0.0)
             pred = np.where(has, np.array(labels, object)[best], "und")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), *b.columns[3:]],
-                ["id", "lang_pred", "score", *b.schema.names[3:]])
+                [b.column(0), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64()), pa.array(known),
+                 *b.columns[3:]],
+                ["id", "lang_pred", "score", "coverage", *b.schema.names[3:]])
 
     return narrow.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 

@@ -1,7 +1,8 @@
 """Operator 7: sharding by a Feistel permutation with cycle walking. DataFrame operations only.
 
 Rows get global numbers 0 .. n-1: they are dealt to buckets by a hash, numbered within each, and a bucket's
-offset is the rows of the buckets before it; no task sees more than its buckets. The number x is
+offset is the rows of the buckets before it; rows equal in id, size and checksum are counted first and travel as
+one, so no task sees more than its buckets, however many copies there are. The number x is
 then permuted: as a pair (x div b, x mod b) with a * b >= n it goes through Feistel rounds that
 add a keyed hash of one half to the other (modulo a or b), a bijection of 0 .. a*b - 1; a result of n or
 more is permuted again until it is below n (cycle walking), a bijection of 0 .. n-1. The place y is
@@ -27,17 +28,32 @@ ROUNDS = 6
 OFFSET_ROWS = 1_000_000          # bucket offsets (16 bytes each) are broadcast up to so many
 
 
-def number_rows(rows: DataFrame, *order: str) -> tuple[DataFrame, int]:
-    """``rows`` with their number, and how many there are."""
+def number_rows(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with their number, and how many there are.
+
+    Equal rows are counted, not moved: a group of them takes the numbers from its first one on, so any number of
+    copies is one row until it is written out, in chunks of ``BUCKET_ROWS``.
+    """
+    order = rows.columns
     n = rows.count()
     count = max(1, -(-n // BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(count)))
-    sizes = rows.groupBy("bucket").count()
+    groups = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("same")).withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(count)))
+    sizes = groups.groupBy("bucket").agg(F.sum("same").alias("count"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*order))
-    numbered = rows.withColumn("rank", rank).join(F.broadcast(offsets) if count <= OFFSET_ROWS else offsets, "bucket")
-    return numbered.withColumn("number", F.col("offset") + F.col("rank") - 1).drop("bucket", "rank", "offset"), n
+    up_to = F.sum("same").over(Window.partitionBy("bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    placed = groups.withColumn("up_to", up_to).join(F.broadcast(offsets) if count <= OFFSET_ROWS else offsets, "bucket")
+    placed = placed.select(*order, "same", (F.col("offset") + F.col("up_to") - F.col("same")).alias("first"))
+    few = placed.where(F.col("same") <= BUCKET_ROWS).select(*order, F.explode(_run(F.col("first"), F.col("same"))).alias("number"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("same") - 1, F.lit(BUCKET_ROWS)))).alias("chunk")
+    many = placed.where(F.col("same") > BUCKET_ROWS).select(*order, "first", "same", chunk).repartition("first", "chunk")
+    begin = F.col("chunk") * BUCKET_ROWS
+    many = many.select(*order, F.explode(_run(F.col("first") + begin, F.least(F.col("same") - begin, F.lit(BUCKET_ROWS)))).alias("number"))
+    return few.unionByName(many), n
+
+
+def _run(first: Column, count: Column) -> Column:
+    return F.sequence(first, first + count - 1)
 
 
 def permuted(number: Column, n: int, seed: int) -> Column:
@@ -71,7 +87,7 @@ def feistel_shards(docs: DataFrame, shards: int = 8, seed: int = 20240501, id_co
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = once(docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                             F.crc32(text.cast("binary")).cast("long").alias("text_crc32")))
-    numbered, n = number_rows(rows, "id", "size", "text_crc32")
+    numbered, n = number_rows(rows)
     placed = numbered.withColumn("place", permuted(F.col("number"), n, seed))
     return placed.select(F.col("id").alias(id_col), "size", "text_crc32", "number", "place",
                          (F.col("place") % shards).cast("int").alias("shard"),
