@@ -226,13 +226,20 @@ def identify_language(docs: DataFrame, learn: Column, id_col: str = "doc_id", te
     return predict_languages(docs, model, id_col, text_col, whole_rows)
 
 
+FAMILIAR = 0.75                  # least coverage, as a share of a language's median
+
+
 def cutoffs(found: DataFrame, false_rejection: float = 0.01) -> dict[str, tuple[float, float]]:
     """lang_pred -> (least score, least coverage) such that of the labelled rows ``found`` (lang_pred, score, coverage), which
-    weren't learned from, at most the stated share lies below either. All rows count; one row a language reaches the driver."""
-    at = F.lit(false_rejection / 2)
+    weren't learned from, at most the stated share lies below either.
+
+    The least coverage is never under ``FAMILIAR`` of the language's median, so a few rows with a wrong label can't let in what
+    is unlike the language. All rows count; one row a language reaches the driver.
+    """
+    at = F.array(F.lit(false_rejection / 2), F.lit(0.5))
     rows = found.where(F.col("lang_pred") != "und").groupBy("lang_pred").agg(
         *(F.percentile_approx(c, at, F.lit(100_000)).alias(c) for c in ("score", "coverage"))).collect()
-    return {r.lang_pred: (r.score, r.coverage) for r in rows}
+    return {r.lang_pred: (r.score[0], max(r.coverage[0], FAMILIAR * r.coverage[1])) for r in rows}
 
 
 def accepted(cuts: dict[str, tuple[float, float]]) -> Column:
