@@ -83,7 +83,7 @@ FOREIGN = ["Η γλώσσα είναι ένα σύστημα επικοινων
 def test_language_stage_rejects_foreign_text_and_junk(spark):
     real = spark.read.parquet(f"{SF}/documents.parquet").select(corpus_pipeline.COLUMNS)
     ids = real.agg(F.max("doc_id")).first()[0]
-    odd = [(ids + 1 + i, t, "en", "s", len(t or "")) for i, t in enumerate([*FOREIGN, None, "", "12 ## 34"])]
+    odd = [(ids + 1 + i, t, None, "s", len(t or "")) for i, t in enumerate([*FOREIGN, None, "", "12 ## 34"])]
     docs = corpus_pipeline.quality_stage(spark, real, SF).unionByName(spark.createDataFrame(odd, real.schema))
     clean = docs.where(F.col("doc_id") <= ids).count()
     kept = corpus_pipeline.language_stage(spark, docs, SF)
@@ -111,12 +111,14 @@ def test_stages_take_odd_rows_and_empty_tables(spark, docs, no_docs):
 
 def test_cutoffs_hold_the_stated_rate(spark):
     rng = random.Random(6)
-    rows = [("aa" if i % 2 else "bb", rng.random(), rng.random()) for i in range(5000)] + [("und", 0.0, 0.0)] * 50
+    rows = [("aa" if i % 2 else "bb", rng.random(), 0.8 + 0.2 * rng.random()) for i in range(5000)] + [("und", 0.0, 0.0)] * 50
     df = spark.createDataFrame(rows, "lang_pred string, score double, coverage double")
     cuts = cutoffs(df, 0.1)
     assert set(cuts) == {"aa", "bb"}
     kept = df.where(accepted(cuts)).groupBy("lang_pred").count().collect()
     assert all(0.9 * 2500 <= r["count"] <= 0.92 * 2500 for r in kept) and len(kept) == 2
+    odd = df.unionByName(spark.createDataFrame([("aa", 0.0, 0.01)] * 500, df.schema))      # with a wrong label
+    assert cutoffs(odd, 0.1)["aa"][1] > 0.6
 
 
 def test_model_and_prediction_apart(spark, docs):
