@@ -21,10 +21,11 @@ on the input.
    bytes (merged lengths) and what precedes on ``a`` bytes (ranks of the reversed contexts): an exact
    test per distance, one grouping for all anchors of the bucket. All but the first of a group are duplicates.
 
-Texts are shuffled once, by id, and serve steps 3 and the removal. A bucket of more than
-``BUCKET`` anchors (a third of all texts may share a passage; at its edges their contexts differ) isn't
-held by one task: its runs are streamed and give one row per window, with the hash of its whole string,
-which Spark groups evenly; all but the first of a group are duplicates.
+Texts are shuffled once, by id, and serve steps 3 and the removal. There are as many buckets as the
+counted anchors fill at ``ANCHORS`` each, so an ordinary bucket is merged whatever the size of a shuffle partition. Only a
+bucket that one very frequent substring fills beyond ``BUCKET`` (a third of all texts may share a passage; at its edges their
+contexts differ) isn't held by one task: its runs are streamed and give one row per window, with the digest
+(BLAKE2, 128 bits) of its whole string, which Spark groups evenly; all but the first of a group are duplicates.
 
 Defined results: a null text is empty (0 bytes, nothing removed); rows with a null id come out whole and
 serve no other row; rows that repeat id and text are one text, each row is returned; rows that share an id but
@@ -34,12 +35,14 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, prefix_sums, shuffle_parts, span_hash, text_slices
+from tessera.llm.common import mix, once, prefix_sums, shuffle_parts, span_hash, text_slices
 from tessera.llm.groups import partition_labels, sorted_groups
 
 LENGTH = 100
@@ -48,6 +51,7 @@ REACH = LENGTH - GRAM            # furthest an anchor lies behind its window's s
 RUN = 100_000                    # anchors in a sorted run
 SEEN = 4_000_000                 # substring hashes that a task keeps to know its repeats
 BUCKET = 400_000                 # anchors that one task merges
+ANCHORS = 150_000                # anchors for which a bucket is made
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray):
@@ -119,7 +123,7 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     found = docs.select("id", "text").where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
         _anchor_batches, "key long, id long, place long, sure boolean")
     found = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
-    return found.where("(sure OR n > 1) AND id IS NOT NULL").groupBy("id").agg(F.collect_list("place").alias("places"))
+    return found.where("(sure OR n > 1) AND id IS NOT NULL").groupBy("id").agg(F.collect_set("place").alias("places"))
 
 
 # ---- sorted runs -------------------------------------------------------------------------------
@@ -377,18 +381,18 @@ def _window_batches(batches):
                 now, at = now[:c] + rests[at:at + n - c], at + n - c
                 right[i, :n] = np.frombuffer(now, np.uint8)
             whole = np.concatenate([left[:, ::-1], right], 1)          # the anchor stands at column REACH
-            sums = prefix_sums(whole.reshape(-1))
-            other = prefix_sums(whole[:, ::-1].reshape(-1))
-            row = np.arange(len(ids)) * (REACH + LENGTH)
-            for a in range(REACH + 1):
-                mine = np.flatnonzero((LENGTH - right_len <= a) & (a <= left_len))
-                if len(mine):
-                    start = row[mine] + REACH - a
-                    back = row[mine] + LENGTH - (LENGTH - a)           # the same bytes in the reversed row
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(span_hash(sums, start, start + LENGTH).view(np.int64)),
-                         pa.array(span_hash(other, back, back + LENGTH).view(np.int64)),
-                         pa.array(ids[mine]), pa.array(q[mine] - a)], ["h1", "h2", "id", "start"])
+            for k in range(0, len(ids), 2000):                         # anchors at a time: up to 69 windows each
+                who, begin, digest = [], [], []
+                for i in range(k, min(k + 2000, len(ids))):
+                    text = whole[i].tobytes()
+                    for a in range(LENGTH - int(right_len[i]), int(left_len[i]) + 1):
+                        who.append(i)
+                        begin.append(q[i] - a)
+                        digest.append(blake2b(text[REACH - a:REACH - a + LENGTH], digest_size=16).digest())
+                if who:
+                    h = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1])),
+                                                      pa.array(ids[who]), pa.array(np.array(begin, np.int64))], ["h1", "h2", "id", "start"])
 
 
 def _large_bucket_spans(runs: DataFrame) -> DataFrame:
@@ -444,6 +448,17 @@ def _cut_batches(batches, as_text: bool):
              *b.columns[2:-1]], ["id", "n_bytes", "span_starts", "span_ends", "kept", *b.schema.names[2:-1]])
 
 
+def bucketed_runs(docs: DataFrame) -> DataFrame:
+    """(bucket, n, blob, total): the sorted runs of (id, text, ...) and the anchors of their bucket."""
+    places = once(repeated_anchors(docs))
+    n = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    parts = max(shuffle_parts(docs), -(-n // ANCHORS))
+    labels = partition_labels(docs.sparkSession, parts)
+    runs = docs.join(places, "id", "left").mapInArrow(lambda it: _run_batches(it, labels), "bucket long, n long, blob binary")
+    # the window reads a bucket's rows in order, after one shuffle that both branches share
+    return runs.repartition(parts, "bucket").withColumn("total", F.sum("n").over(Window.partitionBy("bucket")))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False,
                  carry: tuple[str, ...] = ()) -> DataFrame:
     """(id, n_bytes, span_starts, span_ends, kept) of every row: the removed spans and the bytes that stay.
@@ -453,15 +468,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     row = [F.struct(*carry).alias("row")] if carry else []
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *row)
-    parts = shuffle_parts(docs)
-    with_places = docs.join(repeated_anchors(docs), "id", "left")
-    labels = partition_labels(docs.sparkSession, parts)
-    runs = with_places.mapInArrow(lambda it: _run_batches(it, labels), "bucket long, n long, blob binary")
-    # the window reads a bucket's rows in order, after one shuffle that both branches share
-    runs = runs.repartition(parts, "bucket").withColumn("total", F.sum("n").over(Window.partitionBy("bucket")))
+    runs = bucketed_runs(docs)
     spans = (runs.where(F.col("total") <= BUCKET).mapInArrow(_span_batches, "id long, span long")
              .unionByName(_large_bucket_spans(runs.where(F.col("total") > BUCKET)))
-             .groupBy("id").agg(F.collect_list("span").alias("spans")))
+             .groupBy("id").agg(F.collect_set("span").alias("spans")))
     schema = ("id long, n_bytes long, span_starts array<long>, span_ends array<long>, kept " + ("string" if as_text else "binary")
               + "".join(f", row {docs.schema['row'].dataType.simpleString()}" for _ in row))
     return (docs.join(spans, "id", "left").mapInArrow(lambda it: _cut_batches(it, as_text), schema)
