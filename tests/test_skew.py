@@ -116,3 +116,18 @@ def test_graph_reports_hot_subject(spark, skewed):
     rr = edge_ratio_report(verts, edges, "game", "player_name", "g", "pts", ["pts"])
     assert rr.count() == N
     assert rr.where(F.col("ratio") != 0.5).count() == 0
+
+
+def test_devices_of_a_hot_user(spark, skewed):
+    """One user with a third of all rows and very many devices: both forms give the same maps, the two-shuffle one by partial aggregates."""
+    from tessera.operators.devices import device_datelist, device_datelist_int, explode_map
+    _, df = skewed
+    events = df.select(F.col("k").alias("user_id"), (F.col("i") % 4000).alias("device_id"), "ts")
+    devices = spark.range(4000).select(F.col("id").alias("device_id"), F.concat(F.lit("b"), (F.col("id") % 3).cast("string")).alias("browser_type"))
+    for build, args in ((device_datelist, (DAY,)), (device_datelist_int, (DAY.replace(day=1), DAY))):
+        one, two = (build(events, devices, *args, one_shuffle=flag) for flag in (True, False))
+        name = [c for c in one.columns if c not in ("user_id", "date")][0]
+        flat = [sorted(map(tuple, explode_map(x, "user_id", name, "b", "v").withColumn("v", F.to_json(F.array("v"))).collect())) for x in (one, two)]
+        assert flat[0] == flat[1] and len(flat[0]) > 500
+        plan = two._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(user_id" in plan and "REPARTITION_BY_COL" not in plan
