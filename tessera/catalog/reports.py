@@ -11,8 +11,8 @@ from tessera.operators.reports import (match_view, match_view_hot, top_by_avg, t
                                        top_by_distinct, top_for_label)
 from tessera.plans.footers import column_report, parquet_footers
 from tessera.plans.joins import enrich
-from tessera.plans.layout import (bucket_count, file_stats, layout_report, rows_per_file,
-                                  write_bucketed, write_partitioned)
+from tessera.plans.layout import (bucket_count, file_stats, layout_report, write_bucketed,
+                                  write_partitioned)
 from tessera.session import fresh_path
 from tessera.sources import standins as S
 from tessera.sources.tables import table_path
@@ -175,10 +175,12 @@ FILE_BYTES = 256 << 20           # of a date's files
 
 def q_partitioned_matches(spark, d):
     m = S.matches(spark, d)
-    dates = m.select(F.approx_count_distinct("completion_date")).first()[0]
-    n = bucket_count(_bytes(spark, d, "orders") // max(1, dates))
+    rows, dates = m.agg(F.count(F.lit(1)), F.approx_count_distinct("completion_date")).first()
+    stored = _bytes(spark, d, "orders")
+    n = bucket_count(stored // max(1, dates))
     t = write_partitioned(m, _name("matches_partitioned", d), "completion_date",
-                          "match_id", n, fresh_path(spark, "matches_partitioned"), max_rows=rows_per_file(m, FILE_BYTES))
+                          "match_id", n, fresh_path(spark, "matches_partitioned"),
+                          max_rows=max(1, FILE_BYTES * rows // max(1, stored)))
     return t.select("match_id", "mapid", "playlist_id", "completion_date")
 
 

@@ -6,9 +6,9 @@ location inside the shared scratch folder (external tables), never a
 machine-local warehouse.
 
 Sizing: a table has ``bucket_count`` buckets, from its bytes; tables that are joined
-on the key share the largest count. ``spread`` deals a bucket to several tasks
-(and files) where one key or date holds much of the table; a date-partitioned write
-derives it per date and bucket from a histogram of the rows (``max_rows``).
+on the key share the largest count. ``spread`` deals every bucket to several tasks
+(and files); with ``max_rows`` a histogram of the rows says which buckets (of which dates)
+need several, where one key or date holds much of the table.
 
 A table that is written again replaces the one of its name; the files of the version before the one
 replaced are deleted (the replaced one's stay, for readers that hold it), so at most
@@ -46,14 +46,22 @@ def _dealt(df: DataFrame, tasks: int, keys: Sequence, spread: int) -> DataFrame:
     return df.repartition(tasks, *keys)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str, spread: int = 1) -> DataFrame:
+def write_bucketed(df: DataFrame, table: str, key: str, n: int, path: str, spread: int = 1,
+                   max_rows: int | None = None) -> DataFrame:
     """``bucketBy(n, key).sortBy(key)`` parquet table at ``path`` (op 35).
 
     With ``spread`` 1 a bucket is one task and one file: ``repartition(n, key)``
-    hashes as the bucketing does. A table of that name is replaced.
+    hashes as the bucketing does. With ``max_rows`` a histogram of the buckets deals those with more rows, and only
+    those, to as many tasks and files as they need. A table of that name is replaced.
     """
-    dealt = df.repartition(n, key) if spread == 1 else _dealt(df, n * spread, [bucket_id(key, n)], spread)
-    return _save(dealt.write.format("parquet").bucketBy(n, key).sortBy(key), df.sparkSession, table, path)
+    if max_rows is not None:
+        dealt = _by_histogram(df, None, key, n, max_rows, n)
+    else:
+        dealt = df.repartition(n, key) if spread == 1 else _dealt(df, n * spread, [bucket_id(key, n)], spread)
+    writer = dealt.write.format("parquet").bucketBy(n, key).sortBy(key)
+    if max_rows is not None:
+        writer = writer.option("maxRecordsPerFile", max_rows)
+    return _save(writer, df.sparkSession, table, path)
 
 
 def _save(writer: DataFrameWriter, spark: SparkSession, table: str, path: str) -> DataFrame:
@@ -83,16 +91,30 @@ def rows_per_file(df: DataFrame, file_bytes: int) -> int:
     return max(1, file_bytes * rows // max(1, measured_bytes(df))) if rows else 1
 
 
-def file_histogram(df: DataFrame, part: str, key: str, n: int, max_rows: int) -> DataFrame:
+def file_histogram(df: DataFrame, part: str | None, key: str, n: int, max_rows: int) -> DataFrame:
     """(part, bucket, rows, files): the files that each date's buckets need, where they need more than one.
 
-    A tenth of a file is left free, as rows are dealt to files by a hash. At most rows / max_rows rows.
+    Without ``part`` those of the table's buckets. A tenth of a file is left free, as rows are dealt to files by a hash.
+    At most rows / max_rows rows.
     """
-    return (df.groupBy(part, bucket_id(key, n).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    return (df.groupBy(*([part] if part else []), bucket_id(key, n).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
             .where(F.col("_rows") > max_rows)
             .withColumn("_files", F.ceil(F.col("_rows") * 10 / (max_rows * 9)).cast("int")))
 
 
+def _by_histogram(df: DataFrame, part: str | None, key: str, n: int, max_rows: int, tasks: int) -> DataFrame:
+    """Rows dealt by (part, bucket), and large ones by a hash of the row as well."""
+    large = broadcast_if_small(file_histogram(df, part, key, n, max_rows))
+    mine = bucket_id(key, n) == F.col("_bucket")
+    if part:
+        large = large.withColumnRenamed(part, "_part")
+        mine = mine & F.col(part).eqNullSafe(F.col("_part"))
+    turn = F.pmod(F.xxhash64(*df.columns), F.coalesce("_files", F.lit(1)))
+    return (df.join(large, mine, "left").withColumn("_file", turn)
+            .repartition(max(tasks, -(-df.count() // max_rows)), *([F.col(part)] if part else []), bucket_id(key, n), F.col("_file"))
+            .select(*df.columns))
+
+
 def write_partitioned(df: DataFrame, table: str, part: str, key: str, n: int, path: str,
                       tasks: int | None = None, spread: int = 1, max_rows: int | None = None) -> DataFrame:
     """Partition by ``part`` and bucket by ``key`` in ONE distributed write (op 36).
@@ -110,12 +132,7 @@ def write_partitioned(df: DataFrame, table: str, part: str, key: str, n: int, pa
     if max_rows is None:
         dealt = _dealt(df, t, [F.col(part), bucket_id(key, n)], spread)
     else:
-        t = max(t, -(-df.count() // max_rows))
-        large = broadcast_if_small(file_histogram(df, part, key, n, max_rows).withColumnRenamed(part, "_part"))
-        turn = F.pmod(F.xxhash64(*df.columns), F.coalesce("_files", F.lit(1)))
-        mine = F.col(part).eqNullSafe(F.col("_part")) & (bucket_id(key, n) == F.col("_bucket"))
-        dealt = (df.join(large, mine, "left").withColumn("_file", turn)
-                 .repartition(t, F.col(part), bucket_id(key, n), F.col("_file")).select(*df.columns))
+        dealt = _by_histogram(df, part, key, n, max_rows, t)
     writer = dealt.sortWithinPartitions(part).write.format("parquet").partitionBy(part).bucketBy(n, key).sortBy(key)
     if max_rows is not None:
         writer = writer.option("maxRecordsPerFile", max_rows)

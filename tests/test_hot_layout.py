@@ -93,6 +93,22 @@ def test_hot_date_is_dealt_to_as_many_files_as_it_needs(spark, buckets):
     spark.sql("DROP TABLE hot_date_test")
 
 
+def test_hot_bucket_is_dealt_to_as_many_files_as_it_needs(spark):
+    """A third of all rows under one key: its bucket takes several tasks and files, the others one."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    p = fresh_path(spark, "hot-bucket")
+    t = write_bucketed(df, "hot_bucket_test", "k", 8, p, max_rows=6_000)
+    assert rows(t.select("k", "v")) == rows(df)
+    per = collections.defaultdict(list)
+    for f in files(p):
+        per[re.search(r"_(\d{5})\.", f).group(1)].append(pq.read_metadata(f).num_rows)
+    assert len(per) == 8 and max(max(s) for s in per.values()) <= 6_000
+    assert sorted(map(len, per.values()))[:7] == [1] * 7 and 4 <= max(map(len, per.values())) <= 6
+    joined = t.join(spark.table("hot_bucket_test").groupBy("k").count(), "k")
+    assert "Exchange hashpartitioning" not in plan_text(joined) and joined.count() == 60_000
+    spark.sql("DROP TABLE hot_bucket_test")
+
+
 def test_rows_per_file_bounds_bytes(spark):
     df = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"),
                                     F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("d"))
