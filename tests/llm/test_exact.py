@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from tessera.llm import quality
 from tessera.llm.bpe import bpe_digests, read_ranks
-from tessera.llm.common import exact_codes, joined_codes, prefix_sums, span_hash, text_slices, word_keys, word_spans
+from tessera.llm.common import exact_codes, joined_codes, prefix_sums, span_hash, word_keys, word_spans
 from tessera.llm.jaccard import jaccard_join, one_per_class
 from tessera.llm.packing import pack_documents
 from tessera.llm.passages import passage_dedup
