@@ -15,10 +15,12 @@ from tessera.plans.layout import (bucket_count, file_stats, layout_report, write
                                   write_partitioned)
 from tessera.session import fresh_path
 from tessera.sources import standins as S
-from tessera.sources.tables import table_path
+from tessera.sources.tables import load, table_path
 
 # fixed values: the reference tables' bucket count (a floor here) and the medal label reported
 BUCKETS = 16
+# rows of the largest table that a bucket holds: a task sorts a bucket of every table of a join
+BUCKET_ROWS = 1_000_000
 LABEL = "red plate"
 
 
@@ -40,7 +42,7 @@ INPUTS = {
 
 def bucketed(spark, d, *tables):
     """The match tables bucketed on match_id, written anew; all share the largest table's bucket count."""
-    n = bucket_count(max(_bytes(spark, d, "orders"), _bytes(spark, d, "lineitem")), at_least=BUCKETS)
+    n = bucket_count(max(load(spark, d, t).count() for t in ("orders", "lineitem")), BUCKET_ROWS, BUCKETS)
     return tuple(write_bucketed(INPUTS[t](spark, d), _name(t, d), "match_id", n, fresh_path(spark, t))
                  for t in tables or INPUTS)
 
@@ -115,13 +117,16 @@ def q_match_view_inner(spark, d):
 
 
 def _hot_view(spark, d, how):
-    """The view of tables of which one match holds a third, bucketed; matches of over a sixteenth of the rows are hot."""
-    tables = S.hot_matches(spark, d)
-    n = bucket_count(_bytes(spark, d, "lineitem"), at_least=BUCKETS)
-    m, md, mmp = (write_bucketed(t, _name(f"hot_{k}", d), "match_id", n, fresh_path(spark, f"hot_{k}"))
-                  for k, t in zip(("matches", "details", "medals"), tables))
+    """The view of tables of which one match holds a third, bucketed; matches of over a sixteenth of the rows, or of more
+    than a bucket should hold, are hot. A hot match's bucket is dealt to several tasks and files."""
+    n_rows = load(spark, d, "lineitem").count()
+    n, most = bucket_count(n_rows, BUCKET_ROWS, BUCKETS), max(1, min(BUCKET_ROWS, n_rows // 16))
+    paths = {k: fresh_path(spark, f"hot_{k}") for k in ("matches", "details", "medals")}
+    m, md, mmp = (write_bucketed(t, _name(f"hot_{k}", d), "match_id", n, paths[k], max_rows=BUCKET_ROWS)
+                  for k, t in zip(paths, S.hot_matches(spark, d)))
     return match_view_hot(m, md, mmp, "match_id", "player_gamertag", ["mapid", "playlist_id"], ["player_total_kills"],
-                          [("medal_id", "medal_id"), ("count", "medal_count")], max(1, md.count() // 16), how)
+                          [("medal_id", "medal_id"), ("count", "medal_count")], most, how,
+                          unbucketed=[spark.read.schema(t.schema).parquet(paths[k]) for k, t in zip(paths, (m, md, mmp))])
 
 
 def q_match_view_hot_left(spark, d):

@@ -85,18 +85,19 @@ def hot_keys(tables: Sequence[DataFrame], keys: Sequence[str], max_rows: int) ->
     """(keys, n): the keys with more than ``max_rows`` rows in all tables together; at most rows / max_rows of them.
 
     One partial aggregate per table, over the keys alone; written once to the shared folder. The keys are counted as one
-    struct: a bucketed table would else be counted bucket by bucket, a hot one in a single task.
+    struct: a bucketed table would else be counted bucket by bucket, a hot one in a single task. The few hot keys are
+    shuffled to one file: ``coalesce(1)`` would merge the counts of all keys in a single task.
     """
     counts = [t.groupBy(F.struct(*keys).alias("_k")).agg(F.count(F.lit(1)).alias("n")) for t in tables]
     hot = reduce(DataFrame.unionByName, counts).groupBy("_k").agg(F.sum("n").alias("n")).select("_k.*", "n")
     path = fresh_path(hot.sparkSession, "hot")
-    hot.where(F.col("n") > max_rows).dropna(subset=list(keys)).coalesce(1).write.parquet(path)
+    hot.where(F.col("n") > max_rows).dropna(subset=list(keys)).repartition(1).write.parquet(path)
     return hot.sparkSession.read.parquet(path)
 
 
 def match_view_hot(matches: DataFrame, details: DataFrame, medals: DataFrame, key: str, player: str,
                    match_cols: Sequence[str], detail_cols: Sequence[str], medal_cols: Sequence[tuple[str, str]],
-                   max_rows: int, how: str = "left") -> DataFrame:
+                   max_rows: int, how: str = "left", unbucketed: Sequence[DataFrame] | None = None) -> DataFrame:
     """``match_view`` where a match may hold any share of the rows (op 37).
 
     A bucketed join can't split a hot match, and a match with more than ``max_rows`` detail and medal rows would be one
@@ -104,11 +105,15 @@ def match_view_hot(matches: DataFrame, details: DataFrame, medals: DataFrame, ke
     Their rows meet by (match, player) instead, so that a match spreads over its players, and the medal rows of a player who
     has more than ``max_rows`` in one match are dealt over salts, with that player's detail rows copied to each. The
     hot matches' own rows (few) are broadcast when their measured size allows it.
+
+    A scan by buckets reads a hot match in one task, which holds its rows for the shuffle. ``unbucketed`` are the three
+    tables read as plain files, so that hot rows are read by splits; give it when the tables are bucketed.
     """
-    few = broadcast_if_small(hot_keys([details, medals], [key], max_rows).select(key))
+    plain = tuple(unbucketed or (matches, details, medals))
+    few = broadcast_if_small(hot_keys(plain[1:], [key], max_rows).select(key))
     m, d, x = (t.join(few, key, "left_anti").select(*t.columns) for t in (matches, details, medals))
     rest = match_view(m, d, x, key, player, match_cols, detail_cols, medal_cols, how)
-    m, d, x = (t.join(few, key, "left_semi") for t in (matches, details, medals))
+    m, d, x = (t.join(few, key, "left_semi").select(*t.columns) for t in plain)
     return rest.unionByName(_hot_view(m, d, x, key, player, match_cols, detail_cols, medal_cols, max_rows, how))
 
 
@@ -130,7 +135,7 @@ def _hot_view(matches: DataFrame, details: DataFrame, medals: DataFrame, key: st
               .withColumn("_salt", F.explode(F.sequence(zero, salts - 1))).select(*d.columns, by))
     lone = dealt.join(copied.select("_k"), "_k", "left_anti").drop(player, "_k")
     if how == "inner":
-        lone = lone.join(broadcast_if_small(d.select(key).distinct()), key, "left_semi")
+        lone = lone.join(broadcast_if_small(d.select(F.struct(key).alias("_k")).distinct().select("_k.*")), key, "left_semi")
     both = copied.join(dealt.drop(*pair), "_k").drop("_k")
     out = [both.join(m, key), _padded(lone.join(m, key), cols, d.schema)]
     if how == "left":

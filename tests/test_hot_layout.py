@@ -15,6 +15,7 @@ from tessera.catalog import reports as R
 from tessera.operators.reports import hot_keys, match_view, match_view_hot
 from tessera.plans.layout import file_histogram, rows_per_file, write_bucketed, write_partitioned
 from tessera.session import fresh_path, local_path
+from tessera.sources import standins as S
 
 ARGS = ("match_id", "player", ["mapid"], ["kills"], [("medal_id", "medal_id"), ("count", "medal_count")])
 
@@ -66,6 +67,47 @@ def test_hot_view_plans(spark):
             spark.sql(f"DROP TABLE IF EXISTS hot_view_{k}")
 
 
+def test_keys_are_counted_by_many_tasks(spark):
+    """One task may write the hot keys, not merge the counts of all keys."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sc, group = spark.sparkContext, "hot-keys-test"
+    sc.setJobGroup(group, group)
+    try:
+        t = spark.range(0, 3000, 1, 2).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+        assert [tuple(r) for r in hot_keys([t, t], ["k"], 100).collect()] == [(0, 2000)]
+        tracker = sc.statusTracker()
+        stages = {k for j in tracker.getJobIdsForGroup(group) for k in tracker.getJobInfo(j).stageIds}
+        infos = [tracker.getStageInfo(k) for k in stages]
+        assert 8 in [i.numTasks for i in infos if i]                        # the session's shuffle partitions
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_registered_hot_view_holds_no_hot_bucket_in_one_task(spark, monkeypatch, how):
+    """A hot match's bucket is written by several tasks, and its rows are read by splits, not by bucket."""
+    most = 500
+    monkeypatch.setattr(R, "BUCKET_ROWS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = R._hot_view(spark, SF_SMALL, how)
+        for k in ("details", "medals"):
+            t = spark.table(R._name(f"hot_{k}", SF_SMALL))
+            sizes = [pq.read_metadata(local_path(f)).num_rows for f in t.inputFiles()]
+            assert sum(sizes) == t.count() and max(sizes) <= most
+        plan = plan_text(view)
+        _, *parts = re.split(r"\n   [:+]- ", plan)                    # the branches of the union
+        assert "Exchange hashpartitioning" not in "".join(parts[:2])
+        assert "Bucketed: true" in "".join(parts[:2]) and "Bucketed: true" not in "".join(parts[2:])
+        t = S.hot_matches(spark, SF_SMALL)
+        args = ("match_id", "player_gamertag", ["mapid", "playlist_id"], ["player_total_kills"],
+                [("medal_id", "medal_id"), ("count", "medal_count")])
+        assert rows(view) == rows(match_view(*t, *args, how=how))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def files(path):
     return [os.path.join(r, f) for r, _, fs in os.walk(local_path(path)) for f in fs if f.endswith(".parquet")]
 
